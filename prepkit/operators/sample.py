@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -45,8 +46,7 @@ def share_out(sizes: DataFrame, wanted: Column, size: Column, into: str) -> Data
 
 def total_quota(df: DataFrame, cuts: Sequence[int], n: int) -> DataFrame:
     names = ["_n", *[f"_cut{i}" for i in range(len(cuts))]]
-    schema = ", ".join(f"{x} bigint" for x in names)
-    return df.sparkSession.createDataFrame([(n, *cuts)], schema)
+    return df.sparkSession.createDataFrame(pa.table({x: [v] for x, v in zip(names, [n, *cuts])}))
 
 
 def _keep_in(df: DataFrame, labelled: DataFrame, last: Sequence[str] = ()) -> DataFrame:

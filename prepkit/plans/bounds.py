@@ -26,11 +26,15 @@ def shared_dir(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="prepkit-")
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(spark))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write `df` to the shared checkpoint folder and read on from there."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -40,9 +44,9 @@ def settle(df: DataFrame, limit: int = SMALL_TABLE_ROWS) -> DataFrame:
     Up to `limit` rows it comes back as a broadcast-hinted local table; beyond that as a
     checkpointed one without a hint, so that joins with it shuffle instead.
     """
-    rows = df.limit(limit + 1).collect()
-    if len(rows) <= limit:
-        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    rows = df.limit(limit + 1).toArrow()
+    if rows.num_rows <= limit:
+        return F.broadcast(df.sparkSession.createDataFrame(rows))
     return cut_lineage(df)
 
 

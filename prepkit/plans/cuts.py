@@ -138,7 +138,7 @@ def label_by_hash(
             order = F.concat(order, whole_row_hash(df))
         rows = df.select(*[c(g).alias(k) for g, k in zip(groups, gs)], order.alias("h"))
         found = settle(_hash_bounds(rows, gs, quotas, n_cuts))
-        tied = found.where(F.col("rest") < F.col("cell")).limit(1).count() > 0
+        tied = bool(found.where(F.col("rest") < F.col("cell")).head(1))
         if not tied:
             break
     at = [F.when(F.col("slot") == i, F.struct("h", "below", (F.col("rest") == F.col("cell")).alias("whole")))
