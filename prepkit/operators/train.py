@@ -21,8 +21,9 @@ from pyspark.sql import types as T
 from prepkit.functions.schema import (
     as_double, as_list, c, check_choice, check_columns, clean, dtype, is_numeric_or_bool, text_columns,
 )
-from prepkit.operators.metrics import classification_metrics, regression_metrics, roc_auc_ovr
-from prepkit.operators.metrics import area_under_roc
+from prepkit.operators.metrics import (
+    area_under_roc, classification_metrics, regression_metrics, roc_auc_ovr,
+)
 from prepkit.operators.sample import class_sizes
 from prepkit.operators.select import DEEPEST_TREE
 from prepkit.operators.split import train_val_test_split
@@ -175,15 +176,15 @@ def _estimator(
         if not labels:
             return [GBTRegressor(maxIter=trees or 400, stepSize=rate or 0.05, **boost)]
         gbt = GBTClassifier(maxIter=trees or 300, stepSize=rate or 0.1, **boost)
-        return [gbt] if len(labels) == 2 else [OneVsRest(classifier=gbt, **common)]
+        return [gbt] if len(labels) == 2 else [OneVsRest(classifier=gbt, parallelism=min(len(labels), 8), **common)]
     weight = 1.0 / ((C or 1.0) * max(train.count(), 1))
     if model == "logistic_regression":
         none = penalty == "none"
         return [LogisticRegression(maxIter=200, regParam=0.0 if none else weight, standardization=False,
                                    elasticNetParam=PENALTIES[penalty or "l2"], **common)]
-    svm = LinearSVC(regParam=weight, standardization=False, **common)
+    svm = LinearSVC(regParam=weight, standardization=True, tol=1e-4, **common)
     margins = "rawPrediction"
-    stages = [svm] if len(labels) == 2 else [OneVsRest(classifier=svm, **common)]
+    stages = [svm] if len(labels) == 2 else [OneVsRest(classifier=svm, parallelism=min(len(labels), 8), **common)]
     if len(labels) == 2:
         margins = "_margin"
         stages.append(VectorSlicer(inputCol="rawPrediction", outputCol=margins, indices=[1]))

@@ -86,13 +86,13 @@ def _reach(points: DataFrame) -> DataFrame:
     )
     # Each slice listed here has a row, so three of them on a side hold three values.
     along = Window.partitionBy("y").orderBy("slice")
-    halo = near_end.select(
-        "y", "slice",
-        F.explode(F.concat(
-            F.flatten(F.collect_list("last").over(along.rowsBetween(-k, -1))),
-            F.flatten(F.collect_list("first").over(along.rowsBetween(1, k))),
-        )).alias("x"),
-    ).withColumn("id", F.lit(None).cast("bigint"))
+    halo = (
+        near_end
+        .withColumn("before", F.flatten(F.collect_list("last").over(along.rowsBetween(-k, -1))))
+        .withColumn("after", F.flatten(F.collect_list("first").over(along.rowsBetween(1, k))))
+        .select("y", "slice", F.explode(F.concat("before", "after")).alias("x"),
+                F.lit(None).cast("bigint").alias("id"))
+    )
     all_rows = points.unionByName(halo)
     order = by_slice.orderBy("x", "id")
     x = F.col("x")

@@ -149,7 +149,7 @@ def _ranked_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> lis
 
 def _between(low: float, high: float, spot: float) -> float:
     share = spot - math.floor(spot)
-    return low if share == 0 else (1 - share) * low + share * high
+    return low + (high - low) * share
 
 
 def grouped_quantiles(
@@ -173,7 +173,7 @@ def grouped_quantiles(
     parts = []
     for i, p in enumerate(probs):
         share = (size - 1) * F.lit(float(p)) - F.floor((size - 1) * F.lit(float(p)))
-        parts.append((1 - share) * at_slot[2 * i] + share * at_slot[2 * i + 1])
+        parts.append(at_slot[2 * i] + (at_slot[2 * i + 1] - at_slot[2 * i]) * share)
     sizes = df.groupBy(*keys).agg(F.count(x).alias("group_n"))
     same = F.lit(True)
     for i, g in enumerate(groups):
