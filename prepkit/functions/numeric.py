@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 from pyspark.sql import Column
@@ -33,28 +33,35 @@ def pearson(x: Column, y: Column) -> Column:
     return F.covar_pop(px, py) / spread
 
 
-def count_below(x: Column, edges: Sequence[float], strict: bool) -> Column:
-    """How many of the sorted `edges` are below x (`<` if strict, else `<=`).
+def _search(x: Column, edges: Sequence[float], passed: Callable[[int], Column], leaf: Callable[[int], Column]) -> Column:
+    """A balanced tree of CASE branches: log2(n) comparisons a row, all in generated code.
 
-    A balanced tree of CASE branches: log2(n) comparisons a row, all of them inside
-    generated code, where a higher-order function over an array would leave it.
+    A higher-order function over an array of edges would leave generated code.
     """
     def tree(lo: int, hi: int) -> Column:
         if lo == hi:
-            return F.lit(lo)
+            return leaf(lo)
         mid = (lo + hi) // 2
-        passed = F.lit(float(edges[mid])) < x if strict else F.lit(float(edges[mid])) <= x
-        return F.when(passed, tree(mid + 1, hi)).otherwise(tree(lo, mid))
+        return F.when(passed(mid), tree(mid + 1, hi)).otherwise(tree(lo, mid))
 
     return F.when(x.isNotNull(), tree(0, len(edges)))
 
 
+def count_below(x: Column, edges: Sequence[float]) -> Column:
+    """How many of the sorted `edges` are below x; null when x is missing."""
+    return _search(x, edges, lambda i: x > F.lit(float(edges[i])), F.lit)
+
+
 def bin_number(x: Column, edges: Sequence[float], right: bool, lowest: bool) -> Column:
     """1-based number of the bin holding x; null when x is missing or outside."""
-    k = count_below(x, edges, strict=right)
-    if right and lowest:
-        k = F.when(x == F.lit(float(edges[0])), 1).otherwise(k)
-    return F.when((k >= 1) & (k <= len(edges) - 1), k).cast("int")
+    def passed(i: int) -> Column:
+        closed_left = not right or (lowest and i == 0)
+        return x >= F.lit(float(edges[i])) if closed_left else x > F.lit(float(edges[i]))
+
+    def leaf(k: int) -> Column:
+        return F.lit(k if 1 <= k < len(edges) else None).cast("int")
+
+    return _search(x, edges, passed, leaf)
 
 
 def digamma(x: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prepkit.functions.schema import as_double, as_list, c, check_columns, numeric_columns
-from prepkit.plans.bounds import settle
+from prepkit.plans.bounds import settle, spread
 from prepkit.plans.cuts import first_per_group, group_names, label_by_hash
 
 
@@ -137,7 +137,7 @@ def clustered_sample(
         ready = StandardScaler(inputCol="_raw", outputCol="_features").fit(ready).transform(ready)
     else:
         ready = ready.withColumnRenamed("_raw", "_features")
-    points = ready.select("_features").persist()
+    points = spread(ready.select("_features"), ready.count()).persist()
     try:
         fits = [
             KMeans(k=n_clusters, seed=random_state + i, maxIter=max_iter, featuresCol="_features",

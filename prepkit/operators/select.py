@@ -18,7 +18,7 @@ from prepkit.functions.numeric import bin_number, pearson
 from prepkit.functions.schema import (
     as_double, c, check_choice, check_columns, check_numeric, clean, dtype, numeric_columns,
 )
-from prepkit.plans.bounds import ensure_checkpoint_dir, settle
+from prepkit.plans.bounds import ensure_checkpoint_dir, settle, spread
 from prepkit.plans.knn_information import nearest_neighbour_information
 from prepkit.plans.order_stats import quantiles
 
@@ -163,6 +163,7 @@ def binned_information(
     if binned_target:
         check_numeric(df, target, "Target")
     numbers = [*features, target] if binned_target else list(features)
+    df = spread(df.select(*[c(n) for n in dict.fromkeys([*features, target])]), df.count())
     probs = [float(p) for p in np.linspace(0, 1, bins + 1)]
     cuts = {x: sorted(set(q)) for x, q in quantiles(df, numbers, probs, exact).items() if q[0] is not None}
 
@@ -257,7 +258,7 @@ def rf_importance_select(
     model = forest(
         numTrees=n_estimators, maxDepth=min(max_depth or DEEPEST_TREE, DEEPEST_TREE), seed=random_state,
         maxBins=max_bins, featureSubsetStrategy="sqrt" if task == "classification" else "all",
-    ).fit(assembler.transform(rows).select("features", "label"))
+    ).fit(assembler.transform(spread(rows, rows.count())).select("features", "label"))
     scores = [float(v) for v in model.featureImportances.toArray()]
     ranked = _ranking(features, scores)
     chosen = ranked[:top]

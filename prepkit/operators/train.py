@@ -27,7 +27,7 @@ from prepkit.operators.metrics import (
 from prepkit.operators.sample import class_sizes
 from prepkit.operators.select import DEEPEST_TREE
 from prepkit.operators.split import train_val_test_split
-from prepkit.plans.bounds import ensure_checkpoint_dir, settle
+from prepkit.plans.bounds import ensure_checkpoint_dir, settle, spread
 from prepkit.sources.tables import write_metrics, write_model
 
 MODELS = ("random_forest", "logistic_regression", "svm", "linear_regression", "xgboost")
@@ -85,29 +85,26 @@ def train_model(
         known, target if labels else None, test_size, 0.0, bool(labels), random_state, keys or None, "_part")
     split = _with_label(split, target, labels)
     split = split.withColumns({f: as_double(known, f) for f in features if f not in text_columns(known)})
-    train, test = (split.where(F.col("_part") == p).drop("_part") for p in ("train", "test"))
-
     ensure_checkpoint_dir(df.sparkSession)
-    estimator = _estimator(model, labels, train, random_state, n_estimators, max_depth, learning_rate,
-                           C, penalty, max_bins)
-    stages = [*encode, VectorAssembler(inputCols=inputs, outputCol=FEATURES), *estimator]
-    if labels:
-        stages.append(IndexToString(inputCol="prediction", outputCol="predicted", labels=labels))
-    fitted = Pipeline(stages=stages).fit(train)
-
-    scored = fitted.transform(test)
-    scores = next((s for s in ("probability", "rawPrediction") if s in scored.columns), None)
-    kept = [LABEL, "prediction"]
-    scored = scored.select(
-        *kept, *([vector_to_array(scores).alias("scores")] if labels else [])).persist()
+    # The fit and its evaluation pass over these columns many times.
+    ready = spread(split.select(LABEL, "_part", *[c(f) for f in features]), known.count()).persist()
     try:
-        metrics = settle(_evaluate(scored, labels, problem_type, model, target))
+        train = ready.where(F.col("_part") == "train")
+        estimator = _estimator(model, labels, train.count(), random_state, n_estimators, max_depth,
+                               learning_rate, C, penalty, max_bins)
+        stages = [*encode, VectorAssembler(inputCols=inputs, outputCol=FEATURES), *estimator]
+        if labels:
+            stages.append(IndexToString(inputCol="prediction", outputCol="predicted", labels=labels))
+        fitted = Pipeline(stages=stages).fit(train)
+        metrics = settle(_evaluate(
+            fitted.transform(ready.where(F.col("_part") == "test")), labels, problem_type, model, target))
     finally:
-        scored.unpersist()
+        ready.unpersist()
     name = model_name or f"{model}_{problem_type}_{target}"
     if artifacts_dir is not None:
         write_model(fitted, f"{artifacts_dir}/{name}")
         write_metrics(metrics, f"{artifacts_dir}/{name}_metrics")
+    test = split.where(F.col("_part") == "test").drop("_part")
     return Trained(fitted, metrics, test, name)
 
 
@@ -157,7 +154,7 @@ def _feature_stages(df: DataFrame, features: list[str], auto_encode: bool):
 
 
 def _estimator(
-    model: str, labels: list[str] | None, train: DataFrame, seed: int, trees: int | None,
+    model: str, labels: list[str] | None, n_train: int, seed: int, trees: int | None,
     depth: int | None, rate: float | None, C: float | None, penalty: str | None, max_bins: int,
 ) -> list:
     common = {"featuresCol": FEATURES, "labelCol": LABEL}
@@ -177,7 +174,7 @@ def _estimator(
             return [GBTRegressor(maxIter=trees or 400, stepSize=rate or 0.05, **boost)]
         gbt = GBTClassifier(maxIter=trees or 300, stepSize=rate or 0.1, **boost)
         return [gbt] if len(labels) == 2 else [OneVsRest(classifier=gbt, parallelism=min(len(labels), 8), **common)]
-    weight = 1.0 / ((C or 1.0) * max(train.count(), 1))
+    weight = 1.0 / ((C or 1.0) * max(n_train, 1))
     if model == "logistic_regression":
         none = penalty == "none"
         return [LogisticRegression(maxIter=200, regParam=0.0 if none else weight, standardization=False,
@@ -195,6 +192,9 @@ def _estimator(
 
 
 def _evaluate(scored: DataFrame, labels: list[str] | None, problem: str, model: str, target: str) -> DataFrame:
+    scores = next((s for s in ("probability", "rawPrediction") if s in scored.columns), None)
+    if labels:
+        scored = scored.select(LABEL, "prediction", vector_to_array(scores).alias("scores"))
     head = [F.lit(problem).alias("problem_type"), F.lit(model).alias("model"), F.lit(target).alias("target")]
     if labels is None:
         return regression_metrics(scored, LABEL, "prediction").select(*head, "*")

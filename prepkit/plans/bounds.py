@@ -14,6 +14,14 @@ HOT_GROUP_ROWS = 2_000_000
 """Most rows (or distinct values) of one group that a single task may be given."""
 
 
+SPREAD_ROWS = 5_000_000
+"""Most rows of a table that is worth spreading over the cores before long work."""
+
+
+TASK_ROWS = 10_000
+"""Rows that are worth a task of their own when a small table is spread."""
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
@@ -60,5 +68,17 @@ def largest_group(df: DataFrame, groups: list[str]) -> int:
     return sizes.agg(F.max("n")).first()[0] or 0
 
 
+def spread(df: DataFrame, n_rows: int) -> DataFrame:
+    """Give a small table's costly per-row or iterative work to all cores.
+
+    A small table may sit in one file and so in one task. A big one already comes in many
+    splits and is left as it is: shuffling it would cost more than it gains.
+    """
+    if n_rows > SPREAD_ROWS:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(min(cores, 1 + n_rows // TASK_ROWS))
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

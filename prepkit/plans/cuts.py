@@ -27,10 +27,14 @@ BELOW_ALL, ABOVE_ALL = "", "g"
 
 
 def key_hash(df: DataFrame, key_cols: Sequence[str] | None, seed: int) -> Column:
-    """md5 over the key and the seed: the same order on any cluster and partitioning."""
-    keys = list(key_cols or df.columns)
-    check_columns(df, keys, "Key column")
-    texts = [F.coalesce(c(k).cast("string"), F.lit("")) for k in keys]
+    """A hex digest of key and seed: the same order on any cluster and partitioning.
+
+    Without a key every column is hashed, in its own type.
+    """
+    if not key_cols:
+        return F.hex(F.xxhash64(*[c(n) for n in df.columns], F.lit(seed)))
+    check_columns(df, key_cols, "Key column")
+    texts = [F.coalesce(c(k).cast("string"), F.lit("")) for k in key_cols]
     return F.md5(F.concat_ws("|", *texts, F.lit(str(seed))))
 
 

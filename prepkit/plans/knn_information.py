@@ -25,6 +25,7 @@ def nearest_neighbour_information(
     order. The noisy values are checkpointed: a recomputed task must not draw new noise.
     """
     found = []
+    df = bounds.spread(df.select(*[c(n) for n in dict.fromkeys([*features, target])]), df.count())
     for f in features:
         x, y = as_double(df, f), clean(df, target)
         spread, mean = df.agg(F.stddev_pop(x), F.avg(F.abs(x))).first()
@@ -58,7 +59,7 @@ def _information(points: DataFrame) -> float | None:
     edges = _slices(points, n)
 
     def slice_of(v: Column) -> Column:
-        return count_below(v, edges, strict=True)
+        return count_below(v, edges)
 
     points = points.withColumn("slice", slice_of(F.col("x")))
     reach = _reach(points)

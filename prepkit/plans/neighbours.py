@@ -32,7 +32,7 @@ def with_neighbour(
     lead = plain_order(df, order[0]).cast("double")
     probs = F.array(*[F.lit(i / n_slices) for i in range(1, n_slices)])
     edges = sorted(set(df.agg(F.percentile_approx(lead, probs, F.lit(10 * n_slices))).first()[0]))
-    rows = df.withColumns({"_slice": F.coalesce(count_below(lead, edges, strict=True), F.lit(-1)), "_v": value})
+    rows = df.withColumns({"_slice": F.coalesce(count_below(lead, edges), F.lit(-1)), "_v": value})
     inner = Window.partitionBy(*by, "_slice").orderBy(*sort)
     place = F.struct(*sort)
     ends = rows.groupBy(*by, "_slice").agg(

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prepkit.functions.schema import as_double, c
-from prepkit.plans.bounds import HOT_GROUP_ROWS, shuffle_width
+from prepkit.plans import bounds
+from prepkit.plans.bounds import shuffle_width
 
 
 def values_at_ranks(df: DataFrame, value: Column, ranks: Sequence[int]) -> list[tuple]:
@@ -109,13 +110,11 @@ def grouped_values_at_ranks(df: DataFrame, value: Column, groups: list[str], ran
 
 
 def few_values(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = ()) -> bool:
-    """Whether every group has few enough distinct values for the built-in exact percentile."""
+    """Whether a group's distinct values, of all columns, fit the built-in percentile's memory."""
     sketches = [F.approx_count_distinct(c(x)).alias(f"d{i}") for i, x in enumerate(columns)]
     sizes = df.groupBy(*[c(g) for g in groups]).agg(*sketches)
-    if groups:
-        sizes = sizes.agg(*[F.max(f"d{i}").alias(f"d{i}") for i in range(len(columns))])
-    row = sizes.first()
-    return all((n or 0) <= HOT_GROUP_ROWS for n in row)
+    whole = sum((F.col(f"d{i}") for i in range(len(columns))), F.lit(0))
+    return (sizes.agg(F.max(whole)).first()[0] or 0) <= bounds.HOT_GROUP_ROWS
 
 
 def quantiles(
@@ -129,12 +128,14 @@ def quantiles(
             for i, x in enumerate(columns)
         ]).first()
         return {x: found[i] or [None] * len(probs) for i, x in enumerate(columns)}
-    if few_values(df, columns):
-        found = df.agg(*[
-            F.percentile(as_double(df, x), at).alias(f"q{i}") for i, x in enumerate(columns)
-        ]).first()
-        return {x: found[i] or [None] * len(probs) for i, x in enumerate(columns)}
-    return {x: _ranked_quantiles(df, x, probs) for x in columns}
+    if len(columns) == 1 and not few_values(df, columns):
+        return {columns[0]: _ranked_quantiles(df, columns[0], probs)}
+    if not few_values(df, columns):
+        return {x: q for n in columns for x, q in quantiles(df, [n], probs).items()}
+    found = df.agg(*[
+        F.percentile(as_double(df, x), at).alias(f"q{i}") for i, x in enumerate(columns)
+    ]).first()
+    return {x: found[i] or [None] * len(probs) for i, x in enumerate(columns)}
 
 
 def _ranked_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> list[float | None]:

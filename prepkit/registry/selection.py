@@ -86,8 +86,8 @@ QUERIES: dict[str, Query] = {
         lambda df: rounded(select.select_kbest(df, "o_orderstatus", 1, "mutual_info_classif",
                                                method="knn").scores, 4, "score")),
     "kbest_table": on(
-        "lineitem", lambda df: select.select_kbest(df, FLAG, 2, "f_classif").table,
-        f"SELECT {FLAG}, l_orderkey, l_quantity FROM lineitem"),
+        "part", lambda df: select.select_kbest(df, "p_retailprice", 1, "f_regression").table,
+        "SELECT p_retailprice, p_partkey FROM part"),
     "variance_threshold": on(
         "lineitem",
         lambda df: rounded(select.variance_threshold(_with_constant(df)).scores, 1, "score"),
