@@ -74,7 +74,7 @@ def infer_types(raw: DataFrame) -> DataFrame:
         x = c(name)
         whole = x.rlike(INTEGER) & F.expr(f"try_cast(`{name.replace('`', '``')}` as bigint)").isNotNull()
         return F.struct(
-            F.count_if(~whole).alias("bigint"),
+            F.count_if(x.isNotNull() & ~whole).alias("bigint"),
             F.count_if(~x.rlike(NUMBER)).alias("double"),
             F.count_if(~F.lower(x).isin("true", "false")).alias("boolean"),
             F.count(x).alias("n"),
