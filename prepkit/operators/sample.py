@@ -147,10 +147,14 @@ def clustered_sample(
     finally:
         points.unpersist()
     model: KMeansModel = min(fits, key=lambda m: m.summary.trainingCost)
-    centres = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in model.clusterCenters()])
-    gaps = F.zip_with(vector_to_array("_features"), F.get(centres, F.col("_cluster")),
-                      lambda a, b: (a - b) * (a - b))
-    placed = model.transform(ready).withColumn(
+    centres = model.clusterCenters()
+    centres = F.broadcast(df.sparkSession.createDataFrame(pa.table({
+        "_at": pa.array(range(len(centres)), pa.int32()),
+        "_centre": pa.array([[float(v) for v in row] for row in centres], pa.list_(pa.float64())),
+    })))
+    gaps = F.zip_with(vector_to_array("_features"), F.col("_centre"), lambda a, b: (a - b) * (a - b))
+    # A row per cluster: n_clusters bounds the broadcast.
+    placed = model.transform(ready).join(centres, F.col("_cluster") == F.col("_at")).withColumn(
         "_dist", F.aggregate(gaps, F.lit(0.0), lambda acc, v: acc + v)
     )
     tie = [c(k) for k in keys] or [F.xxhash64(*[c(n) for n in df.columns])]

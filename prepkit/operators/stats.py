@@ -46,7 +46,7 @@ def compute_statistic(
 
     `mode` gives a row per modal value, ascending. `dropna=False` matters to `median`
     (null when anything is missing) and `mode` (missing counts as a value). `sum` over text
-    concatenates in `order_by` order.
+    concatenates in `order_by` order. `exact=False` takes sketches for `median` and `nunique`.
     """
     groups = as_list(groupby)
     stat = stat.lower()
@@ -58,6 +58,8 @@ def compute_statistic(
         return _modes(df, column, dropna, groups)
     if stat == "sum" and isinstance(dtype(df, column), T.StringType):
         return _joined_text(df, column, groups, as_list(order_by))
+    if stat == "nunique" and not exact:
+        return df.groupBy(*keys).agg(F.approx_count_distinct(clean(df, column)).alias(stat))
     if stat in ANY_STATS:
         return df.groupBy(*keys).agg(ANY_STATS[stat](clean(df, column)).alias(stat))
     check_numeric(df, column)

@@ -34,6 +34,7 @@ MODELS = ("random_forest", "logistic_regression", "svm", "linear_regression", "x
 CLASSIFIERS_ONLY = ("logistic_regression", "svm")
 REGRESSORS_ONLY = ("linear_regression",)
 PENALTIES = {"none": 0.0, "l2": 0.0, "elasticnet": 0.5, "l1": 1.0}
+SOLVERS = ("lbfgs", "liblinear", "newton-cg", "newton-cholesky", "sag", "saga")
 MOST_CLASSES = 1000
 
 LABEL, FEATURES = "_label", "_features"
@@ -50,7 +51,7 @@ def train_model(
     df: DataFrame, problem_type: str, target: str | None = None, model: str = "random_forest",
     test_size: float = 0.2, random_state: int = 42, n_estimators: int | None = None,
     max_depth: int | None = None, learning_rate: float | None = None, C: float | None = None,
-    penalty: str | None = None, artifacts_dir: str | None = None, model_name: str | None = None,
+    penalty: str | None = None, solver: str | None = None, artifacts_dir: str | None = None, model_name: str | None = None,
     features: Sequence[str] | None = None, key_cols: str | Sequence[str] | None = None,
     auto_encode: bool = False, max_bins: int = 256,
 ) -> Trained:
@@ -59,8 +60,9 @@ def train_model(
     The default target is the last column, the default features all others. Features must be
     numeric and complete unless `auto_encode` adds encoding and imputation to the pipeline.
     "xgboost" names boosted trees (MLlib's, first order); "svm" is linear, with calibrated
-    probabilities.
+    probabilities. `solver` is accepted and left to MLlib: it does not move the optimum.
     """
+    check_choice(solver or "lbfgs", SOLVERS, "solver")
     check_choice(problem_type, ("classification", "regression"), "problem_type")
     check_choice(model, MODELS, "model")
     if problem_type == "regression" and model in CLASSIFIERS_ONLY:

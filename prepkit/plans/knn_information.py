@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from prepkit.functions.numeric import count_below, digamma
+from prepkit.functions.numeric import digamma
 from prepkit.functions.schema import as_double, c, clean
 from prepkit.plans import bounds
+from prepkit.plans.slices import slicer
 
 NEIGHBOURS = 3
 JITTER = 1e-10
@@ -39,15 +39,6 @@ def nearest_neighbour_information(
     return found
 
 
-def _slices(points: DataFrame, n: int) -> list[float]:
-    """Edges that cut the values into parts small enough for one task."""
-    n_slices = min(math.ceil(n / bounds.HOT_GROUP_ROWS), 4096)
-    if n_slices < 2:
-        return []
-    probs = F.array(*[F.lit(i / n_slices) for i in range(1, n_slices)])
-    return sorted(set(points.agg(F.percentile_approx("x", probs, F.lit(10 * n_slices))).first()[0]))
-
-
 def _information(points: DataFrame) -> float | None:
     sizes = points.groupBy("y").agg(F.count(F.lit(1)).alias("n_y")).where(F.col("n_y") > 1)
     n, label_term = sizes.agg(
@@ -56,11 +47,7 @@ def _information(points: DataFrame) -> float | None:
         return None
     alone = points.groupBy("y").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") == 1)
     points = points.join(alone, "y", "left_anti")
-    edges = _slices(points, n)
-
-    def slice_of(v: Column) -> Column:
-        return count_below(v, edges)
-
+    slice_of = slicer(points, F.col("x"), n)
     points = points.withColumn("slice", slice_of(F.col("x")))
     reach = _reach(points)
     inside = _count_inside(points, reach, slice_of)
@@ -122,17 +109,15 @@ def _count_inside(points: DataFrame, reach: DataFrame, slice_of) -> DataFrame:
         F.struct(F.col("lo").alias("x"), F.lit(2).alias("kind"), F.lit(-1).alias("sign")),
         F.struct(F.col("hi").alias("x"), F.lit(0).alias("kind"), F.lit(1).alias("sign")),
     ))).withColumn("slice", slice_of(F.col("x")))
-    totals = points.groupBy("slice").agg(F.count(F.lit(1)).alias("total"))
-    # At most one row per slice, and slices are bounded.
-    start = F.sum("total").over(Window.orderBy("slice"))
-    firsts = totals.withColumn("upto", start)
     # kind puts a point after the end of an interval at its own value and before its start.
     both = points.select("slice", "x", F.lit(1).alias("kind"), F.lit(1).alias("one")).unionByName(
         ends.withColumn("one", F.lit(0)), allowMissingColumns=True)
+    # One row per slice: the points of all slices before it.
+    totals = both.groupBy("slice").agg(F.sum("one").alias("total"))
+    start = F.sum("total").over(Window.orderBy("slice")) - F.col("total")
+    starts = bounds.settle(totals.select(F.col("slice").alias("s"), start.alias("start")))
     run = Window.partitionBy("slice").orderBy("x", "kind")
     counted = both.withColumn("below", F.sum("one").over(run.rowsBetween(Window.unboundedPreceding, 0)))
-    counted = counted.where(F.col("id").isNotNull())
-    offsets = F.broadcast(firsts.select(F.col("slice").alias("s"), (F.col("upto") - F.col("total")).alias("start")))
-    placed = counted.join(offsets, F.col("slice") == F.col("s"), "left")
+    placed = counted.where(F.col("id").isNotNull()).join(starts, F.col("slice") == F.col("s"))
     return placed.groupBy("id").agg(
         F.max("k").alias("k"), F.sum(F.col("sign") * (F.col("below") + F.col("start"))).alias("m"))

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from prepkit.functions.numeric import count_below
 from prepkit.functions.schema import c
 from prepkit.plans import bounds
 from prepkit.plans.cuts import attach, plain_order
+from prepkit.plans.slices import slicer
 
 
 def with_neighbour(
@@ -19,20 +18,17 @@ def with_neighbour(
 ) -> DataFrame:
     """Add `value` of the previous (or next) row of the same key, null at the end.
 
-    While every key fits one task this is a plain lag. A key that does not is cut into slices
-    of the order column with about equal row counts; only the last row of each slice has to
-    be known to the next slice.
+    While every key fits one task this is a plain lag. Otherwise keys are cut into slices of
+    the first order column; only the last row of a slice has to be known to the next slice.
     """
     step = F.lead if after else F.lag
     by, sort = [c(k) for k in keys], [c(o) for o in order]
     largest = bounds.largest_group(df, list(keys))
     if largest <= bounds.HOT_GROUP_ROWS:
         return df.withColumn(into, step(value).over(Window.partitionBy(*by).orderBy(*sort)))
-    n_slices = min(4 * math.ceil(df.count() / bounds.HOT_GROUP_ROWS), 4096)
     lead = plain_order(df, order[0]).cast("double")
-    probs = F.array(*[F.lit(i / n_slices) for i in range(1, n_slices)])
-    edges = sorted(set(df.agg(F.percentile_approx(lead, probs, F.lit(10 * n_slices))).first()[0]))
-    rows = df.withColumns({"_slice": F.coalesce(count_below(lead, edges), F.lit(-1)), "_v": value})
+    number = slicer(df, lead, df.count())
+    rows = df.withColumns({"_slice": number(lead), "_v": value})
     inner = Window.partitionBy(*by, "_slice").orderBy(*sort)
     place = F.struct(*sort)
     ends = rows.groupBy(*by, "_slice").agg(

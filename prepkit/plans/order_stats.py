@@ -96,6 +96,7 @@ def grouped_values_at_ranks(df: DataFrame, value: Column, groups: list[str], ran
         .where((F.col("start") <= F.col("rank")) & (F.col("rank") < F.col("start") + F.col("span_n")))
         .select(*[k.alias(f"t_{n}") for k, n in zip(keys, names)], "slot", "rank", "start", "lo", "hi")
     )
+    targets = bounds.settle(targets)
     same_group = F.lit(True)
     for n in names:
         same_group = same_group & F.col(n).eqNullSafe(F.col(f"t_{n}"))
@@ -111,6 +112,8 @@ def grouped_values_at_ranks(df: DataFrame, value: Column, groups: list[str], ran
 
 def few_values(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = ()) -> bool:
     """Whether a group's distinct values, of all columns, fit the built-in percentile's memory."""
+    if bounds.largest_group(df, list(groups)) <= bounds.HOT_GROUP_ROWS // len(columns):
+        return True
     sketches = [F.approx_count_distinct(c(x)).alias(f"d{i}") for i, x in enumerate(columns)]
     sizes = df.groupBy(*[c(g) for g in groups]).agg(*sketches)
     whole = sum((F.col(f"d{i}") for i in range(len(columns))), F.lit(0))

@@ -1,0 +1,45 @@
+"""Order-preserving slices of a column, each small enough for one task."""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from prepkit.functions.numeric import count_below
+from prepkit.plans import bounds
+
+COARSE = 128
+"""Quantile slices; finer ones divide each of these evenly, so no expression grows with the data."""
+
+
+def slicer(df: DataFrame, x: Column, n_rows: int) -> Callable[[Column], Column]:
+    """A function from a value to its slice number, rising with the value; missing is -1.
+
+    Quantile edges keep the slices even where values crowd, equal steps between two edges
+    make as many of them as the row count asks for.
+    """
+    wanted = 4 * math.ceil(n_rows / bounds.HOT_GROUP_ROWS)
+    if n_rows <= bounds.HOT_GROUP_ROWS:
+        return lambda v: F.lit(0).cast("bigint")
+    coarse = min(wanted, COARSE)
+    probs = F.array(*[F.lit(i / coarse) for i in range(1, coarse)])
+    row = df.agg(F.min(x).cast("double"), F.max(x).cast("double"),
+                 F.percentile_approx(x.cast("double"), probs, F.lit(100 * COARSE))).first()
+    low, high, cuts = row
+    if low is None:
+        return lambda v: F.lit(0).cast("bigint")
+    edges = sorted({e for e in cuts if low < e < high})
+    steps = math.ceil(wanted / (len(edges) + 1))
+    starts, ends = [F.array(*[F.lit(float(e)) for e in part]) for part in ([low, *edges], [*edges, high])]
+
+    def number(v: Column) -> Column:
+        i = count_below(v, edges)
+        start, end = F.get(starts, i), F.get(ends, i)
+        share = F.when(end > start, (v - start) / (end - start)).otherwise(0.0)
+        step = F.least(F.greatest(F.floor(share * steps), F.lit(0)), F.lit(steps - 1))
+        return F.coalesce(i * steps + step, F.lit(-1)).cast("bigint")
+
+    return number
