@@ -57,6 +57,13 @@ def clean(df: DataFrame, name: str) -> Column:
     return c(name)
 
 
+def present(df: DataFrame, name: str) -> Column:
+    """Whether the value is there; written so that the null test reaches the scan."""
+    if isinstance(dtype(df, name), (T.DoubleType, T.FloatType)):
+        return c(name).isNotNull() & ~F.isnan(c(name))
+    return c(name).isNotNull()
+
+
 def as_double(df: DataFrame, name: str) -> Column:
     """A numeric or boolean column as DOUBLE, NaN read as missing."""
     dt = dtype(df, name)

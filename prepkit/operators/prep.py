@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 from prepkit.functions.naming import IF_EXISTS, free_name, resolve_name
 from prepkit.functions.numeric import bin_labels, bin_number
 from prepkit.functions.schema import (
-    as_double, as_list, c, check_choice, check_columns, check_numeric, clean, dtype, text_columns,
+    as_double, as_list, c, check_choice, check_columns, check_numeric, clean, dtype, present,
+    text_columns,
 )
 from prepkit.operators.stats import value_counts
 from prepkit.plans.order_stats import quantiles
@@ -172,7 +173,7 @@ def clean_nulls(
     kind = dtype(df, column)
     value = clean(df, column)
     if mode == "drop_rows":
-        return df.where(value.isNotNull())
+        return df.where(present(df, column))
     if isinstance(kind, T.NumericType):
         check_choice(numeric_strategy, ("median", "mean", "zero"), "numeric_strategy")
         if numeric_strategy == "zero":

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from prepkit.functions.numeric import bin_number, pearson
 from prepkit.functions.schema import (
     as_double, c, check_choice, check_columns, check_numeric, clean, dtype, numeric_columns,
+    present,
 )
 from prepkit.plans.bounds import ensure_checkpoint_dir, settle, spread
 from prepkit.plans.knn_information import nearest_neighbour_information
@@ -110,7 +111,7 @@ def f_classif(df: DataFrame, target: str, features: Sequence[str]) -> list[float
         moments.append(F.struct(F.lit(i).alias("f"), F.count(x).alias("n"), F.avg(x).alias("m"),
                                 F.var_pop(x).alias("v")))
     per_class = settle(
-        df.where(clean(df, target).isNotNull()).groupBy(c(target).alias("class"))
+        df.where(present(df, target)).groupBy(c(target).alias("class"))
         .agg(F.array(*moments).alias("all"))
         .select(F.inline("all")).where(F.col("n") > 0)
     )
@@ -247,7 +248,7 @@ def rf_importance_select(
     ensure_checkpoint_dir(df.sparkSession)
     filled = [F.coalesce(as_double(df, f), F.lit(0.0)).alias(f"f{i}") for i, f in enumerate(features)]
     y = clean(df, target)
-    rows = df.where(y.isNotNull())
+    rows = df.where(present(df, target))
     if task == "classification":
         rows = rows.select(*filled, y.cast("string").alias("y"))
         rows = StringIndexer(inputCol="y", outputCol="label").fit(rows).transform(rows)

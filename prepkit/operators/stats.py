@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from prepkit.functions import numeric
 from prepkit.functions.schema import (
-    as_double, as_list, c, check_choice, check_columns, check_numeric, clean, dtype,
+    as_double, as_list, c, check_choice, check_columns, check_numeric, clean, dtype, present,
 )
 from prepkit.plans.order_stats import few_values, grouped_quantiles, quantiles
 
@@ -104,9 +104,8 @@ def _median(df: DataFrame, column: str, dropna: bool, groups: list[str], exact:
 
 def _modes(df: DataFrame, column: str, dropna: bool, groups: list[str]) -> DataFrame:
     names = [f"g{i}" for i in range(len(groups))]
-    counts = df.select(*[c(g).alias(n) for g, n in zip(groups, names)], clean(df, column).alias("mode"))
-    if dropna:
-        counts = counts.where(F.col("mode").isNotNull())
+    counts = df.where(present(df, column)) if dropna else df
+    counts = counts.select(*[c(g).alias(n) for g, n in zip(groups, names)], clean(df, column).alias("mode"))
     counts = counts.groupBy(*names, "mode").agg(F.count(F.lit(1)).alias("n"))
     if not groups:
         most = counts.agg(F.max("n")).scalar()

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prepkit.functions.schema import (
-    as_double, as_list, c, check_choice, check_columns, clean, dtype, is_numeric_or_bool, text_columns,
+    as_double, as_list, c, check_choice, check_columns, dtype, is_numeric_or_bool, present, text_columns,
 )
 from prepkit.operators.metrics import (
     area_under_roc, classification_metrics, regression_metrics, roc_auc_ovr,
@@ -80,7 +80,7 @@ def train_model(
     check_columns(df, features, "Feature")
     keys = as_list(key_cols)
 
-    known = df.where(clean(df, target).isNotNull())
+    known = df.where(present(df, target))
     labels = _class_labels(known, target) if problem_type == "classification" else None
     encode, inputs = _feature_stages(known, features, auto_encode)
     split = train_val_test_split(

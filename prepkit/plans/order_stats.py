@@ -71,7 +71,7 @@ def values_at_ranks(df: DataFrame, value: Column, ranks: Sequence[int]) -> list[
 def grouped_values_at_ranks(df: DataFrame, value: Column, groups: list[str], ranks) -> DataFrame:
     """Per group the values at the 0-based ranks `ranks(n)`, a list of columns made from its size n.
 
-    Returns groups, slot, rank, v, below, same. No group is ever held by one task: the work is
+    Returns groups, slot, rank, group_n, v, below, same. No group is ever held by one task: the work is
     spread by (group, value) and the ranges looked at again are as small as a shuffle partition.
     """
     keys = [F.col(f"g{i}") for i in range(len(groups))]
@@ -94,7 +94,7 @@ def grouped_values_at_ranks(df: DataFrame, value: Column, groups: list[str], ran
         .withColumn("start", F.sum("span_n").over(by_group.orderBy("lo")) - F.col("span_n"))
         .select("*", slots.alias("slot", "rank"))
         .where((F.col("start") <= F.col("rank")) & (F.col("rank") < F.col("start") + F.col("span_n")))
-        .select(*[k.alias(f"t_{n}") for k, n in zip(keys, names)], "slot", "rank", "start", "lo", "hi")
+        .select(*[k.alias(f"t_{n}") for k, n in zip(keys, names)], "slot", "rank", "group_n", "start", "lo", "hi")
     )
     targets = bounds.settle(targets)
     same_group = F.lit(True)
@@ -105,7 +105,7 @@ def grouped_values_at_ranks(df: DataFrame, value: Column, groups: list[str], ran
         counts.join(targets, same_group & F.col("v").between(F.col("lo"), F.col("hi")))
         .withColumn("below", F.col("start") + F.sum("n").over(run) - F.col("n"))
         .where((F.col("below") <= F.col("rank")) & (F.col("rank") < F.col("below") + F.col("n")))
-        .select(*[k.alias(g) for k, g in zip(keys, groups)], "slot", "rank", "v", "below",
+        .select(*[k.alias(g) for k, g in zip(keys, groups)], "slot", "rank", "group_n", "v", "below",
                 F.col("n").alias("same"))
     )
 
@@ -131,24 +131,28 @@ def quantiles(
             for i, x in enumerate(columns)
         ]).first()
         return {x: found[i] or [None] * len(probs) for i, x in enumerate(columns)}
-    if len(columns) == 1 and not few_values(df, columns):
-        return {columns[0]: _ranked_quantiles(df, columns[0], probs)}
-    if not few_values(df, columns):
-        return {x: q for n in columns for x, q in quantiles(df, [n], probs).items()}
-    found = df.agg(*[
-        F.percentile(as_double(df, x), at).alias(f"q{i}") for i, x in enumerate(columns)
-    ]).first()
-    return {x: found[i] or [None] * len(probs) for i, x in enumerate(columns)}
-
-
-def _ranked_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> list[float | None]:
-    n = df.agg(F.count(as_double(df, column))).first()[0]
-    if n == 0:
-        return [None] * len(probs)
-    spots = [p * (n - 1) for p in probs]
-    ranks = sorted({math.floor(s) for s in spots} | {math.ceil(s) for s in spots})
-    value = dict(zip(ranks, (v for v, _, _ in values_at_ranks(df, as_double(df, column), ranks))))
-    return [_between(value[math.floor(s)], value[math.ceil(s)], s) for s in spots]
+    if few_values(df, columns):
+        found = df.agg(*[
+            F.percentile(as_double(df, x), at).alias(f"q{i}") for i, x in enumerate(columns)
+        ]).first()
+        return {x: found[i] or [None] * len(probs) for i, x in enumerate(columns)}
+    each = [F.struct(F.lit(i).alias("f"), as_double(df, x).alias("x")) for i, x in enumerate(columns)]
+    long = df.select(F.inline(F.array(*each)))
+    spots: dict[int, dict[int, float]] = {}
+    for r in grouped_values_at_ranks(long, F.col("x"), ["f"], _ranks(probs)).collect():
+        spots.setdefault(r["f"], {"n": r["group_n"]})[r["slot"]] = r["v"]
+    result = {}
+    for i, x in enumerate(columns):
+        at_slot = spots.get(i)
+        result[x] = [None] * len(probs) if at_slot is None else [
+            _between(at_slot[2 * j], at_slot[2 * j + 1], p * (at_slot["n"] - 1)) for j, p in enumerate(probs)
+        ]
+    return result
+
+
+def _ranks(probs: Sequence[float]):
+    """The places on either side of each quantile, two slots a quantile."""
+    return lambda n: [f((n - 1) * F.lit(float(p))) for p in probs for f in (F.floor, F.ceil)]
 
 
 def _between(low: float, high: float, spot: float) -> float:
@@ -168,10 +172,7 @@ def grouped_quantiles(
     if few_values(df, [column], groups):
         return df.groupBy(*keys).agg(F.percentile(x, at).alias("q"))
 
-    def ranks(n: Column) -> list[Column]:
-        return [f((n - 1) * F.lit(float(p))) for p in probs for f in (F.floor, F.ceil)]
-
-    spots = grouped_values_at_ranks(df, x, groups, ranks)
+    spots = grouped_values_at_ranks(df, x, groups, _ranks(probs))
     at_slot = [F.max(F.when(F.col("slot") == i, F.col("v"))) for i in range(2 * len(probs))]
     size = F.max("group_n")
     parts = []
