@@ -224,6 +224,8 @@ def label_by_order(
     rows = df.withColumns(dict(zip(names, [*order, whole_row_hash(df)])))
     label, split, below = F.lit(labels[-1]), F.lit(False), F.lit(None).cast("bigint")
     tied = False
+    open_cuts = sorted({x for x in cuts if 0 < x < total})
+    first = dict(zip(open_cuts, values_at_ranks(rows, F.col(names[0]), [x - 1 for x in open_cuts])))
     for cut, name in reversed(list(zip(cuts, labels))):
         if cut <= 0:
             continue
@@ -232,7 +234,8 @@ def label_by_order(
             continue
         inside, tie, base, whole = F.lit(False), F.lit(True), 0, False
         for o in names:
-            [(value, low, same)] = values_at_ranks(rows.where(tie), F.col(o), [cut - 1 - base])
+            at = [first[cut]] if o == names[0] else values_at_ranks(rows.where(tie), F.col(o), [cut - 1 - base])
+            [(value, low, same)] = at
             inside = inside | (tie & (F.col(o) < F.lit(value)))
             tie = tie & (F.col(o) == F.lit(value))
             base += low
@@ -250,23 +253,36 @@ def label_by_order(
     return _with_copies(marked, split, label, df.columns, labels, into)
 
 
+FEW_FIRST_ROWS = 1000
+"""Up to this many first rows per group, Spark prunes a ranking per task before the shuffle."""
+
+
 def first_per_group(
     df: DataFrame, groups: Sequence[str], order: Sequence[str], quotas: DataFrame, into: str,
 ) -> DataFrame:
     """Label 'in' the first `_cut0` rows of each group in the order of columns, 'out' the others."""
     gs = group_names(groups)
     place = F.struct(*[c(o) for o in order], whole_row_hash(df).alias("_row"))
-    rows = attach(
-        df.select(*[c(g).alias(k) for g, k in zip(groups, gs)], place.alias("place")), quotas, gs
-    ).where(F.col("_cut0") < F.col("_n"))
-    cut = F.struct(F.col("_cut0"), F.col("place"))
-    found = grouped_values_at_ranks(
-        rows.withColumn("keyed", cut), F.col("place"), [*gs, "_cut0"], lambda n: [F.col("g%d" % len(gs)) - 1]
-    )
-    found = found.select(
-        *gs, F.col("v").alias("_v"), F.col("below").alias("_low"),
-        (F.col("below") + F.col("same") == F.col("_cut0")).alias("_whole"),
-    )
+    rows = df.select(*[c(g).alias(k) for g, k in zip(groups, gs)], place.alias("place"))
+    most = quotas.agg(F.max("_cut0")).first()[0] or 0
+    if most <= FEW_FIRST_ROWS:
+        by_place = Window.partitionBy(*gs).orderBy("place")
+        near = (
+            rows.withColumn("rn", F.row_number().over(by_place)).where(F.col("rn") <= most + 1)
+            .withColumn("below", F.rank().over(by_place) - 1)
+            .withColumn("next", F.lead("place").over(by_place))
+        )
+        found = attach(near, quotas, gs).where((F.col("rn") == F.col("_cut0")) & (F.col("_cut0") < F.col("_n")))
+        found = found.select(
+            *gs, F.col("place").alias("_v"), F.col("below").cast("bigint").alias("_low"),
+            F.coalesce(F.col("next") != F.col("place"), F.lit(True)).alias("_whole"))
+    else:
+        keyed = attach(rows, quotas, gs).where(F.col("_cut0") < F.col("_n"))
+        place_of_cut = F.col(f"g{len(gs)}") - 1
+        found = grouped_values_at_ranks(keyed, F.col("place"), [*gs, "_cut0"], lambda n: [place_of_cut])
+        found = found.select(
+            *gs, F.col("v").alias("_v"), F.col("below").alias("_low"),
+            (F.col("below") + F.col("same") == F.col("_cut0")).alias("_whole"))
     bounds = settle(attach(quotas, found, gs, how="left"))
     marked = attach(df.withColumns({"_place": place, "_h": place["_row"]}), bounds, groups, gs)
     tie = F.coalesce((F.col("_place") == F.col("_v")) & ~F.col("_whole"), F.lit(False))

@@ -1,14 +1,14 @@
-"""Nearest-neighbour mutual information between a number and a class (Ross, PLoS ONE 2014)."""
+"""Nearest-neighbour mutual information between numbers and a class (Ross, PLoS ONE 2014)."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prepkit.functions.numeric import digamma
-from prepkit.functions.schema import as_double, c, clean
+from prepkit.functions.schema import as_double, c, clean, present
 from prepkit.plans import bounds
 from prepkit.plans.slices import slicer
 
@@ -19,69 +19,75 @@ JITTER = 1e-10
 def nearest_neighbour_information(
     df: DataFrame, target: str, features: Sequence[str], seed: int = 42,
 ) -> list[float | None]:
-    """One estimate (nats, at least 0) per feature; each costs a few shuffles of (class, value).
+    """One estimate (nats, at least 0) per feature, from a few shuffles of (feature, class, value).
 
     Values are standardised by their spread and given a tiny noise so that ties have an
     order. The noisy values are checkpointed: a recomputed task must not draw new noise.
     """
-    found = []
-    df = bounds.spread(df.select(*[c(n) for n in dict.fromkeys([*features, target])]), df.count())
-    for f in features:
-        x, y = as_double(df, f), clean(df, target)
-        spread, mean = df.agg(F.stddev_pop(x), F.avg(F.abs(x))).first()
-        scale = spread or 1.0
-        noise = JITTER * max(1.0, (mean or 0.0) / scale) * F.randn(seed)
-        points = (
-            df.where(x.isNotNull() & y.isNotNull())
-            .select(F.monotonically_increasing_id().alias("id"), y.alias("y"), (x / scale + noise).alias("x"))
-        )
-        found.append(_information(bounds.cut_lineage(points)))
-    return found
-
-
-def _information(points: DataFrame) -> float | None:
-    sizes = points.groupBy("y").agg(F.count(F.lit(1)).alias("n_y")).where(F.col("n_y") > 1)
-    n, label_term = sizes.agg(
-        F.sum("n_y"), F.sum(F.col("n_y") * digamma(F.col("n_y").cast("double")))).first()
-    if not n:
-        return None
-    alone = points.groupBy("y").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") == 1)
-    points = points.join(alone, "y", "left_anti")
-    slice_of = slicer(points, F.col("x"), n)
-    points = points.withColumn("slice", slice_of(F.col("x")))
-    reach = _reach(points)
-    inside = _count_inside(points, reach, slice_of)
-    k_term, m_term = inside.agg(
-        F.sum(digamma(F.col("k").cast("double"))), F.sum(digamma(F.col("m").cast("double")))).first()
-    psi_n = points.sparkSession.range(1).select(digamma(F.lit(float(n)))).first()[0]
-    return max(0.0, psi_n + (k_term - label_term - m_term) / n)
-
-
-def _reach(points: DataFrame) -> DataFrame:
+    df = df.where(present(df, target)).select(*[c(n) for n in dict.fromkeys([*features, target])])
+    n_rows = df.count()
+    df = bounds.spread(df, n_rows)
+    xs = [as_double(df, f) for f in features]
+    row = df.agg(*[e for x in xs for e in (F.stddev_pop(x), F.avg(F.abs(x)))]).first()
+    each = []
+    for i, x in enumerate(xs):
+        scale, size = row[2 * i] or 1.0, row[2 * i + 1] or 0.0
+        noise = JITTER * max(1.0, size / scale) * F.randn(seed + i)
+        each.append(F.struct(F.lit(i).alias("f"), (x / scale + noise).alias("x")))
+    points = df.select(clean(df, target).alias("y"), F.inline(F.array(*each))).where(F.col("x").isNotNull())
+    points = bounds.cut_lineage(points.withColumn("id", F.monotonically_increasing_id()))
+    if n_rows <= bounds.HOT_GROUP_ROWS:
+        found = _information(points, None)
+    else:
+        # Slices differ by feature, so big tables take one feature at a time.
+        found = {}
+        for i in range(len(features)):
+            mine = points.where(F.col("f") == i)
+            found |= _information(mine, slicer(mine, F.col("x"), n_rows))
+    return [found.get(i) for i in range(len(features))]
+
+
+def _information(points: DataFrame, slice_of: Callable[[Column], Column] | None) -> dict[int, float]:
+    sizes = points.groupBy("f", "y").agg(F.count(F.lit(1)).alias("n_y"))
+    alone = sizes.where(F.col("n_y") == 1).select(F.col("f").alias("f1"), F.col("y").alias("y1"))
+    points = points.join(alone, (F.col("f") == F.col("f1")) & (F.col("y") == F.col("y1")), "left_anti")
+    points = points.withColumn("slice", slice_of(F.col("x")) if slice_of else F.lit(0).cast("bigint"))
+    n_y = F.col("n_y").cast("double")
+    labels = sizes.where(F.col("n_y") > 1).groupBy("f").agg(
+        F.sum("n_y").alias("n"), (F.sum(n_y * digamma(n_y)) / F.sum(n_y)).alias("label"))
+    inside = _count_inside(points, _reach(points, slice_of is not None), slice_of).groupBy("f").agg(
+        F.avg(digamma(F.col("k").cast("double"))).alias("k"),
+        F.avg(digamma(F.col("m").cast("double"))).alias("m"))
+    total = digamma(F.col("n").cast("double")) + F.col("k") - F.col("label") - F.col("m")
+    rows = labels.join(inside, "f").select("f", F.greatest(total, F.lit(0.0)).alias("mi")).collect()
+    return {r["f"]: r["mi"] for r in rows}
+
+
+def _reach(points: DataFrame, sliced: bool) -> DataFrame:
     """Per point the open interval that ends at its third nearest value of the same class.
 
     A slice of a class sees the three values before and after it in other slices.
     """
     k = NEIGHBOURS
-    by_slice = Window.partitionBy("y", "slice")
+    by_slice = Window.partitionBy("f", "y", "slice")
     near_end = (
         points.withColumn("up", F.row_number().over(by_slice.orderBy("x", "id")))
         .withColumn("down", F.row_number().over(by_slice.orderBy(F.desc("x"), F.desc("id"))))
         .where((F.col("up") <= k) | (F.col("down") <= k))
-        .groupBy("y", "slice").agg(
+        .groupBy("f", "y", "slice").agg(
             F.collect_list(F.when(F.col("up") <= k, F.col("x"))).alias("first"),
             F.collect_list(F.when(F.col("down") <= k, F.col("x"))).alias("last"))
     )
     # Each slice listed here has a row, so three of them on a side hold three values.
-    along = Window.partitionBy("y").orderBy("slice")
+    along = Window.partitionBy("f", "y").orderBy("slice")
     halo = (
         near_end
         .withColumn("before", F.flatten(F.collect_list("last").over(along.rowsBetween(-k, -1))))
         .withColumn("after", F.flatten(F.collect_list("first").over(along.rowsBetween(1, k))))
-        .select("y", "slice", F.explode(F.concat("before", "after")).alias("x"),
+        .select("f", "y", "slice", F.explode(F.concat("before", "after")).alias("x"),
                 F.lit(None).cast("bigint").alias("id"))
     )
-    all_rows = points.unionByName(halo)
+    all_rows = points.unionByName(halo) if sliced else points
     order = by_slice.orderBy("x", "id")
     x = F.col("x")
     others = [F.lag("x", i).over(order) for i in range(1, k + 1)]
@@ -92,32 +98,36 @@ def _reach(points: DataFrame) -> DataFrame:
         .withColumn("near", F.slice(F.sort_array(F.filter("near", lambda s: s["v"].isNotNull())), 1, k))
         .withColumn("k", F.size("near")).withColumn("far", F.element_at("near", -1))
         .select(
-            "id", "k",
+            "f", "id", "k",
             F.when(F.col("far.v") <= x, F.col("far.v")).otherwise(x - F.col("far.d")).alias("lo"),
             F.when(F.col("far.v") > x, F.col("far.v")).otherwise(x + F.col("far.d")).alias("hi"),
         )
     )
 
 
-def _count_inside(points: DataFrame, reach: DataFrame, slice_of) -> DataFrame:
+def _count_inside(points: DataFrame, reach: DataFrame, slice_of: Callable[[Column], Column] | None) -> DataFrame:
     """Per point how many points of any class lie strictly inside its interval.
 
     Points and interval ends are put in one order per slice; a running count there plus the
     totals of the slices before gives the number of points below each end.
     """
-    ends = reach.select("id", "k", F.inline(F.array(
+    ends = reach.select("f", "id", "k", F.inline(F.array(
         F.struct(F.col("lo").alias("x"), F.lit(2).alias("kind"), F.lit(-1).alias("sign")),
         F.struct(F.col("hi").alias("x"), F.lit(0).alias("kind"), F.lit(1).alias("sign")),
-    ))).withColumn("slice", slice_of(F.col("x")))
+    ))).withColumn("slice", slice_of(F.col("x")) if slice_of else F.lit(0).cast("bigint"))
     # kind puts a point after the end of an interval at its own value and before its start.
-    both = points.select("slice", "x", F.lit(1).alias("kind"), F.lit(1).alias("one")).unionByName(
+    both = points.select("f", "slice", "x", F.lit(1).alias("kind"), F.lit(1).alias("one")).unionByName(
         ends.withColumn("one", F.lit(0)), allowMissingColumns=True)
-    # One row per slice: the points of all slices before it.
-    totals = both.groupBy("slice").agg(F.sum("one").alias("total"))
-    start = F.sum("total").over(Window.orderBy("slice")) - F.col("total")
-    starts = bounds.settle(totals.select(F.col("slice").alias("s"), start.alias("start")))
-    run = Window.partitionBy("slice").orderBy("x", "kind")
+    run = Window.partitionBy("f", "slice").orderBy("x", "kind")
     counted = both.withColumn("below", F.sum("one").over(run.rowsBetween(Window.unboundedPreceding, 0)))
-    placed = counted.where(F.col("id").isNotNull()).join(starts, F.col("slice") == F.col("s"))
-    return placed.groupBy("id").agg(
-        F.max("k").alias("k"), F.sum(F.col("sign") * (F.col("below") + F.col("start"))).alias("m"))
+    counted = counted.where(F.col("id").isNotNull())
+    if slice_of:
+        # One row per slice: the points of all slices before it.
+        totals = both.groupBy("f", "slice").agg(F.sum("one").alias("total"))
+        start = F.sum("total").over(Window.partitionBy("f").orderBy("slice")) - F.col("total")
+        starts = bounds.settle(
+            totals.select(F.col("f").alias("f2"), F.col("slice").alias("s"), start.alias("start")))
+        counted = counted.join(starts, (F.col("f") == F.col("f2")) & (F.col("slice") == F.col("s")))
+        counted = counted.withColumn("below", F.col("below") + F.col("start"))
+    return counted.groupBy("f", "id").agg(
+        F.max("k").alias("k"), F.sum(F.col("sign") * F.col("below")).alias("m"))

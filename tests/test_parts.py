@@ -38,6 +38,7 @@ def way(request, monkeypatch):
     """Small groups directly; by narrowing hash prefixes; with class tables too big to broadcast."""
     if request.param != "plain":
         monkeypatch.setattr(cuts, "EDGE_ROWS", 5)
+        monkeypatch.setattr(cuts, "FEW_FIRST_ROWS", 0)
     if request.param == "many_classes":
         monkeypatch.setattr(sample.settle, "__defaults__", (2,))
         monkeypatch.setattr(bounds, "SMALL_TABLE_ROWS", 2)
@@ -104,6 +105,7 @@ def test_parts_of_copies_and_repeated_keys(spark, monkeypatch):
     monkeypatch.setattr(cuts, "CHUNK", 7)
     for edge in (100_000, 5):
         monkeypatch.setattr(cuts, "EDGE_ROWS", edge)
+        monkeypatch.setattr(cuts, "FEW_FIRST_ROWS", edge - 5)
         for df in (same, mixed):
             n = df.count()
             for keys in (None, "k"):
