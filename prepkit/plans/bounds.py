@@ -11,7 +11,10 @@ SMALL_TABLE_ROWS = 50_000
 """Most rows a helper table may have to be pulled to the driver and broadcast."""
 
 HOT_GROUP_ROWS = 2_000_000
-"""Most rows (or distinct values) of one group that a single task may be given."""
+"""Most distinct values of one group that a single task may keep in memory."""
+
+WINDOW_GROUP_ROWS = 20_000_000
+"""Most rows of one group that a single task may sort, which can spill."""
 
 
 SPREAD_ROWS = 5_000_000

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from prepkit.functions.schema import c, check_columns
 from prepkit.plans.bounds import settle
+from prepkit.plans.joins import attach
 from prepkit.plans.order_stats import grouped_values_at_ranks, values_at_ranks
 
 DIGITS = 3
@@ -46,27 +47,6 @@ def group_names(groups: Sequence[str]) -> list[str]:
     return [f"_g{i}" for i in range(len(groups))]
 
 
-def attach(
-    df: DataFrame, table: DataFrame, groups: Sequence[str], keys: Sequence[str] | None = None,
-    how: str = "inner",
-) -> DataFrame:
-    """Add the other columns of a per-group table; missing keys match missing keys.
-
-    `keys` are the table's names of `groups`. Without groups the table is one row, and its
-    values become literals.
-    """
-    keys = list(groups if keys is None else keys)
-    extra = [n for n in table.columns if n not in keys]
-    if not keys:
-        row = table.first()
-        return df.withColumns({n: F.lit(row[n]).cast(table.schema[n].dataType) for n in extra})
-    side = table.withColumnsRenamed({k: f"_t{i}" for i, k in enumerate(keys)})
-    same = F.lit(True)
-    for i, g in enumerate(groups):
-        same = same & c(g).eqNullSafe(F.col(f"_t{i}"))
-    return df.join(side, same, how).drop(*[f"_t{i}" for i in range(len(keys))])
-
-
 def attach_cuts(df: DataFrame, cuts: DataFrame, on: list[str]) -> DataFrame:
     """Pair rows with the open cuts of their group; those of an ungrouped table are literals."""
     if on:
@@ -262,30 +242,42 @@ def first_per_group(
 ) -> DataFrame:
     """Label 'in' the first `_cut0` rows of each group in the order of columns, 'out' the others."""
     gs = group_names(groups)
-    place = F.struct(*[c(o) for o in order], whole_row_hash(df).alias("_row"))
-    rows = df.select(*[c(g).alias(k) for g, k in zip(groups, gs)], place.alias("place"))
+    row = whole_row_hash(df)
+    for last_try in (False, True):
+        # Only where the order has ties at a cut are they told apart by the whole row.
+        place = F.struct(*[c(o) for o in order], *([row.alias("_row")] if last_try else []))
+        rows = df.select(*[c(g).alias(k) for g, k in zip(groups, gs)], place.alias("place"))
+        found = settle(_first_bounds(rows, gs, quotas))
+        tied = bool(found.where(~F.col("_whole")).head(1))
+        if not tied:
+            break
+    bounds = settle(attach(quotas, found, gs, how="left"))
+    marked = attach(df.withColumn("_place", place), bounds, groups, gs)
+    inside = F.col("_v").isNull() | (F.col("_place") <= F.col("_v"))
+    label = F.when(inside, "in").otherwise("out")
+    if not tied:
+        return marked.select(*[c(n) for n in df.columns], label.alias(into))
+    tie = F.coalesce((F.col("_place") == F.col("_v")) & ~F.col("_whole"), F.lit(False))
+    marked = marked.withColumns({"_h": row, "_below": F.col("_low")})
+    return _with_copies(marked, tie, label, df.columns, ["in", "out"], into)
+
+
+def _first_bounds(rows: DataFrame, gs: list[str], quotas: DataFrame) -> DataFrame:
+    """Per group that is cut: the place of its last row, rows before that place, whether all at it fit."""
     most = quotas.agg(F.max("_cut0")).first()[0] or 0
-    if most <= FEW_FIRST_ROWS:
-        by_place = Window.partitionBy(*gs).orderBy("place")
-        near = (
-            rows.withColumn("rn", F.row_number().over(by_place)).where(F.col("rn") <= most + 1)
-            .withColumn("below", F.rank().over(by_place) - 1)
-            .withColumn("next", F.lead("place").over(by_place))
-        )
-        found = attach(near, quotas, gs).where((F.col("rn") == F.col("_cut0")) & (F.col("_cut0") < F.col("_n")))
-        found = found.select(
-            *gs, F.col("place").alias("_v"), F.col("below").cast("bigint").alias("_low"),
-            F.coalesce(F.col("next") != F.col("place"), F.lit(True)).alias("_whole"))
-    else:
+    if most > FEW_FIRST_ROWS:
         keyed = attach(rows, quotas, gs).where(F.col("_cut0") < F.col("_n"))
-        place_of_cut = F.col(f"g{len(gs)}") - 1
-        found = grouped_values_at_ranks(keyed, F.col("place"), [*gs, "_cut0"], lambda n: [place_of_cut])
-        found = found.select(
+        last = F.col(f"g{len(gs)}") - 1
+        return grouped_values_at_ranks(keyed, F.col("place"), [*gs, "_cut0"], lambda n: [last]).select(
             *gs, F.col("v").alias("_v"), F.col("below").alias("_low"),
             (F.col("below") + F.col("same") == F.col("_cut0")).alias("_whole"))
-    bounds = settle(attach(quotas, found, gs, how="left"))
-    marked = attach(df.withColumns({"_place": place, "_h": place["_row"]}), bounds, groups, gs)
-    tie = F.coalesce((F.col("_place") == F.col("_v")) & ~F.col("_whole"), F.lit(False))
-    inside = F.col("_v").isNull() | (F.col("_place") <= F.col("_v"))
-    label = F.when(inside, "in").otherwise("out")
-    return _with_copies(marked.withColumn("_below", F.col("_low")), tie, label, df.columns, ["in", "out"], into)
+    by_place = Window.partitionBy(*gs).orderBy("place")
+    near = (
+        rows.withColumn("rn", F.row_number().over(by_place)).where(F.col("rn") <= most + 1)
+        .withColumn("low", F.rank().over(by_place).cast("bigint") - 1)
+        .withColumn("next", F.lead("place").over(by_place))
+    )
+    return attach(near, quotas, gs).where(
+        (F.col("rn") == F.col("_cut0")) & (F.col("_cut0") < F.col("_n"))
+    ).select(*gs, F.col("place").alias("_v"), F.col("low").alias("_low"),
+             F.coalesce(F.col("next") != F.col("place"), F.lit(True)).alias("_whole"))

@@ -36,7 +36,7 @@ def nearest_neighbour_information(
         each.append(F.struct(F.lit(i).alias("f"), (x / scale + noise).alias("x")))
     points = df.select(clean(df, target).alias("y"), F.inline(F.array(*each))).where(F.col("x").isNotNull())
     points = bounds.cut_lineage(points.withColumn("id", F.monotonically_increasing_id()))
-    if n_rows <= bounds.HOT_GROUP_ROWS:
+    if n_rows <= bounds.WINDOW_GROUP_ROWS:
         found = _information(points, None)
     else:
         # Slices differ by feature, so big tables take one feature at a time.

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from prepkit.functions.schema import c
 from prepkit.plans import bounds
-from prepkit.plans.cuts import attach, plain_order
+from prepkit.plans.cuts import plain_order
 from prepkit.plans.slices import slicer
 
 
@@ -24,17 +24,17 @@ def with_neighbour(
     step = F.lead if after else F.lag
     by, sort = [c(k) for k in keys], [c(o) for o in order]
     largest = bounds.largest_group(df, list(keys))
-    if largest <= bounds.HOT_GROUP_ROWS:
+    if largest <= bounds.WINDOW_GROUP_ROWS:
         return df.withColumn(into, step(value).over(Window.partitionBy(*by).orderBy(*sort)))
     lead = plain_order(df, order[0]).cast("double")
     number = slicer(df, lead, df.count())
-    rows = df.withColumns({"_slice": number(lead), "_v": value})
-    inner = Window.partitionBy(*by, "_slice").orderBy(*sort)
-    place = F.struct(*sort)
-    ends = rows.groupBy(*by, "_slice").agg(
-        (F.min_by if after else F.max_by)(F.struct("_v"), place).alias("_end"))
-    ends = ends.withColumn("_end", step("_end").over(Window.partitionBy(*by).orderBy("_slice")))
-    # A wrapped value tells "the neighbour holds null" from "there is none in this slice".
-    rows = rows.withColumn("_near", step(F.struct("_v")).over(inner))
-    found = F.coalesce(F.col("_near"), F.col("_end"))["_v"]
-    return attach(rows, ends, [*keys, "_slice"]).select(*[c(n) for n in df.columns], found.alias(into))
+    rows = df.withColumns({"_slice": number(lead), "_v": F.struct(value.alias("v")), "_kind": F.lit(1)})
+    # The end row of each slice goes into the next slice of its key as a row that sorts outermost.
+    ends = rows.groupBy(*by, "_slice").agg((F.min_by if after else F.max_by)("_v", F.struct(*sort)).alias("_v"))
+    ends = ends.withColumn("_v", step("_v").over(Window.partitionBy(*by).orderBy("_slice")))
+    guests = ends.where(F.col("_v").isNotNull()).withColumn("_kind", F.lit(2 if after else 0))
+    near = step("_v").over(Window.partitionBy(*by, "_slice").orderBy("_kind", *sort))
+    return (
+        rows.unionByName(guests, allowMissingColumns=True).withColumn("_near", near)
+        .where(F.col("_kind") == 1).select(*[c(n) for n in df.columns], F.col("_near.v").alias(into))
+    )

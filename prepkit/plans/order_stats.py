@@ -8,7 +8,6 @@ the ranges.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,9 +15,15 @@ from pyspark.sql import functions as F
 
 from prepkit.functions.schema import as_double, c
 from prepkit.plans import bounds
+from prepkit.plans.joins import attach
 from prepkit.plans.bounds import shuffle_width
 
 
+ACCURACY = 10_000
+BRACKET = 3 / ACCURACY
+"""Half width of a quantile's bracket: the sketch is off by at most 1/ACCURACY of the rows."""
+
+
 def values_at_ranks(df: DataFrame, value: Column, ranks: Sequence[int]) -> list[tuple]:
     """For each 0-based rank of the non-missing `value`: (value, rows below it, rows equal to it)."""
     counts = (
@@ -137,27 +142,55 @@ def quantiles(
         ]).first()
         return {x: found[i] or [None] * len(probs) for i, x in enumerate(columns)}
     each = [F.struct(F.lit(i).alias("f"), as_double(df, x).alias("x")) for i, x in enumerate(columns)]
-    long = df.select(F.inline(F.array(*each)))
-    spots: dict[int, dict[int, float]] = {}
-    for r in grouped_values_at_ranks(long, F.col("x"), ["f"], _ranks(probs)).collect():
-        spots.setdefault(r["f"], {"n": r["group_n"]})[r["slot"]] = r["v"]
-    result = {}
-    for i, x in enumerate(columns):
-        at_slot = spots.get(i)
-        result[x] = [None] * len(probs) if at_slot is None else [
-            _between(at_slot[2 * j], at_slot[2 * j + 1], p * (at_slot["n"] - 1)) for j, p in enumerate(probs)
-        ]
-    return result
+    found = {r["f"]: r["q"] for r in _ranked_quantiles(df.select(F.inline(F.array(*each))), "x", ["f"], probs).collect()}
+    return {x: found.get(i) or [None] * len(probs) for i, x in enumerate(columns)}
 
 
-def _ranks(probs: Sequence[float]):
-    """The places on either side of each quantile, two slots a quantile."""
-    return lambda n: [f((n - 1) * F.lit(float(p))) for p in probs for f in (F.floor, F.ceil)]
+def _ranked_quantiles(df: DataFrame, column: str, groups: list[str], probs: Sequence[float]) -> DataFrame:
+    """Groups and `q` from exact order statistics, shuffling only values near the wanted places.
 
-
-def _between(low: float, high: float, spot: float) -> float:
-    share = spot - math.floor(spot)
-    return low + (high - low) * share
+    Groups that fit one task take the built-in percentile. For the others a sketch brackets
+    each quantile, one pass counts what lies below the bracket, and what lies inside it (some
+    1/1000 of the rows) is ranked.
+    """
+    names = [f"_k{i}" for i in range(len(groups))]
+    rows = df.select(*[c(g).alias(k) for g, k in zip(groups, names)], c(column).alias("x"))
+    rows = rows.where(F.col("x").isNotNull())
+    ends = [e for p in probs for e in (max(p - BRACKET, 0.0), min(p + BRACKET, 1.0))]
+    sketch = bounds.settle(rows.groupBy(*names).agg(
+        F.count("x").alias("n"),
+        F.percentile_approx("x", F.array(*[F.lit(float(e)) for e in ends]), F.lit(ACCURACY)).alias("ends")))
+    small = attach(rows, sketch.where(F.col("n") <= bounds.HOT_GROUP_ROWS).select(*names), names)
+    small = small.groupBy(*names).agg(
+        F.percentile("x", F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
+    sketch = sketch.where(F.col("n") > bounds.HOT_GROUP_ROWS)
+    # Below this size a place more or less could leave the bracket.
+    sure = F.col("n") * BRACKET >= 4
+    lows = [F.when(sure, F.col("ends")[2 * j]).otherwise(float("-inf")) for j in range(len(probs))]
+    highs = [F.when(sure, F.col("ends")[2 * j + 1]).otherwise(float("inf")) for j in range(len(probs))]
+    near = attach(rows, sketch, names)
+    below = bounds.settle(attach(sketch, near.groupBy(*names).agg(F.array(
+        *[F.count_if(F.col("x") < low) for low in lows]).alias("below")), names))
+    cells = F.array(*[
+        F.struct(F.lit(j).alias("j"), F.col("below")[j].alias("start"),
+                 F.col("x").between(low, high).alias("inside"))
+        for j, (low, high) in enumerate(zip(lows, highs))
+    ])
+    inside = attach(rows, below, names).select(*names, "n", "x", F.inline(cells)).where("inside")
+    # Group size, bracket and its start are the same for all rows of a group and bracket.
+    keys = [*names, "n", "j", "start"]
+    size, slot, start = (F.col(f"g{i}") for i in range(len(names), len(keys)))
+    share = F.get(F.array(*[F.lit(float(p)) for p in probs]), slot)
+    spots = grouped_values_at_ranks(
+        inside, F.col("x"), keys,
+        lambda n: [f((size - 1) * share) - start for f in (F.floor, F.ceil)])
+    spot = (F.col("n") - 1) * F.get(F.array(*[F.lit(float(p)) for p in probs]), F.col("j"))
+    low, high = (F.max(F.when(F.col("slot") == i, F.col("v"))) for i in (0, 1))
+    each = spots.groupBy(*keys).agg(low.alias("low"), high.alias("high")).withColumn(
+        "v", F.col("low") + (F.col("high") - F.col("low")) * (spot - F.floor(spot)))
+    found = each.groupBy(*names).agg(F.sort_array(F.collect_list(F.struct("j", "v"))).alias("q"))
+    found = found.select(*names, F.transform("q", lambda s: s["v"]).alias("q")).unionByName(small)
+    return found.select(*[F.col(k).alias(g) for k, g in zip(names, groups)], "q")
 
 
 def grouped_quantiles(
@@ -172,24 +205,6 @@ def grouped_quantiles(
     if few_values(df, [column], groups):
         return df.groupBy(*keys).agg(F.percentile(x, at).alias("q"))
 
-    spots = grouped_values_at_ranks(df, x, groups, _ranks(probs))
-    at_slot = [F.max(F.when(F.col("slot") == i, F.col("v"))) for i in range(2 * len(probs))]
-    size = F.max("group_n")
-    parts = []
-    for i, p in enumerate(probs):
-        share = (size - 1) * F.lit(float(p)) - F.floor((size - 1) * F.lit(float(p)))
-        parts.append(at_slot[2 * i] + (at_slot[2 * i + 1] - at_slot[2 * i]) * share)
-    sizes = df.groupBy(*keys).agg(F.count(x).alias("group_n"))
-    same = F.lit(True)
-    for i, g in enumerate(groups):
-        same = same & sizes[c_name(g)].eqNullSafe(F.col(f"k{i}"))
-    spots = spots.select(*[c(g).alias(f"k{i}") for i, g in enumerate(groups)], "slot", "v")
-    return (
-        sizes.join(spots, same, "left")
-        .groupBy(*[c(g) for g in groups]).agg(F.array(*parts).alias("q"))
-        .withColumn("q", F.when(F.col("q")[0].isNotNull(), F.col("q")))
-    )
-
-
-def c_name(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+    found = _ranked_quantiles(df.select(*keys, x.alias("_x")), "_x", groups, probs)
+    everyone = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return attach(everyone, found, groups, how="left").select(*keys, "q")

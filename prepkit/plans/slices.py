@@ -21,8 +21,8 @@ def slicer(df: DataFrame, x: Column, n_rows: int) -> Callable[[Column], Column]:
     Quantile edges keep the slices even where values crowd, equal steps between two edges
     make as many of them as the row count asks for.
     """
-    wanted = 4 * math.ceil(n_rows / bounds.HOT_GROUP_ROWS)
-    if n_rows <= bounds.HOT_GROUP_ROWS:
+    wanted = 4 * math.ceil(n_rows / bounds.WINDOW_GROUP_ROWS)
+    if n_rows <= bounds.WINDOW_GROUP_ROWS:
         return lambda v: F.lit(0).cast("bigint")
     coarse = min(wanted, COARSE)
     probs = F.array(*[F.lit(i / coarse) for i in range(1, coarse)])

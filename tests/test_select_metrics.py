@@ -105,7 +105,7 @@ def test_neighbour_information_equals_brute_force(spark, data, monkeypatch, hot)
     y = y.copy()
     y[0], y[1:4] = 77, 88
     rows = spark.createDataFrame([(int(k), float(v)) for k, v in zip(y, a)], "y int, a double")
-    monkeypatch.setattr(bounds, "HOT_GROUP_ROWS", hot)
+    monkeypatch.setattr(bounds, "WINDOW_GROUP_ROWS", hot)
     got = select.select_kbest(rows, "y", 1, "mutual_info_classif", method="knn")
     assert scores(got)["a"] == pytest.approx(brute_information(a / a.std(), y), abs=1e-6)
 

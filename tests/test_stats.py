@@ -112,7 +112,8 @@ def test_names_with_dots_and_spaces(spark):
     assert stats.compute_statistic(df, "a.b c", "mode", groupby="grüppe").count() == 2
 
 
-def test_large_columns_take_the_distributed_path(spark, monkeypatch):
+@pytest.mark.parametrize("bracket", [None, 0.05])
+def test_large_columns_take_the_distributed_path(spark, monkeypatch, bracket):
     """Same numbers when a column is too big for one task: hot values, gaps and all."""
     rng = np.random.default_rng(3)
     values = np.where(rng.random(3000) < 0.35, 5.0, np.round(rng.normal(size=3000), 2))
@@ -121,6 +122,9 @@ def test_large_columns_take_the_distributed_path(spark, monkeypatch):
     df = spark.createDataFrame([*rows, (None, 1.0), (None, 4.0), ("empty", None)], "g string, x double")
     pdf = pd.DataFrame([*rows, (None, 1.0), (None, 4.0), ("empty", None)], columns=["g", "x"])
     monkeypatch.setattr(bounds, "HOT_GROUP_ROWS", 10)
+    if bracket:
+        monkeypatch.setattr(order_stats, "ACCURACY", 60)
+        monkeypatch.setattr(order_stats, "BRACKET", bracket)
     probs = [0.0, 0.1, 1 / 3, 0.5, 0.9, 1.0]
     got = order_stats.quantiles(df, ["x"], probs)["x"]
     assert got == pytest.approx(list(pdf["x"].quantile(probs)))

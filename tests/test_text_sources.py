@@ -37,7 +37,7 @@ def test_transcripts(spark, monkeypatch, hot):
         if pairs:
             want[conv] = "\n\n".join(f"User: {a[3]}\nAssistant: {b[3]}" for a, b in pairs)
     df = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")
-    monkeypatch.setattr(bounds, "HOT_GROUP_ROWS", hot)
+    monkeypatch.setattr(bounds, "WINDOW_GROUP_ROWS", hot)
     assert {r["conv_id"]: r["transcript"] for r in text.last_transcript(df).collect()} == want
 
 
@@ -51,7 +51,7 @@ def test_repeats(spark, monkeypatch, hot):
         if last.get(s) != mark:
             want.append((t, mark))
         last[s] = mark
-    monkeypatch.setattr(bounds, "HOT_GROUP_ROWS", hot)
+    monkeypatch.setattr(bounds, "WINDOW_GROUP_ROWS", hot)
     got = text.suppress_repeats(df, "s", "t", "q").select("t", "fingerprint").collect()
     assert sorted(tuple(r) for r in got) == want
 
