@@ -176,7 +176,7 @@ def _ranked_quantiles(df: DataFrame, column: str, groups: list[str], probs: Sequ
                  F.col("x").between(low, high).alias("inside"))
         for j, (low, high) in enumerate(zip(lows, highs))
     ])
-    inside = attach(rows, below, names).select(*names, "n", "x", F.inline(cells)).where("inside")
+    inside = attach(rows, below, names).select(*names, "n", "x", F.inline(cells)).where("inside").persist()
     # Group size, bracket and its start are the same for all rows of a group and bracket.
     keys = [*names, "n", "j", "start"]
     size, slot, start = (F.col(f"g{i}") for i in range(len(names), len(keys)))
@@ -189,8 +189,14 @@ def _ranked_quantiles(df: DataFrame, column: str, groups: list[str], probs: Sequ
     each = spots.groupBy(*keys).agg(low.alias("low"), high.alias("high")).withColumn(
         "v", F.col("low") + (F.col("high") - F.col("low")) * (spot - F.floor(spot)))
     found = each.groupBy(*names).agg(F.sort_array(F.collect_list(F.struct("j", "v"))).alias("q"))
-    found = found.select(*names, F.transform("q", lambda s: s["v"]).alias("q")).unionByName(small)
-    return found.select(*[F.col(k).alias(g) for k, g in zip(names, groups)], "q")
+    whole = (F.size("q") == len(probs)) & ~F.exists("q", lambda s: s["v"].isNull())
+    found = found.select(*names, F.when(whole, F.transform("q", lambda s: s["v"])).otherwise(
+        F.raise_error(F.lit("A quantile lies outside its bracket."))).alias("q")).unionByName(small)
+    try:
+        found = bounds.settle(found.select(*[F.col(k).alias(g) for k, g in zip(names, groups)], "q"))
+    finally:
+        inside.unpersist()
+    return found
 
 
 def grouped_quantiles(
@@ -204,7 +210,6 @@ def grouped_quantiles(
         return df.groupBy(*keys).agg(F.percentile_approx(x, at, F.lit(10_000)).alias("q"))
     if few_values(df, [column], groups):
         return df.groupBy(*keys).agg(F.percentile(x, at).alias("q"))
-
     found = _ranked_quantiles(df.select(*keys, x.alias("_x")), "_x", groups, probs)
     everyone = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     return attach(everyone, found, groups, how="left").select(*keys, "q")
