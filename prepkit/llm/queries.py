@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prepkit.llm import line_dedup, sharding, simhash
+from prepkit.llm import line_dedup, mixing, sharding, simhash
 from prepkit.llm.shared import table
 
 SHARDS = 24
@@ -44,8 +44,14 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, folder, "documents"))
 
 
+def op10_entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, folder, "documents"))
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source", "copies")
+
+
 QUERIES = {
     "op4_line_dedup": (op4_line_dedup, OP4_SQL),
     "op7_jump_hash_shards": (op7_jump_hash_shards, None),
     "op8_simhash": (op8_simhash, None),
+    "op10_entropy_mix": (op10_entropy_mix, None),
 }
