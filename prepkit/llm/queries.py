@@ -5,12 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prepkit.llm import line_dedup, mixing, sharding, simhash
+from prepkit.llm import line_dedup, mixing, packing, sharding, simhash
 from prepkit.llm.shared import table
 
 SHARDS = 24
 
 
+def byte_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_concat_pack(spark: SparkSession, folder: str) -> DataFrame:
+    cut = packing.pieces(table(spark, folder, "documents"), byte_bpe())
+    return cut.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     done = line_dedup.dedup_lines(table(spark, folder, "documents"))
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -50,6 +61,7 @@ def op10_entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_concat_pack": (op2_concat_pack, None),
     "op4_line_dedup": (op4_line_dedup, OP4_SQL),
     "op7_jump_hash_shards": (op7_jump_hash_shards, None),
     "op8_simhash": (op8_simhash, None),
