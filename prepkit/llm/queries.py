@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prepkit.llm import line_dedup, mixing, packing, sharding, simhash
+from prepkit.llm import line_dedup, mixing, packing, quality, sharding, simhash
 from prepkit.llm.shared import table
 
 SHARDS = 24
@@ -27,6 +27,10 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_ngram_perplexity(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.score(table(spark, folder, "documents")).drop("row").withColumnRenamed("id", "doc_id")
+
+
 OP4_SQL = r"""
 WITH lines AS (
   SELECT doc_id, pos, line,
@@ -62,6 +66,7 @@ def op10_entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_concat_pack": (op2_concat_pack, None),
+    "op3_ngram_perplexity": (op3_ngram_perplexity, None),
     "op4_line_dedup": (op4_line_dedup, OP4_SQL),
     "op7_jump_hash_shards": (op7_jump_hash_shards, None),
     "op8_simhash": (op8_simhash, None),
