@@ -164,48 +164,51 @@ def kneser_ney(counted: DataFrame) -> DataFrame:
 
 # ---- scores ----
 
-def _model_slices(model: DataFrame) -> Iterator[tuple[Broadcast, bool]]:
-    """Sorted key and log-probability arrays, at most SLICE entries at a time."""
-    context = model.sparkSession.sparkContext
-    n = model.count()
-    parts = max(1, -(-n // SLICE))
-    if parts == 1:
-        bounds = []
-    else:  # twice the parts needed, as approximate bounds make uneven slices
-        shares = [i / (2 * parts) for i in range(1, 2 * parts)]
-        bounds = sorted(set(model.agg(F.percentile_approx("g", shares, 100 * parts)).first()[0]))
-    edges = [None, *bounds, None]
-    for low, high in zip(edges[:-1], edges[1:], strict=True):
-        some = model
-        if low is not None:
-            some = some.filter(F.col("g") >= low)
-        if high is not None:
-            some = some.filter(F.col("g") < high)
-        got = some.select("g", F.log("p").cast("float").alias("p")).toArrow()
-        keys, logs = got["g"].to_numpy(), got["p"].to_numpy()
-        order = np.argsort(keys)
-        yield context.broadcast((keys[order], logs[order])), low is None
-
-
-def _score(batches: Iterator[pa.RecordBatch], model: Broadcast, with_base: bool) -> Iterator[pa.RecordBatch]:
+def _slice_bounds(model: DataFrame) -> list[tuple[int | None, int | None]]:
+    """Ranges of n-grams with about SLICE entries or fewer each."""
+    parts = -(-model.count() // SLICE)
+    if parts <= 1:
+        return [(None, None)]
+    shares = [i / (2 * parts) for i in range(1, 2 * parts)]  # approximate bounds make uneven slices
+    inner = sorted(set(model.agg(F.percentile_approx("g", shares, 100 * parts)).first()[0]))
+    return list(zip([None, *inner], [*inner, None], strict=True))
+
+
+def _sorted_arrays(model: DataFrame, low: int | None, high: int | None) -> Broadcast:
+    """A slice of the model as sorted n-grams and their log probabilities."""
+    if low is not None:
+        model = model.filter(F.col("g") >= low)
+    if high is not None:
+        model = model.filter(F.col("g") < high)
+    got = model.select("g", F.log("p").cast("float").alias("p")).toArrow()
+    keys, logs = got["g"].to_numpy(), got["p"].to_numpy()
+    order = np.argsort(keys)
+    return model.sparkSession.sparkContext.broadcast((keys[order], logs[order]))
+
+
+def _score(batches: Iterator[pa.RecordBatch], model: Broadcast, out: list[str]) -> Iterator[pa.RecordBatch]:
+    """Add one model slice's part of log_p; on the first slice also count the base columns."""
     keys, logs = model.value
     for whole in batches:
         for batch in slices(whole, "text", BATCH):
             texts = _texts(batch)
             packed, counts = grams(texts)
             codes, found = pd.factorize(packed)
+            gain = np.zeros(len(found))
             if len(keys):
                 at = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
                 gain = np.where(keys[at] == found, logs[at], 0.0).astype(np.float64)
-            else:
-                gain = np.zeros(len(found))
             doc = np.repeat(np.arange(len(texts)), counts)
             total = np.bincount(doc, weights=gain[codes], minlength=len(texts))
-            base = base_counts([t.encode() for t in texts]) if with_base else [np.zeros(len(texts), np.int64)] * 5
-            yield pa.RecordBatch.from_arrays(
-                [batch["row"], batch["id"], batch["lang"], *map(pa.array, base),
-                 pa.array(counts.astype(np.int64)), pa.array(total)],
-                ["row", "id", "lang", *[c.split()[0] for c in BASE_COLUMNS.split(", ")], "n_scored", "log_p"])
+            made = {name: batch[name] for name in batch.schema.names}
+            if "log_p" in made:
+                total = total + made["log_p"].to_numpy()
+            else:
+                names = [c.split()[0] for c in BASE_COLUMNS.split(", ")]
+                made |= dict(zip(names, map(pa.array, base_counts([t.encode() for t in texts])), strict=True))
+                made["n_scored"] = pa.array(counts.astype(np.int64))
+            made["log_p"] = pa.array(total)
+            yield pa.RecordBatch.from_arrays([made[name] for name in out], out)
 
 
 def _middle(cells: DataFrame, value: str) -> DataFrame:
@@ -238,34 +241,46 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
-def score(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", row: Column | None = None) -> DataFrame:
-    """One row per document: row, id, lang, the base counts, base_failed, perplexity, its band, kept.
+def _scored(df: DataFrame, key: str, text: str, lang: str, carried: list[str]) -> DataFrame:
+    """id, lang, the base counts, the verdicts, and the carried columns of `df` as k0, k1, ..."""
+    rows = df.select(
+        col(key).alias("id"), col(lang).cast("string").alias("lang"), col(text).cast("string").alias("text"),
+        *[col(name).alias(f"k{i}") for i, name in enumerate(carried)])
+    counted = written(map_arrow(rows.select("text"), _count, "g long, c long").groupBy("g").agg(F.sum("c").alias("c")), "grams")
+    model = kneser_ney(counted)
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    kinds |= dict(c.split() for c in BASE_COLUMNS.split(", ")) | {"n_scored": "long", "log_p": "double"}
+    bounds = _slice_bounds(model)
+    for i, (low, high) in enumerate(bounds):
+        part = _sorted_arrays(model, low, high)
+        out = [name for name in kinds if name != "text" or i < len(bounds) - 1]
+        schema = ", ".join(f"{name} {kinds[name]}" for name in out)
+        rows = written(map_arrow(rows, lambda b, part=part, out=out: _score(b, part, out), schema), "scores")
+    scored = rows.withColumns({"base_failed": base_failed(), "log_ppl": -F.col("log_p") / F.nullif("n_scored", F.lit(0))})
+    met = scored.join(F.broadcast(bands(scored)), F.col("lang").eqNullSafe(F.col("band_lang")), "left")
+    reach = WIDTH * F.sqrt(F.col("spread") * F.col("spread") + CHARACTER_NOISE**2 / F.nullif("n_scored", F.lit(0)))
+    inside = F.abs(F.col("log_ppl") - F.col("middle")) <= reach
+    return met.withColumns({
+        "perplexity": F.exp("log_ppl"), "lower_band": F.exp(F.col("middle") - reach),
+        "upper_band": F.exp(F.col("middle") + reach),
+        "kept": ~F.col("base_failed") & F.coalesce(inside, F.lit(True))})
+
+
+def score(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """One row per document: key, the base counts, base_failed, perplexity, its band, kept.
 
     Words are runs without `[ \\t-\\r]`; a null text has none. The model is counted over all documents, so each
     n-gram that is looked up is known. Perplexity is per character. It must lie between the language's bands:
     the median of log perplexities, WIDTH robust deviations to each side, wider for short texts. `kept` is
-    false if the base rules fail, else the bands' verdict. A language with null name has bands of its own.
+    false if the base rules fail, else the bands' verdict. A null language has bands of its own. A text
+    without characters has no perplexity; other columns of `df` play no part.
     """
-    kind = df.schema[key].dataType.simpleString()
-    rows = df.select((row if row is not None else F.lit(0).cast("long")).alias("row"), col(key).alias("id"),
-                     col(lang).cast("string").alias("lang"), col(text).cast("string").alias("text"))
-    counted = written(map_arrow(rows.select("text"), _count, "g long, c long").groupBy("g").agg(F.sum("c").alias("c")), "grams")
-    model = kneser_ney(counted)
-    schema = f"row long, id {kind}, lang string, {BASE_COLUMNS}, n_scored long, log_p double"
-    total = None
-    for part, first in _model_slices(model):
-        some = written(map_arrow(rows, lambda b, part=part, first=first: _score(b, part, first), schema), "scores")
-        total = some if total is None else total.unionByName(some)
-        last = first
-    if not last:  # several slices: a document's sums come together again
-        total = total.groupBy("row", "id", "lang").agg(*[
-            F.sum(c).alias(c) if c != "n_scored" else F.max(c).alias(c) for c in total.columns[3:]])
-    scored = total.withColumns({"base_failed": base_failed(), "log_ppl": -F.col("log_p") / F.col("n_scored")})
-    met = scored.join(F.broadcast(bands(scored)), F.col("lang").eqNullSafe(F.col("band_lang")), "left")
-    reach = WIDTH * F.sqrt(F.col("spread") * F.col("spread") + CHARACTER_NOISE**2 / F.col("n_scored"))
-    inside = F.abs(F.col("log_ppl") - F.col("middle")) <= reach
-    return met.select(
-        "row", "id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        F.exp("log_ppl").alias("perplexity"), F.exp(F.col("middle") - reach).alias("lower_band"),
-        F.exp(F.col("middle") + reach).alias("upper_band"),
-        (~F.col("base_failed") & F.coalesce(inside, F.lit(True))).alias("kept"))
+    return _scored(df, key, text, lang, []).select(
+        F.col("id").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "perplexity", "lower_band", "upper_band", "kept")
+
+
+def kept_documents(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows of `df` that `score` keeps, with the same columns. The rows travel with their scores: no join."""
+    kept = _scored(df, key, text, lang, df.columns).filter("kept")
+    return kept.select(*[F.col(f"k{i}").alias(name) for i, name in enumerate(df.columns)])

@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prepkit.llm import line_dedup, mixing, packing, quality, sharding, simhash
+from prepkit.llm import (
+    line_dedup,
+    mixing,
+    neighbours,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    substring_dedup,
+    url_lists,
+)
 from prepkit.llm.shared import table
 
 SHARDS = 24
@@ -17,6 +27,10 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_paragraph_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.repeated_paragraphs(table(spark, folder, "documents"))
+
+
 def op2_concat_pack(spark: SparkSession, folder: str) -> DataFrame:
     cut = packing.pieces(table(spark, folder, "documents"), byte_bpe())
     return cut.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -28,7 +42,7 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_ngram_perplexity(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.score(table(spark, folder, "documents")).drop("row").withColumnRenamed("id", "doc_id")
+    return quality.score(table(spark, folder, "documents"))
 
 
 OP4_SQL = r"""
@@ -64,11 +78,87 @@ def op10_entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source", "copies")
 
 
+def dated_lists(pages: DataFrame) -> DataFrame:
+    """List events that follow from the pages' hosts: a digest of the host says on which list it is and when.
+
+    Two hosts in three have entries; half of these are removed again and some come back. A host's parent
+    domain is blocked for a time of its own.
+    """
+    host = url_lists.host_of(F.col("url"))
+    hosts = pages.select(host.alias("entry")).filter("entry is not null").distinct()
+    parents = hosts.select(F.regexp_replace("entry", r"^[^.]+\.", "").alias("entry")).filter("entry like '%.%'")
+    names = hosts.unionByName(parents).distinct()
+
+    def digit(at: int, n: int, below: int):
+        return F.conv(F.substring(F.md5("entry"), at, n), 16, 10).cast("int") % below
+
+    first = F.date_add(F.lit("2024-01-01").cast("date"), digit(1, 3, 300))
+    gone = F.date_add(first, 1 + digit(4, 2, 120))
+    back = F.date_add(gone, 1 + digit(6, 2, 60))
+    steps = F.array(
+        F.struct(first.alias("on"), F.lit("add").alias("action"), F.lit(0).alias("step")),
+        F.struct(gone.alias("on"), F.lit("remove").alias("action"), F.lit(1).alias("step")),
+        F.struct(back.alias("on"), F.lit("add").alias("action"), F.lit(2).alias("step")))
+    picked = names.filter(digit(8, 2, 3) < 2).select(
+        "entry", F.when(digit(10, 2, 4) == 0, "allow").otherwise("block").alias("list"),
+        digit(12, 1, 4).alias("last"), F.explode(steps).alias("s"))
+    return picked.filter(F.col("s.step") <= F.col("last")).select(
+        "list", "entry", F.col("s.on").cast("timestamp_ntz").alias("at"), F.col("s.action").alias("action"))
+
+
+def op6_temporal_url_lists(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") * 37 % 366).cast("int"))
+    captures = pages.withColumn("fetched_at", day.cast("timestamp_ntz"))
+    return url_lists.evaluate(captures, dated_lists(pages))
+
+
+OP6_SQL = r"""
+WITH captures AS (
+  SELECT page_id, CAST(DATE '2024-01-01' + CAST(page_id * 37 % 366 AS INT) AS TIMESTAMP) AS fetched_at,
+         nullif(rtrim(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '.'), '') AS host
+  FROM pages),
+hosts AS (SELECT DISTINCT host AS entry FROM captures WHERE host IS NOT NULL),
+names AS (
+  SELECT entry FROM hosts
+  UNION SELECT regexp_replace(entry, '^[^.]+\.', '') FROM hosts WHERE regexp_replace(entry, '^[^.]+\.', '') LIKE '%.%'),
+digits AS (
+  SELECT entry,
+         CAST('0x' || substr(md5(entry), 1, 3) AS INT) % 300 AS a, CAST('0x' || substr(md5(entry), 4, 2) AS INT) % 120 AS b,
+         CAST('0x' || substr(md5(entry), 6, 2) AS INT) % 60 AS c, CAST('0x' || substr(md5(entry), 8, 2) AS INT) % 3 AS picked,
+         CAST('0x' || substr(md5(entry), 10, 2) AS INT) % 4 AS kind, CAST('0x' || substr(md5(entry), 12, 1) AS INT) % 4 AS last
+  FROM names),
+dated AS (
+  SELECT entry, CASE WHEN kind = 0 THEN 'allow' ELSE 'block' END AS list, last,
+         CAST(DATE '2024-01-01' + a AS TIMESTAMP) AS t0, CAST(DATE '2024-01-01' + a + 1 + b AS TIMESTAMP) AS t1,
+         CAST(DATE '2024-01-01' + a + 1 + b + 1 + c AS TIMESTAMP) AS t2
+  FROM digits WHERE picked < 2),
+intervals AS (
+  SELECT list, entry, t0 AS valid_from, CASE WHEN last >= 1 THEN t1 END AS valid_to FROM dated
+  UNION ALL SELECT list, entry, t2, NULL FROM dated WHERE last >= 2),
+active AS (
+  SELECT c.page_id, i.list, i.entry, i.valid_from,
+         row_number() OVER (PARTITION BY c.page_id ORDER BY length(i.entry) DESC, i.list = 'allow' DESC, i.valid_from DESC) AS place
+  FROM captures c JOIN intervals i ON (c.host = i.entry OR ends_with(c.host, '.' || i.entry))
+   AND c.fetched_at >= i.valid_from AND (i.valid_to IS NULL OR c.fetched_at < i.valid_to))
+SELECT c.page_id, c.fetched_at, a.list, a.entry, a.valid_from, coalesce(a.list = 'block', false) AS blocked
+FROM captures c LEFT JOIN active a ON a.page_id = c.page_id AND a.place = 1
+"""
+
+
+def op9_learned_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return neighbours.nearest(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+
+
 QUERIES = {
+    "op1_paragraph_minhash": (op1_paragraph_minhash, None),
     "op2_concat_pack": (op2_concat_pack, None),
     "op3_ngram_perplexity": (op3_ngram_perplexity, None),
     "op4_line_dedup": (op4_line_dedup, OP4_SQL),
     "op7_jump_hash_shards": (op7_jump_hash_shards, None),
     "op8_simhash": (op8_simhash, None),
+    "op6_temporal_url_lists": (op6_temporal_url_lists, OP6_SQL),
+    "op9_learned_partitions": (op9_learned_partitions, None),
     "op10_entropy_mix": (op10_entropy_mix, None),
 }
