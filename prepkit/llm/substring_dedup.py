@@ -22,6 +22,9 @@ BANDS, ROWS = 14, 4
 MIN_WORDS = 20
 """Shorter paragraphs (headings, list items) are left to line dedup."""
 
+SMALL_BUCKET = 24
+"""Texts of a bucket up to which all its pairs are compared, at most 12 for each text."""
+
 BATCH = 4_000_000
 SEED = 20240229
 
@@ -147,29 +150,44 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return met.filter(F.col("both") >= similarity * (F.size("x") + F.size("y") - F.col("both"))).select("a", "b")
 
 
+def _leads(placed: DataFrame, turn: int) -> DataFrame:
+    """Pairs of each torn bucket's members with two of them: one of its largest component, one of the others."""
+    sizes = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
+    torn = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("n", "comp")).alias("top"), F.count(F.lit(1)).alias("parts"))
+    inside = placed.join(torn.filter("parts > 1").select("bucket", "top"), "bucket")
+    inside = written(inside, "torn")
+    drawn = F.xxhash64("digest", F.lit(turn))
+    leads = inside.groupBy("bucket", (F.col("comp") == F.col("top")).alias("inner")).agg(
+        F.min_by(F.struct("digest", "comp"), drawn).alias("lead"))
+    met = inside.join(leads.select("bucket", "lead"), "bucket").filter(F.col("comp") != F.col("lead.comp"))
+    return met.select(F.least("digest", "lead.digest").alias("a"), F.greatest("digest", "lead.digest").alias("b")).distinct()
+
+
 def _linked(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """(node, root): components of the similar pairs among the texts that share a bucket.
 
-    First every member of a bucket is compared with the bucket's least one. Where a bucket still falls apart, the
-    members outside its largest component are compared with all members of other components. A pair
-    that is never compared lies in one component already, so the result is that of all pairs of a bucket.
+    In buckets of up to SMALL_BUCKET texts all pairs are compared. In a larger one every text is compared with the
+    bucket's least one; where the bucket then still falls apart, the texts of other components are compared with
+    newly drawn leads, round after round, until a round finds no link. Each round is linear in the bucket.
     """
-    star = written(members.filter("digest <> lead").select(
-        F.least("digest", "lead").alias("a"), F.greatest("digest", "lead").alias("b")).distinct(), "star")
-    links = written(_verified(star, sets, similarity), "links")
-    roots = components(links, "a", "b")
-    placed = written(members.join(roots, members["digest"] == roots["node"], "left").select(
-        "bucket", "digest", F.coalesce("root", "digest").alias("comp")), "placed")
-    sizes = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
-    torn = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("n", "comp")).alias("top"), F.count(F.lit(1)).alias("parts"))
-    torn = torn.filter("parts > 1").select("bucket", "top")
-    inside = written(placed.join(torn, "bucket"), "torn")
-    out = inside.filter("comp <> top").select("bucket", F.col("digest").alias("d"), F.col("comp").alias("c"))
-    more = out.join(inside, "bucket").filter("c <> comp").select(
-        F.least("d", "digest").alias("a"), F.greatest("d", "digest").alias("b")).distinct()
-    more = more.join(star, ["a", "b"], "left_anti")
-    late = _verified(more, sets, similarity)
-    return components(links.unionByName(late), "a", "b")
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
+    sized = written(members.join(sizes, "bucket"), "sized")
+    small = sized.filter(F.col("size") <= SMALL_BUCKET)
+    other = small.select("bucket", F.col("digest").alias("b"))
+    pairs = small.select("bucket", F.col("digest").alias("a")).join(other, "bucket").filter("a < b").select("a", "b")
+    big = sized.filter(F.col("size") > SMALL_BUCKET)
+    star = big.filter("digest <> lead").select(F.col("lead").alias("a"), F.col("digest").alias("b"))
+    links = written(_verified(pairs.unionByName(star).distinct(), sets, similarity), "links")
+    turn = 0
+    while True:
+        roots = components(links, "a", "b")
+        turn += 1
+        placed = big.join(roots, big["digest"] == roots["node"], "left").select(
+            "bucket", "digest", F.coalesce("root", "digest").alias("comp"))
+        found = written(_verified(_leads(placed, turn), sets, similarity), "links")
+        if found.isEmpty():
+            return roots
+        links = written(links.unionByName(found), "links")
 
 
 def repeated_paragraphs(
