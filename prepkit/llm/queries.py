@@ -14,6 +14,7 @@ from prepkit.llm import (
     sharding,
     simhash,
     substring_dedup,
+    token_files,
     url_lists,
 )
 from prepkit.llm.shared import table
@@ -65,6 +66,10 @@ FROM marked GROUP BY doc_id
 """
 
 
+def op5_range_coded_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.round_trip(table(spark, folder, "documents"), byte_bpe())
+
+
 def op7_jump_hash_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_manifest(table(spark, folder, "documents"), "doc_id", "text", SHARDS)
 
@@ -156,6 +161,7 @@ QUERIES = {
     "op2_concat_pack": (op2_concat_pack, None),
     "op3_ngram_perplexity": (op3_ngram_perplexity, None),
     "op4_line_dedup": (op4_line_dedup, OP4_SQL),
+    "op5_range_coded_ids": (op5_range_coded_ids, None),
     "op7_jump_hash_shards": (op7_jump_hash_shards, None),
     "op8_simhash": (op8_simhash, None),
     "op6_temporal_url_lists": (op6_temporal_url_lists, OP6_SQL),
