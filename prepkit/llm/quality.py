@@ -22,7 +22,7 @@ BITS = 12
 START = 2
 """Symbol before a text's first character."""
 
-BATCH = 2_500_000
+BATCH = 1_500_000
 """Bytes of text whose n-grams a task holds at once."""
 
 SLICE = 4_000_000
