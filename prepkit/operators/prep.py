@@ -99,12 +99,13 @@ def discretize(
 def one_hot(
     df: DataFrame, column: str | None = None, columns: Sequence[str] | None = None,
     all_categoricals: bool = False, prefix: str | None = None, drop_first: bool = False,
-    dtype: str = "tinyint", if_exists: str = "reuse", max_categories: int = 1000,
+    dtype: str = "tinyint", if_exists: str = "reuse", max_categories: int | None = None,
 ) -> DataFrame:
     """Add one 0/1 column per distinct value; missing is 0 everywhere, source columns stay.
 
-    Columns that are not in the table are skipped. A column with more than `max_categories`
-    values has no sensible dummy table: `one_hot_sparse` encodes it as one vector column.
+    Columns that are not in the table are skipped. `max_categories`, if given, refuses columns with more
+    values; `one_hot_sparse` encodes such a column as one vector column. A dummy column per value needs the
+    list of values on the driver.
     """
     if all_categoricals:
         chosen = text_columns(df)
@@ -137,16 +138,14 @@ def one_hot(
     return df.select(*kept, *[e.alias(n) for n, e in out.items()])
 
 
-def _categories(df: DataFrame, columns: list[str], most: int) -> dict[str, list]:
-    """Sorted distinct values, pulled to the driver only once a sketch says there are few."""
-    rough = df.agg(*[F.approx_count_distinct(c(x)) for x in columns]).first()
-    for x, n in zip(columns, rough):
-        if n > 2 * most:
-            raise ValueError(f"'{x}' has about {n} values, more than {most}; see one_hot_sparse.")
+def _categories(df: DataFrame, columns: list[str], most: int | None) -> dict[str, list]:
+    """Sorted distinct values; the output has a column for each, so they are as few as its columns."""
+    if most is not None:
+        counts = df.agg(*[F.count_distinct(clean(df, x)) for x in columns]).first()
+        for x, n in zip(columns, counts):
+            if n > most:
+                raise ValueError(f"'{x}' has {n} values, more than {most}; see one_hot_sparse.")
     found = df.agg(*[F.sort_array(F.collect_set(clean(df, x))) for x in columns]).first()
-    for x, values in zip(columns, found):
-        if len(values) > most:
-            raise ValueError(f"'{x}' has {len(values)} values, more than {most}; see one_hot_sparse.")
     return dict(zip(columns, found))
 
 

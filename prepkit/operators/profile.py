@@ -21,7 +21,9 @@ def table_kpis(df: DataFrame) -> DataFrame:
 def preview(
     df: DataFrame, key: str | Sequence[str], rows: int = PAGE_ROWS, after: Sequence | None = None
 ) -> DataFrame:
-    """One page in key order; `after` is the last key of the page before.
+    """One page in key order, nulls last; `after` is the last key of the page before, null parts as None.
+
+    Keys tell rows apart: of rows with equal keys that a page ends between, the rest is not shown.
 
     The key filter reaches the scan and the top-n keeps `rows` rows per task, so a late
     page costs no more than the first.
@@ -31,9 +33,15 @@ def preview(
     if after is not None:
         later, tied = F.lit(False), F.lit(True)
         for name, last in zip(keys, after, strict=True):
-            later = later | (tied & (c(name) > F.lit(last)))
-            tied = tied & (c(name) == F.lit(last))
-        df = df.where(c(keys[0]) >= F.lit(after[0])).where(later)
+            if last is None:  # nulls are last: nothing comes after one
+                tied = tied & c(name).isNull()
+            else:
+                later = later | (tied & ((c(name) > F.lit(last)) | c(name).isNull()))
+                tied = tied & (c(name) == F.lit(last))
+        reached = c(keys[0]).isNull()
+        if after[0] is not None:
+            reached = reached | (c(keys[0]) >= F.lit(after[0]))
+        df = df.where(reached).where(F.coalesce(later, F.lit(False)))
     return df.orderBy(*[F.asc_nulls_last(c(k)) for k in keys]).limit(rows)
 
 

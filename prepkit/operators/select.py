@@ -241,6 +241,8 @@ def rf_importance_select(
     check_columns(df, [target], "Target")
     if not 10 <= n_estimators <= 2000:
         raise ValueError("n_estimators must lie in [10, 2000].")
+    if max_depth is not None and max_depth > DEEPEST_TREE:
+        raise ValueError(f"A tree can be {DEEPEST_TREE} levels deep at most; None stands for that.")
     if any(x is not None and x < 1 for x in (max_depth, top)):
         raise ValueError("max_depth and top must be at least 1.")
     features = _candidates(df, target)

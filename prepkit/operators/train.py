@@ -161,7 +161,9 @@ def _estimator(
 ) -> list:
     common = {"featuresCol": FEATURES, "labelCol": LABEL}
     if model == "random_forest":
-        deep = min(depth or DEEPEST_TREE, DEEPEST_TREE)
+        if depth is not None and depth > DEEPEST_TREE:
+            raise ValueError(f"A tree can be {DEEPEST_TREE} levels deep at most; None stands for that.")
+        deep = depth or DEEPEST_TREE
         if labels:
             return [RandomForestClassifier(numTrees=trees or 200, maxDepth=deep, seed=seed, maxBins=max_bins,
                                            featureSubsetStrategy="sqrt", **common)]

@@ -34,6 +34,8 @@ def shared_dir(spark: SparkSession) -> str:
     named = named or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share.")
     return tempfile.mkdtemp(prefix="prepkit-")
 
 

@@ -39,8 +39,15 @@ def key_hash(df: DataFrame, key_cols: Sequence[str] | None, seed: int) -> Column
     return F.md5(F.concat_ws("|", *texts, F.lit(str(seed))))
 
 
+EXACT_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+"""Times to the microsecond: JSON's own format stops at milliseconds."""
+
+
 def whole_row_hash(df: DataFrame) -> Column:
-    return F.md5(F.to_json(F.struct(*[c(n) for n in df.columns])))
+    return F.md5(F.to_json(F.struct(*[c(n) for n in df.columns]), EXACT_TIMES))
 
 
 def group_names(groups: Sequence[str]) -> list[str]:
@@ -166,7 +173,10 @@ def _with_copies(
     """
     n_cuts = len(labels) - 1
     plain = marked.where(~split).select(*[c(n) for n in columns], label.alias(into))
-    runs = marked.where(split).groupBy("_h", "_below", *[f"_cut{i}" for i in range(n_cuts)]).agg(
+    # By the columns themselves, so that rows whose digests agree by chance stay apart; maps have no order.
+    plain_kinds = [n for n in columns if "map<" not in marked.schema[n].dataType.simpleString()]
+    same = [c(n).alias(f"_same{i}") for i, n in enumerate(plain_kinds)]
+    runs = marked.where(split).groupBy("_h", "_below", *[f"_cut{i}" for i in range(n_cuts)], *same).agg(
         F.first(F.struct(*[c(n) for n in columns])).alias("row"), F.count(F.lit(1)).alias("copies"),
     )
     chunk = F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / CHUNK).cast("int")))
@@ -187,8 +197,12 @@ def _with_copies(
 def plain_order(df: DataFrame, name: str) -> Column:
     """An order column whose values can be written as literals again."""
     kind = df.schema[name].dataType
-    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c(name).cast("timestamp"))
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c(name))
+    if isinstance(kind, T.TimestampNTZType):  # never through a zone: its clock may be set back
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), c(name))
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c(name))
     return c(name) if isinstance(kind, (T.NumericType, T.StringType)) else c(name).cast("string")
 
 

@@ -180,3 +180,25 @@ def test_split_is_one_pass_without_a_shuffle_of_rows(spark):
         plan = got._jdf.queryExecution().executedPlan().toString()
         assert "Exchange hashpartitioning" not in plan and "SinglePartition" not in plan
         assert "Window" not in plan and "Python" not in plan
+
+
+def test_rows_that_differ_by_microseconds_stay_themselves(spark):
+    df = spark.range(100).select(
+        F.lit(1).alias("k"), F.lit("2024-01-02").cast("date").alias("d"),
+        F.timestamp_micros(F.col("id")).alias("t"), F.timestamp_micros(F.col("id")).cast("timestamp_ntz").alias("n"))
+    done = split.train_val_test_split(df, key_cols="k")
+    back = done.train.unionByName(done.val).unionByName(done.test)
+    assert back.count() == 100
+    assert back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty()
+
+
+def test_order_by_local_time_where_the_clock_is_set_on(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    times = [f"2024-03-10 0{h}" for h in ("1:00:00", "2:30:00", "3:00:00", "3:10:00", "3:20:00")]
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([(t,) for t in times], "t string").select(F.col("t").cast("timestamp_ntz").alias("t"))
+        order = df.select(cuts.plain_order(df, "t").alias("o"), "t").orderBy("o").collect()
+        assert [str(r.t) for r in order] == times
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
