@@ -25,6 +25,9 @@ MIN_WORDS = 20
 SMALL_BUCKET = 24
 """Texts of a bucket up to which all its pairs are compared, at most 12 for each text."""
 
+LEAD_TURNS = 2
+"""Rounds of comparing with drawn leads before the exact search; more of them save pairs, none loses any."""
+
 BATCH = 4_000_000
 SEED = 20240229
 
@@ -142,33 +145,72 @@ def _picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose distinct shingles have at least that Jaccard similarity."""
+    """The pairs (a, b, whatever else) whose distinct shingles have at least that Jaccard similarity."""
     one = sets.select(F.col("digest").alias("a"), F.col("shingles").alias("x"))
     two = sets.select(F.col("digest").alias("b"), F.col("shingles").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     met = pairs.join(one, "a").join(two, "b").withColumn("both", both)
-    return met.filter(F.col("both") >= similarity * (F.size("x") + F.size("y") - F.col("both"))).select("a", "b")
+    return met.filter(F.col("both") >= similarity * (F.size("x") + F.size("y") - F.col("both"))).select(*pairs.columns)
+
+
+def _rare_shingles(texts: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(digest, shingle, n, left): the |x| - ceil(similarity * |x|) + 1 rarest shingles of each set x of n shingles.
+
+    Two sets of that Jaccard similarity share one of these, as the order is one for all. `left` counts the
+    shingle itself and all that are less rare: no pair whose rarest common shingle it is shares more.
+    """
+    each = written(texts.join(sets, "digest").select(
+        "digest", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")), "shingles")
+    held = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("held"))
+    ranked = each.join(held, "shingle").groupBy("digest", "n").agg(
+        F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("ranked"))
+    first = F.col("n") - F.ceil(similarity * F.col("n") - 1e-9).cast("int") + 1
+    listed = ranked.select("digest", "n", F.posexplode(F.slice("ranked", F.lit(1), first)).alias("at", "r"))
+    return listed.filter("r.held > 1").select("digest", F.col("r.shingle").alias("shingle"), "n", (F.col("n") - F.col("at")).alias("left"))
+
+
+def _leads(rare: DataFrame, turn: int) -> DataFrame:
+    """Pairs of the texts under a rare shingle with two of them, drawn anew for each shingle, where components differ."""
+    drawn = F.struct(F.xxhash64("digest", "shingle", F.lit(turn)).alias("drawn"), "digest", "comp")
+    ends = rare.groupBy("shingle").agg(F.min(drawn).alias("lo"), F.max(drawn).alias("hi"))
+    met = rare.join(ends.filter("lo.digest <> hi.digest"), "shingle").select(
+        F.col("digest").alias("a"), F.col("comp").alias("u"), F.inline(F.array("lo", "hi")).alias("drawn", "b", "v"))
+    return met.filter("u <> v").select("a", "b", "u", "v").distinct()
+
+
+def _meetings(rare: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (a, b) of different components u and v that can have that similarity; a is the smaller set.
+
+    Sets of n <= m shingles must share t = similarity / (1 + similarity) * (n + m) of them, and t is at least
+    2 * similarity / (1 + similarity) * n. So the smaller one needs only as many of its rarest shingles as leave t
+    of this size. Components meet under a shingle only if some of their texts can.
+    """
+    share = similarity / (1 + similarity)
+    fits = F.col("left") >= 2 * share * F.col("n") - 1e-9
 
+    def parts(rows: DataFrame, side: str) -> DataFrame:
+        return rows.groupBy("shingle", F.col("comp").alias(side)).agg(
+            F.min("n").alias(f"least_{side}"), F.max("left").alias(f"left_{side}"))
 
-def _leads(placed: DataFrame, turn: int) -> DataFrame:
-    """Pairs of each torn bucket's members with two of them: one of its largest component, one of the others."""
-    sizes = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
-    torn = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("n", "comp")).alias("top"), F.count(F.lit(1)).alias("parts"))
-    inside = placed.join(torn.filter("parts > 1").select("bucket", "top"), "bucket")
-    inside = written(inside, "torn")
-    drawn = F.xxhash64("digest", F.lit(turn))
-    leads = inside.groupBy("bucket", (F.col("comp") == F.col("top")).alias("inner")).agg(
-        F.min_by(F.struct("digest", "comp"), drawn).alias("lead"))
-    met = inside.join(leads.select("bucket", "lead"), "bucket").filter(F.col("comp") != F.col("lead.comp"))
-    return met.select(F.least("digest", "lead.digest").alias("a"), F.greatest("digest", "lead.digest").alias("b")).distinct()
+    needed = share * (F.col("least_u") + F.col("least_v")) - 1e-9
+    meet = parts(rare.filter(fits), "u").join(parts(rare, "v"), "shingle").filter(
+        (F.col("u") != F.col("v")) & (F.least("left_u", "left_v") >= needed)).select("shingle", "u", "v")
+    one = rare.filter(fits).select(
+        "shingle", F.col("comp").alias("u"), F.col("digest").alias("a"), F.col("n").alias("n_a"), F.col("left").alias("left_a"))
+    two = rare.select(
+        "shingle", F.col("comp").alias("v"), F.col("digest").alias("b"), F.col("n").alias("n_b"), F.col("left").alias("left_b"))
+    ordered = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
+    enough = F.least("left_a", "left_b") >= share * (F.col("n_a") + F.col("n_b")) - 1e-9
+    return meet.join(one, ["shingle", "u"]).join(two, ["shingle", "v"]).filter(ordered & enough).select("a", "b", "u", "v").distinct()
 
 
 def _linked(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """(node, root): components of the similar pairs among the texts that share a bucket.
 
     In buckets of up to SMALL_BUCKET texts all pairs are compared. In a larger one every text is compared with the
-    bucket's least one; where the bucket then still falls apart, the texts of other components are compared with
-    newly drawn leads, round after round, until a round finds no link. Each round is linear in the bucket.
+    bucket's least one. The texts of large buckets that still fall apart are indexed by their rarest shingles: at
+    first each is compared with two of those under the same shingle, LEAD_TURNS times, which is linear and unites
+    large groups; then all pairs of different components that can be similar are compared, so that no link is lost.
     """
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
     sized = written(members.join(sizes, "bucket"), "sized")
@@ -177,17 +219,21 @@ def _linked(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     pairs = small.select("bucket", F.col("digest").alias("a")).join(other, "bucket").filter("a < b").select("a", "b")
     big = sized.filter(F.col("size") > SMALL_BUCKET)
     star = big.filter("digest <> lead").select(F.col("lead").alias("a"), F.col("digest").alias("b"))
-    links = written(_verified(pairs.unionByName(star).distinct(), sets, similarity), "links")
-    turn = 0
-    while True:
-        roots = components(links, "a", "b")
-        turn += 1
-        placed = big.join(roots, big["digest"] == roots["node"], "left").select(
-            "bucket", "digest", F.coalesce("root", "digest").alias("comp"))
-        found = written(_verified(_leads(placed, turn), sets, similarity), "links")
-        if found.isEmpty():
-            return roots
-        links = written(links.unionByName(found), "links")
+    links = _verified(pairs.unionByName(star).distinct(), sets, similarity)
+    nodes = members.select(F.col("digest").alias("node")).distinct()
+    roots = written(nodes.join(components(links, "a", "b"), "node", "left").withColumn("root", F.coalesce("root", "node")), "roots")
+    placed = big.select("bucket", F.col("digest").alias("node")).join(roots, "node")
+    torn = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("bucket")
+    texts = placed.join(torn, "bucket").select(F.col("node").alias("digest")).distinct()
+    rare = written(_rare_shingles(texts, sets, similarity), "rare")
+    for turn in range(LEAD_TURNS + 1):
+        owned = written(rare.join(roots.select(F.col("node").alias("digest"), F.col("root").alias("comp")), "digest"), "owned")
+        met = _leads(owned, turn) if turn < LEAD_TURNS else _meetings(owned, similarity)
+        found = _verified(met, sets, similarity)
+        joined = components(found, "u", "v").select(F.col("node").alias("comp"), F.col("root").alias("whole"))
+        roots = written(roots.withColumnRenamed("root", "comp").join(joined, "comp", "left").select(
+            "node", F.coalesce("whole", "comp").alias("root")), "roots")
+    return roots
 
 
 def repeated_paragraphs(

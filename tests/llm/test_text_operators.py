@@ -222,6 +222,27 @@ def test_repeated_paragraphs(request, name, small, monkeypatch):
     assert sorted(((r.doc_id, r.place, r.cluster_id, r.cluster_place, r.n_paragraphs) for r in got), key=repr) == plain_repeats(texts_of(df))
 
 
+def chains(n_chains: int = 12, n_links: int = 9) -> list[tuple]:
+    """Paragraphs that all share a passage, in chains whose neighbours are similar and whose ends are not."""
+    passage = [f"common{i}" for i in range(60)]
+    out = []
+    for chain in range(n_chains):
+        own = [f"own{chain}x{i}" for i in range(40)]
+        for link in range(n_links):
+            words = [f"new{chain}y{i}" for i in range(3 * link)] + own[3 * link:] + passage
+            out.append((len(out), " ".join(words)))
+    return out
+
+
+@pytest.mark.parametrize("turns", [0, 2])
+def test_no_link_is_lost_in_large_buckets(spark, turns, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "SMALL_BUCKET", 1)
+    monkeypatch.setattr(substring_dedup, "LEAD_TURNS", turns)
+    rows = chains()
+    got = substring_dedup.repeated_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.place, r.cluster_id, r.cluster_place, r.n_paragraphs) for r in got), key=repr) == plain_repeats(rows)
+
+
 def test_removed_paragraphs_leave_the_rest(spark, documents):
     gone = {(r.doc_id, r.place) for r in substring_dedup.repeated_paragraphs(documents).collect() if r.removed}
     assert gone
