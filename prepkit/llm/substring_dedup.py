@@ -161,12 +161,15 @@ def _rare_shingles(texts: DataFrame, sets: DataFrame, similarity: float) -> Data
     """
     each = written(texts.join(sets, "digest").select(
         "digest", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")), "shingles")
-    held = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("held"))
+    held = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
     ranked = each.join(held, "shingle").groupBy("digest", "n").agg(
         F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("ranked"))
+    alone = F.col("n") - F.size("ranked")  # the rarest of all: no other text has them
     first = F.col("n") - F.ceil(similarity * F.col("n") - 1e-9).cast("int") + 1
-    listed = ranked.select("digest", "n", F.posexplode(F.slice("ranked", F.lit(1), first)).alias("at", "r"))
-    return listed.filter("r.held > 1").select("digest", F.col("r.shingle").alias("shingle"), "n", (F.col("n") - F.col("at")).alias("left"))
+    listed = ranked.withColumn("alone", alone).filter(first > alone).select(
+        "digest", "n", "alone", F.posexplode(F.slice("ranked", F.lit(1), first - alone)).alias("at", "r"))
+    return listed.select(
+        "digest", F.col("r.shingle").alias("shingle"), "n", (F.col("n") - F.col("alone") - F.col("at")).alias("left"))
 
 
 def _leads(rare: DataFrame, turn: int) -> DataFrame:
