@@ -17,12 +17,15 @@ WINDOW_GROUP_ROWS = 20_000_000
 """Most rows of one group that a single task may sort, which can spill."""
 
 
-SPREAD_ROWS = 5_000_000
-"""Most rows of a table that is worth spreading over the cores before long work."""
+TASK_ROWS = 10_000
+"""Rows of a small table that are worth a task of their own before long work."""
 
 
-TASK_ROWS = 10_000
-"""Rows that are worth a task of their own when a small table is spread."""
+LARGE_TASK_ROWS = 1_000_000
+"""Rows of a task once there are more than FIT_TASKS of them."""
+
+
+FIT_TASKS = 500
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -74,15 +77,14 @@ def largest_group(df: DataFrame, groups: list[str]) -> int:
 
 
 def spread(df: DataFrame, n_rows: int) -> DataFrame:
-    """Give a small table's costly per-row or iterative work to all cores.
+    """Deal rows out by their content, in an order that follows from it, before costly or iterative work.
 
-    A small table may sit in one file and so in one task. A big one already comes in many
-    splits and is left as it is: shuffling it would cost more than it gains.
+    How many parts there are follows from the row count alone. So a fit that draws rows by partition and
+    place gives one result, however the input was cut and whatever the cluster is. Columns must be hashable.
     """
-    if n_rows > SPREAD_ROWS:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(min(cores, 1 + n_rows // TASK_ROWS))
+    parts = 1 + max(min(n_rows // TASK_ROWS, FIT_TASKS), n_rows // LARGE_TASK_ROWS)
+    digest = F.xxhash64(*[F.col("`" + n.replace("`", "``") + "`") for n in df.columns])
+    return df.repartition(parts, digest).sortWithinPartitions(digest)
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from prepkit.operators import sample, split
 from prepkit.registry import Query, on
 
@@ -23,6 +26,20 @@ N_TEST = f"(SELECT ceil(round(0.2 * {TOTAL}, 9))::BIGINT)"
 N_VAL = f"(SELECT ceil(round(0.1::DOUBLE / 0.8::DOUBLE * ({TOTAL} - {N_TEST}), 9))::BIGINT)"
 PER_CLASS = f"row_number() OVER (PARTITION BY o_orderstatus ORDER BY {HASH})"
 
+LINES = "(SELECT count(*) FROM lineitem)"
+LINE_TEST = f"(SELECT ceil(round(0.2 * {LINES}, 9))::BIGINT)"
+LINE_VAL = f"(SELECT ceil(round(0.1::DOUBLE / 0.8::DOUBLE * ({LINES} - {LINE_TEST}), 9))::BIGINT)"
+
+
+def _parts_and_changes(df: DataFrame) -> DataFrame:
+    """Rows of each part of a split whose keys repeat, and rows that are missing from or new in all parts together."""
+    parts = split.train_val_test_split(df, key_cols="l_orderkey")
+    whole = parts.select(*df.columns)
+    changed = df.exceptAll(whole).select(F.lit("missing").alias("split")).unionByName(
+        whole.exceptAll(df).select(F.lit("new").alias("split")))
+    return parts.select("split").unionByName(changed).groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 QUERIES: dict[str, Query] = {
     "sample_random": on(
         "orders", lambda df: sample.random_sample(df, 0.3, key_cols="o_orderkey"),
@@ -70,6 +87,10 @@ QUERIES: dict[str, Query] = {
             SELECT r.* EXCLUDE (k), CASE WHEN k <= n_test THEN 'test' WHEN k <= n_test + n_val THEN 'val'
                    ELSE 'train' END AS split
             FROM r JOIN q ON r.o_orderstatus = q.g"""),
+    "split_repeated_keys": on(
+        "lineitem", _parts_and_changes,
+        f"""SELECT 'test' AS split, {LINE_TEST} AS n_rows UNION ALL SELECT 'val', {LINE_VAL}
+            UNION ALL SELECT 'train', {LINES} - {LINE_TEST} - {LINE_VAL}"""),
     "split_time": on(
         "events", lambda df: split.time_series_split(df, "ts", key_cols="event_id"),
         """WITH n AS (SELECT count(*) AS n, greatest(1, round_even(count(*) * 0.2::DOUBLE, 0))::BIGINT AS n_test

@@ -184,3 +184,9 @@ def test_regression_metrics(spark):
     assert tuple(got) == pytest.approx((math.sqrt(1.25 / 3), 0.5, 1 - 1.25 / (14 / 3)))
     flat = spark.createDataFrame([(1.0, 1.5), (1.0, 2.0)], "y double, p double")
     assert metrics.regression_metrics(flat, "y", "p").first()["r2"] is None
+
+
+def test_fits_do_not_depend_on_partitions(spark):
+    df = spark.range(400).selectExpr("id % 7 as a", "id % 11 as b", "(id * 13) % 5 as z", "(id % 7 + id % 11) % 3 as y")
+    found = [select.rf_importance_select(df.repartition(n), "y", 10, 4).scores.orderBy("feature").collect() for n in (1, 2, 7)]
+    assert found[0] == found[1] == found[2]
