@@ -23,21 +23,35 @@ NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?\s*$|^\s*[+-]?inf(inity)?\s
 def detect_delimiters(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: the separator that occurs in every line, most evenly, then most often.
 
-    Quoted stretches do not count; a file where none qualifies is comma-separated.
+    Quoted stretches do not count; a file where none qualifies is comma-separated. Where a quote is left open at
+    the end of a line, fields hold line breaks and some lines are no records: lines with an open quote do not
+    count there, and the separator is the one with the largest share of lines that have it equally often.
     """
     lines = (
         spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
         .where(F.length(F.trim("value")) > 0)
         .withColumn("value", F.regexp_replace("value", '"[^"]*"', ""))
+        .withColumn("open", F.col("value").contains('"'))
     )
     length = F.length("value")
     each = [
         F.struct(F.lit(i).alias("i"), (length - F.length(F.replace("value", F.lit(s)))).alias("n"))
         for i, s in enumerate(SEPARATORS)
     ]
-    rated = lines.select("file", F.inline(F.array(*each))).groupBy("file", "i").agg(
-        F.min("n").alias("least"), F.var_pop("n").alias("uneven"), F.avg("n").alias("often"))
-    best = F.min(F.when(F.col("least") > 0, F.struct("uneven", -F.col("often"), "i")))
+    counts = lines.select("file", "open", F.inline(F.array(*each))).groupBy("file", "i", "n").agg(
+        F.count_if(~F.col("open")).alias("lines"), F.max("open").alias("open"))
+    n, times = F.col("n").cast("decimal(18,0)"), F.col("lines").cast("decimal(18,0)")
+    rated = counts.groupBy("file", "i").agg(
+        F.min(F.when(F.col("lines") > 0, F.col("n"))).alias("least"), F.max("open").alias("open"),
+        F.max_by("n", F.struct("lines", "n")).alias("usual"), F.max("lines").alias("most"),
+        F.sum(times).cast("double").alias("all"), F.sum(times * n).cast("double").alias("sum"),
+        F.sum(times * n * n).cast("double").alias("squares"))
+    even = F.struct(
+        (F.col("squares") / F.col("all") - (F.col("sum") / F.col("all")) ** 2).alias("uneven"),
+        (-F.col("sum") / F.col("all")).alias("often"), "i")
+    usual = F.struct((-F.col("most") / F.col("all")).alias("uneven"), (-F.col("usual")).cast("double").alias("often"), "i")
+    best = F.min(F.when(F.col("open") & (F.col("usual") > 0) & (F.col("all") > 0), usual).when(
+        ~F.col("open") & (F.col("least") > 0), even))
     marks = F.array(*[F.lit(s) for s in SEPARATORS])
     return rated.groupBy("file").agg(best.alias("best")).select(
         "file", F.coalesce(F.get(marks, F.col("best.i")), F.lit(",")).alias("delimiter"))

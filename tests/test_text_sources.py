@@ -98,3 +98,9 @@ def test_versions_and_splits(spark, folder):
     assert test.count() == 20 and test.columns == ["id", "g"]
     plan = test._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(split" in plan
+
+
+def test_delimiter_with_quoted_line_breaks(spark, tmp_path):
+    rows = "".join(f'{i};{i},5;"first, line\ninner line\nlast"\n{i};{i},25;"plain"\n{i};7;x\n' for i in range(5))
+    (tmp_path / "breaks.txt").write_text("a;b;c\n" + rows)
+    assert delimited.detect_delimiter(spark, str(tmp_path)) == ";"
