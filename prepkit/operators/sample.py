@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,8 @@ from prepkit.functions.schema import as_double, as_list, c, check_columns, numer
 from prepkit.plans.bounds import settle, spread
 from prepkit.plans.cuts import first_per_group, group_names, label_by_hash
 
+FITS_AT_ONCE = 4
+
 
 def class_sizes(df: DataFrame, target: str) -> DataFrame:
     """_g0 and _n: one row per class, missing included."""
@@ -137,32 +141,41 @@ def clustered_sample(
         ready = StandardScaler(inputCol="_raw", outputCol="_features").fit(ready).transform(ready)
     else:
         ready = ready.withColumnRenamed("_raw", "_features")
+    placed = _placed(ready, n_clusters, random_state, n_init, max_iter)
+    gaps = F.zip_with(vector_to_array("_features"), F.col("_centre"), lambda a, b: (a - b) * (a - b))
+    placed = placed.withColumn("_dist", F.aggregate(gaps, F.lit(0.0), lambda acc, v: acc + v))
+    tie = [c(k) for k in keys] or [F.xxhash64(*[c(n) for n in df.columns])]
+    rank = F.row_number().over(Window.partitionBy("_cluster").orderBy("_dist", *tie))
+    return (
+        placed.withColumn("_rank", rank).where(F.col("_rank") <= samples_per_cluster)
+        .select(*[c(n) for n in df.columns])
+    )
+
+
+def _placed(ready: DataFrame, n_clusters: int, seed: int, n_init: int, max_iter: int) -> DataFrame:
+    """The rows with the number of their cluster and its centre, by the best of `n_init` fits."""
+    if n_clusters == 1:  # nothing to fit, and MLlib takes two at least
+        mean = ready.agg(Summarizer.mean(F.col("_features"))).first()[0]
+        centre = F.array(*[F.lit(float(v)) for v in ([] if mean is None else mean.toArray())])
+        return ready.withColumns({"_cluster": F.lit(0), "_centre": centre})
     points = spread(ready.select("_features"), ready.count()).persist()
     try:
-        fits = [
-            KMeans(k=n_clusters, seed=random_state + i, maxIter=max_iter, featuresCol="_features",
-                   predictionCol="_cluster").fit(points)
+        means = [
+            KMeans(k=n_clusters, seed=seed + i, maxIter=max_iter, featuresCol="_features", predictionCol="_cluster")
             for i in range(n_init)
         ]
+        with ThreadPoolExecutor(FITS_AT_ONCE) as pool:  # each only waits for its own jobs
+            fits = list(pool.map(lambda one: one.fit(points), means))
     finally:
         points.unpersist()
     model: KMeansModel = min(fits, key=lambda m: m.summary.trainingCost)
     centres = model.clusterCenters()
-    centres = F.broadcast(df.sparkSession.createDataFrame(pa.table({
+    # A row per cluster: n_clusters bounds the broadcast.
+    centres = F.broadcast(ready.sparkSession.createDataFrame(pa.table({
         "_at": pa.array(range(len(centres)), pa.int32()),
         "_centre": pa.array([[float(v) for v in row] for row in centres], pa.list_(pa.float64())),
     })))
-    gaps = F.zip_with(vector_to_array("_features"), F.col("_centre"), lambda a, b: (a - b) * (a - b))
-    # A row per cluster: n_clusters bounds the broadcast.
-    placed = model.transform(ready).join(centres, F.col("_cluster") == F.col("_at")).withColumn(
-        "_dist", F.aggregate(gaps, F.lit(0.0), lambda acc, v: acc + v)
-    )
-    tie = [c(k) for k in keys] or [F.xxhash64(*[c(n) for n in df.columns])]
-    rank = F.row_number().over(Window.partitionBy("_cluster").orderBy("_dist", *tie))
-    return (
-        placed.withColumn("_rank", rank).where(F.col("_rank") <= samples_per_cluster)
-        .select(*[c(n) for n in df.columns])
-    )
+    return model.transform(ready).join(centres, F.col("_cluster") == F.col("_at"))
 
 
 def _feature_vector(df: DataFrame, features: Sequence[str]) -> tuple[DataFrame, list[str]]:

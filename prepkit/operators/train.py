@@ -180,7 +180,7 @@ def _estimator(
         none = penalty == "none"
         return [LogisticRegression(maxIter=200, regParam=0.0 if none else weight, standardization=False,
                                    elasticNetParam=PENALTIES[penalty or "l2"], **common)]
-    svm = LinearSVC(regParam=weight, standardization=True, tol=1e-4, **common)
+    svm = LinearSVC(regParam=weight, standardization=False, tol=1e-4, **common)
     margins = "rawPrediction"
     stages = [svm] if len(labels) == 2 else [OneVsRest(classifier=svm, parallelism=min(len(labels), 8), **common)]
     if len(labels) == 2:

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 SMALL_TABLE_ROWS = 50_000
 """Most rows a helper table may have to be pulled to the driver and broadcast."""
 
+SMALL_TABLE_BYTES = 64 << 20
+"""Most bytes of such a table: its rows may hold long texts."""
+
 HOT_GROUP_ROWS = 2_000_000
 """Most distinct values of one group that a single task may keep in memory."""
 
@@ -57,11 +60,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def settle(df: DataFrame, limit: int = SMALL_TABLE_ROWS) -> DataFrame:
     """Compute a helper table once.
 
-    Up to `limit` rows it comes back as a broadcast-hinted local table; beyond that as a
-    checkpointed one without a hint, so that joins with it shuffle instead.
+    Up to `limit` rows and SMALL_TABLE_BYTES it comes back as a broadcast-hinted local table; beyond
+    that as a checkpointed one without a hint, so that joins with it shuffle instead.
     """
     rows = df.limit(limit + 1).toArrow()
-    if rows.num_rows <= limit:
+    if rows.num_rows <= limit and rows.nbytes <= SMALL_TABLE_BYTES:
         return F.broadcast(df.sparkSession.createDataFrame(rows))
     return cut_lineage(df)
 

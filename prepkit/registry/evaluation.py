@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prepkit.operators import metrics, train
+from prepkit.plans.bounds import shared_dir
 from prepkit.registry import Query, on
-from prepkit.registry.inputs import rounded
-from prepkit.registry.sampling import HASH, N_TEST
+from prepkit.registry.inputs import RULED, rounded, ruled
+from prepkit.registry.sampling import HASH, N_TEST, quota
+from prepkit.sources import tables
 
 # A rule standing in for a model, so that the metrics can be checked without training one.
 SCORED = """(
@@ -39,12 +43,31 @@ SELECT (sum(r) FILTER ({label}) - n1 * (n1 + 1) / 2) / nullif(n1 * n0, 0) AS auc
   FROM {source}) GROUP BY n1, n0"""
 
 
-def _trained(name: str, target: str, problem: str, model: str, features: list[str], **more):
-    """Metrics of a model; forests and boosting run with fewer trees than by default."""
-    def run(df):
-        found = train.train_model(df, problem, target, model, features=features, **more).metrics
-        return rounded(found, 3, *[n for n in found.columns if n not in ("problem_type", "model", "target")])
-    return on(name, run)
+# A model that has learnt the rule of `ruled` gives it back on the hold-out rows, whose keys SQL knows.
+RULED_HASH = "md5(concat_ws('|', CAST(c_custkey AS VARCHAR), '42'))"
+RULED_TEST = "(SELECT ceil(round(0.2 * (SELECT count(*) FROM customer), 9))::BIGINT)"
+
+
+def _learnt(model: str, target: str) -> Query:
+    """Hold-out predictions of a model with its default work."""
+    problem = "regression" if target == "amount" else "classification"
+
+    def run(df: DataFrame) -> DataFrame:
+        done = train.train_model(ruled(df), problem, target, model, features=["band", "thousands"], key_cols="c_custkey")
+        scored = done.model.transform(done.test)
+        if problem == "regression":
+            return scored.select("c_custkey", F.round("prediction", 6).alias("predicted"))
+        return scored.select("c_custkey", "predicted")
+
+    if problem == "regression":
+        sql = f"""SELECT c_custkey, amount::DOUBLE AS predicted FROM (
+                    SELECT *, row_number() OVER (ORDER BY {RULED_HASH}) AS k FROM {RULED}) WHERE k <= {RULED_TEST}"""
+    else:
+        classes = f"(SELECT {target} AS g, count(*) AS n FROM {RULED} GROUP BY 1)"
+        sql = f"""WITH q AS {quota(classes, 'n', RULED_TEST, 'n_test')},
+                       r AS (SELECT *, row_number() OVER (PARTITION BY {target} ORDER BY {RULED_HASH}) AS k FROM {RULED})
+                  SELECT c_custkey, {target} AS predicted FROM r JOIN q ON r.{target} = q.g WHERE k <= n_test"""
+    return on("customer", run, sql)
 
 
 def _documents(spark: SparkSession, folder: str, model: str) -> DataFrame:
@@ -56,17 +79,39 @@ def _documents(spark: SparkSession, folder: str, model: str) -> DataFrame:
                              features=["lang", "source", "n_chars", "n_words"]).metrics
 
 
+def _fit_line(df: DataFrame, folder: str | None = None) -> train.Trained:
+    return train.train_model(df, "regression", "o_totalprice", "linear_regression", features=["o_custkey"],
+                             key_cols="o_orderkey", artifacts_dir=folder)
+
+
 def _line(df: DataFrame) -> DataFrame:
-    done = train.train_model(df, "regression", "o_totalprice", "linear_regression",
-                             features=["o_custkey"], key_cols="o_orderkey")
+    done = _fit_line(df)
     fit = done.model.stages[-1]
     found = done.metrics.select("rmse", "mae", "r2").withColumns({
         "slope": F.lit(float(fit.coefficients[0])), "intercept": F.lit(float(fit.intercept))})
     return rounded(found, 6, *found.columns)
 
 
-LINE_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "l_extendedprice"]
-PRICE_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+def _reloaded_model(df: DataFrame) -> DataFrame:
+    folder = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    done = _fit_line(df, folder)
+    scored = tables.read_model(f"{folder}/{done.name}").transform(done.test)
+    return scored.select("o_orderkey", F.round("prediction", 3).alias("predicted"))
+
+
+def _reloaded_metrics(df: DataFrame) -> DataFrame:
+    folder = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    done = _fit_line(df, folder)
+    found = df.sparkSession.read.json(f"{folder}/{done.name}_metrics").select("problem_type", "model", "rmse", "mae", "r2")
+    return rounded(found, 6, "rmse", "mae", "r2")
+
+
+LINE = f"""
+WITH r AS (SELECT o_orderkey, o_custkey::DOUBLE AS x, o_totalprice AS y,
+                  row_number() OVER (ORDER BY {HASH}) <= {N_TEST} AS held FROM orders),
+     f AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM r WHERE NOT held)"""
+LINE_METRICS = """round(sqrt(avg((y - a - b * x) ** 2)), 6) AS rmse, round(avg(abs(y - a - b * x)), 6) AS mae,
+       round(1 - avg((y - a - b * x) ** 2) / var_pop(y), 6) AS r2 FROM r, f WHERE held"""
 
 QUERIES: dict[str, Query] = {
     "metrics_classification": on(
@@ -99,22 +144,20 @@ QUERIES: dict[str, Query] = {
            FROM (SELECT l_extendedprice AS y, l_quantity * 1500 AS p FROM lineitem)"""),
     "train_linear": on(
         "orders", _line,
-        f"""WITH r AS (SELECT o_custkey::DOUBLE AS x, o_totalprice AS y,
-                              row_number() OVER (ORDER BY {HASH}) <= {N_TEST} AS held FROM orders),
-                 f AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM r WHERE NOT held)
-            SELECT round(any_value(b), 6) AS slope, round(any_value(a), 6) AS intercept,
-                   round(sqrt(avg((y - a - b * x) ** 2)), 6) AS rmse, round(avg(abs(y - a - b * x)), 6) AS mae,
-                   round(1 - avg((y - a - b * x) ** 2) / var_pop(y), 6) AS r2 FROM r, f WHERE held"""),
-    "train_rf_classifier": _trained("lineitem", "l_returnflag", "classification", "random_forest",
-                                    LINE_FEATURES, n_estimators=10, max_depth=5),
-    "train_rf_regressor": _trained("lineitem", "l_extendedprice", "regression", "random_forest",
-                                   PRICE_FEATURES, n_estimators=10, max_depth=5),
-    "train_gbt_classifier": _trained("lineitem", "l_linestatus", "classification", "xgboost",
-                                     LINE_FEATURES, n_estimators=5, max_depth=4),
-    "train_gbt_multiclass": _trained("customer", "c_mktsegment", "classification", "xgboost",
-                                     ["c_acctbal", "c_nationkey"], n_estimators=3, max_depth=3),
-    "train_gbt_regressor": _trained("lineitem", "l_extendedprice", "regression", "xgboost",
-                                    PRICE_FEATURES, n_estimators=5, max_depth=4),
+        f"{LINE} SELECT round(any_value(b), 6) AS slope, round(any_value(a), 6) AS intercept, {LINE_METRICS}"),
+    "model_reloaded": on(
+        "orders", _reloaded_model,
+        f"{LINE} SELECT o_orderkey, round(a + b * x, 3) AS predicted FROM r, f WHERE held"),
+    "metrics_reloaded": on(
+        "orders", _reloaded_metrics,
+        f"{LINE} SELECT 'regression' AS problem_type, 'linear_regression' AS model, {LINE_METRICS}"),
+    "train_rf_classifier": _learnt("random_forest", "level"),
+    "train_rf_regressor": _learnt("random_forest", "amount"),
+    "train_gbt_classifier": _learnt("xgboost", "low"),
+    "train_gbt_multiclass": _learnt("xgboost", "level"),
+    "train_gbt_regressor": _learnt("xgboost", "amount"),
+    "train_logistic_rule": _learnt("logistic_regression", "low"),
+    "train_svm_rule": _learnt("svm", "low"),
     "train_logistic": Query(lambda s, d: rounded(
         _documents(s, d, "logistic_regression"), 3, "accuracy", "precision_macro", "recall_macro", "f1_macro",
         "roc_auc"), None),

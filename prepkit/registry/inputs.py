@@ -1,4 +1,4 @@
-"""Inputs with missing values: the given tables hold none, so some values are read as missing."""
+"""Inputs with missing values, which the given tables do not hold, and with targets that follow a rule."""
 
 from __future__ import annotations
 
@@ -16,6 +16,21 @@ CUSTOMER_NULLS = """(
          CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS c_mktsegment
   FROM customer)"""
 
+RULED = """(
+  SELECT c_custkey, c_nationkey % 5 AS band, c_acctbal / 1000 AS thousands,
+         CASE WHEN c_nationkey % 5 < 2 THEN 'low' WHEN c_nationkey % 5 < 4 THEN 'middle' ELSE 'high' END AS level,
+         CASE WHEN c_nationkey % 5 < 2 THEN 'yes' ELSE 'no' END AS low, (c_nationkey % 5) * (c_nationkey % 5) AS amount
+  FROM customer)"""
+
+
+def ruled(customer: DataFrame) -> DataFrame:
+    """Customers with a class, a two-valued class and a number that `band` alone decides."""
+    band = F.col("c_nationkey") % 5
+    return customer.select(
+        "c_custkey", band.alias("band"), (F.col("c_acctbal") / 1000).alias("thousands"),
+        F.when(band < 2, "low").when(band < 4, "middle").otherwise("high").alias("level"),
+        F.when(band < 2, "yes").otherwise("no").alias("low"), (band * band).alias("amount"))
+
 
 def orders_nulls(orders: DataFrame) -> DataFrame:
     """A pending order has no price yet, and 'not specified' is no priority."""

@@ -11,7 +11,7 @@ from prepkit.registry import Query, on
 HASH = "md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), '42'))"
 
 
-def _quota(sizes: str, size: str, wanted: str, name: str) -> str:
+def quota(sizes: str, size: str, wanted: str, name: str) -> str:
     """Largest remainder shares of `wanted` over the classes g of `sizes`."""
     return f"""
 (WITH f AS (SELECT *, {size}::DOUBLE * ({wanted}) / sum({size}) OVER () AS share FROM {sizes}),
@@ -47,7 +47,7 @@ QUERIES: dict[str, Query] = {
             WHERE k <= floor(0.3::DOUBLE * {TOTAL})"""),
     "sample_stratified": on(
         "orders", lambda df: sample.stratified_sample(df, "o_orderstatus", 0.3, key_cols="o_orderkey"),
-        f"""WITH q AS {_quota(CLASSES, 'n', f'floor(0.3::DOUBLE * {TOTAL})', 'quota')},
+        f"""WITH q AS {quota(CLASSES, 'n', f'floor(0.3::DOUBLE * {TOTAL})', 'quota')},
                  r AS (SELECT *, {PER_CLASS} AS k FROM orders)
             SELECT r.* EXCLUDE (k) FROM r JOIN q ON r.o_orderstatus = q.g WHERE k <= quota"""),
     "sample_balanced": on(
@@ -69,10 +69,15 @@ QUERIES: dict[str, Query] = {
     "sample_clustered": on(
         "part",
         lambda df: sample.clustered_sample(df, 8, 3, use_features=["p_size", "p_retailprice"],
-                                           key_cols="p_partkey", n_init=2)),
+                                           key_cols="p_partkey")),
+    "sample_clustered_one": on(
+        "part",
+        lambda df: sample.clustered_sample(df, 1, 25, use_features=["p_size", "p_retailprice"], key_cols="p_partkey"),
+        """SELECT p.* FROM part p, (SELECT avg(p_size) AS s, avg(p_retailprice) AS r FROM part)
+           ORDER BY (p_size - s) ** 2 + (p_retailprice - r) ** 2, p_partkey LIMIT 25"""),
     "sample_clustered_vectors": on(
         "embeddings",
-        lambda df: sample.clustered_sample(df, 10, 2, use_features=["embedding"], key_cols="vec_id", n_init=1)
+        lambda df: sample.clustered_sample(df, 10, 2, use_features=["embedding"], key_cols="vec_id")
         .select("vec_id", "label")),
     "split_random": on(
         "orders", lambda df: split.train_val_test_split(df, key_cols="o_orderkey"),
@@ -81,8 +86,8 @@ QUERIES: dict[str, Query] = {
             FROM (SELECT *, row_number() OVER (ORDER BY {HASH}) AS k FROM orders)"""),
     "split_stratified": on(
         "orders", lambda df: split.train_val_test_split(df, "o_orderstatus", key_cols="o_orderkey"),
-        f"""WITH t AS {_quota(CLASSES, 'n', N_TEST, 'n_test')},
-                 q AS {_quota('t', '(n - n_test)', N_VAL, 'n_val')},
+        f"""WITH t AS {quota(CLASSES, 'n', N_TEST, 'n_test')},
+                 q AS {quota('t', '(n - n_test)', N_VAL, 'n_val')},
                  r AS (SELECT *, {PER_CLASS} AS k FROM orders)
             SELECT r.* EXCLUDE (k), CASE WHEN k <= n_test THEN 'test' WHEN k <= n_test + n_val THEN 'val'
                    ELSE 'train' END AS split

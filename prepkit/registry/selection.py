@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from prepkit.operators import select
 from prepkit.registry import Query, on
-from prepkit.registry.inputs import rounded
+from prepkit.registry.inputs import rounded, ruled
 
 NUMBERS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
            "l_discount", "l_tax")
@@ -104,6 +104,9 @@ QUERIES: dict[str, Query] = {
         lambda df: rounded(select.correlation_filter(_with_constant(df), PRICE, 0.001).scores, 8, "score"),
         CORRELATION),
     "rf_importance": on(
-        "lineitem",
-        lambda df: select.rf_importance_select(df, FLAG, n_estimators=10, max_depth=5, top=4).scores),
+        "customer",
+        lambda df: select.rf_importance_select(
+            ruled(df).drop("low", "amount"), "level", top=1).scores.select("feature", "selected"),
+        """SELECT feature, feature = 'band' AS selected
+           FROM (SELECT unnest(['c_custkey', 'band', 'thousands']) AS feature FROM region WHERE r_regionkey = 0)"""),
 }

@@ -66,19 +66,27 @@ def detect_delimiter(spark: SparkSession, path: str) -> str:
 
 def read_delimited(
     spark: SparkSession, path: str, sep: str = ",", na_tokens: Sequence[str] = NA_TOKENS,
-    infer: bool = True, multi_line: bool = True,
+    infer: bool = True, multi_line: bool | None = None,
 ) -> DataFrame:
     """Headed delimited text; whole columns are typed as bigint, double, boolean or string.
 
-    Quoted line breaks need `multi_line`, which reads each file in one task: for big files
-    without them, switch it off and Spark splits the files.
+    Fields with line breaks need `multi_line`, which reads each file in one task. By default one pass over the
+    lines looks for quotes left open at a line's end, and files without any are split as usual.
     """
+    if multi_line is None:
+        multi_line = has_open_quotes(spark, path)
     raw = spark.read.csv(path, sep=sep, header=True, inferSchema=False, multiLine=multi_line,
                          quote='"', escape='"')
     raw = raw.select(*[F.when(~c(n).isin(*na_tokens), c(n)).alias(n) for n in raw.columns])
     return infer_types(raw) if infer else raw
 
 
+def has_open_quotes(spark: SparkSession, path: str) -> bool:
+    """Whether any line holds an odd number of quotes, as the first line of a field with line breaks does."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+
+
 def infer_types(raw: DataFrame) -> DataFrame:
     """Cast all-text columns by what all their values read as: one aggregate over all columns."""
     if not raw.columns:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from prepkit.operators import text
 from prepkit.operators.split import train_val_test_split
 from prepkit.plans import bounds
+from prepkit.plans.neighbours import with_neighbour
 from prepkit.sources import delimited, tables
 
 
@@ -56,6 +57,24 @@ def test_repeats(spark, monkeypatch, hot):
     assert sorted(tuple(r) for r in got) == want
 
 
+@pytest.mark.parametrize("after", [False, True])
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_neighbours_are_the_same_by_window_and_by_ranges(spark, monkeypatch, keys, after):
+    """A hot key, text order, missing and equal order values, a missing key."""
+    rows = [(None if i % 11 == 0 else "hot" if i % 3 else f"k{i % 7}", None if i % 13 == 0 else f"{i % 40:03d}", i)
+            for i in range(600)]
+    df = spark.createDataFrame(rows, "k string, t string, v int").repartition(5)
+
+    def found():
+        near = with_neighbour(df, keys, ["t"], F.col("v"), "near", after)
+        return sorted(tuple(r) for r in near.select("v", F.coalesce("near", F.lit(-1))).collect())
+
+    want = found()
+    assert sum(near == -1 for _, near in want) == (len({k for k, _, _ in rows}) if keys else 1)
+    monkeypatch.setattr(bounds, "WINDOW_GROUP_ROWS", 20)
+    assert found() == want
+
+
 def test_scan_types_and_missing_tokens(spark, folder):
     path = put(spark, folder, "a.csv", 'i,f,b,t,m,n\n1,1.5,True,x,NA,007\n2,NA,false,"a ""b"",\nc",,-3\n,1e3,,NULL,n/a,+4\n')
     got = delimited.read_delimited(spark, path)
