@@ -29,4 +29,4 @@ def resolve_name(name: str, taken: Iterable[str], if_exists: str) -> str | None:
         return None
     if if_exists == "suffix":
         return free_name(name, taken)
-    raise ValueError(f"Column '{name}' already exists; use if_exists='overwrite' or 'suffix'.")
+    raise ValueError(f"There already exists a column {name}: let if_exists overwrite it, reuse it or add a suffix.")

@@ -35,7 +35,7 @@ def text_columns(df: DataFrame) -> list[str]:
 def check_columns(df: DataFrame, names: Iterable[str], what: str = "Column") -> None:
     for name in names:
         if name not in df.columns:
-            raise ValueError(f"{what} '{name}' not found. Available: {df.columns}")
+            raise ValueError(f"{what} {name!r} is not in the table. Available columns: {df.columns}")
 
 
 def check_numeric(df: DataFrame, name: str, what: str = "Column") -> None:
@@ -47,7 +47,7 @@ def check_numeric(df: DataFrame, name: str, what: str = "Column") -> None:
 def check_choice(value: str, allowed: Iterable[str], what: str) -> None:
     allowed = sorted(allowed)
     if value not in allowed:
-        raise ValueError(f"Unsupported {what} '{value}'. Supported: {allowed}")
+        raise ValueError(f"Unsupported {what} {value!r}: it can be one of {', '.join(allowed)}.")
 
 
 def clean(df: DataFrame, name: str) -> Column:

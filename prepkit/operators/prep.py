@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 import numpy as np
@@ -103,7 +104,7 @@ def one_hot(
 ) -> DataFrame:
     """Add one 0/1 column per distinct value; missing is 0 everywhere, source columns stay.
 
-    Columns that are not in the table are skipped. `max_categories`, if given, refuses columns with more
+    Columns that are not in the table are skipped with a warning. `max_categories`, if given, refuses columns with more
     values; `one_hot_sparse` encodes such a column as one vector column. A dummy column per value needs the
     list of values on the driver.
     """
@@ -116,9 +117,12 @@ def one_hot(
     else:
         raise ValueError("Give column, columns or all_categoricals=True.")
     check_choice(if_exists, IF_EXISTS, "if_exists")
+    unknown = [x for x in dict.fromkeys(chosen) if x not in df.columns]
+    if unknown:
+        warnings.warn(f"Not in the table and skipped: {unknown}", stacklevel=2)
     chosen = [x for x in dict.fromkeys(chosen) if x in df.columns]
     if not chosen:
-        raise ValueError("No valid columns to encode.")
+        raise ValueError("None of the columns to encode is in the table.")
     values = _categories(df, chosen, max_categories)
 
     taken, made = list(df.columns), set()

@@ -178,6 +178,14 @@ def _placed(ready: DataFrame, n_clusters: int, seed: int, n_init: int, max_iter:
     return model.transform(ready).join(centres, F.col("_cluster") == F.col("_at"))
 
 
+def clustered_left_out(df: DataFrame, use_features: Sequence[str] | None = None) -> DataFrame:
+    """One row: all rows of the table (n_rows), and those a missing feature keeps out of the clusters (left_out)."""
+    features = list(use_features) if use_features is not None else df.columns
+    check_columns(df, features)
+    placed = _feature_vector(df, features)[0].agg(F.count(F.lit(1)).alias("n")).scalar()
+    return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("left_out", F.col("n_rows") - placed)
+
+
 def _feature_vector(df: DataFrame, features: Sequence[str]) -> tuple[DataFrame, list[str]]:
     arrays = [n for n in features if isinstance(df.schema[n].dataType, T.ArrayType)]
     if arrays and len(features) == 1:
@@ -188,7 +196,7 @@ def _feature_vector(df: DataFrame, features: Sequence[str]) -> tuple[DataFrame,
         return df.where(whole).withColumn("_raw", array_to_vector(c(name).cast("array<double>"))), arrays
     numbers = [n for n in numeric_columns(df) if n in features]
     if not numbers:
-        raise ValueError("No numeric columns available.")
+        raise ValueError("Clusters need numeric features, or one array column; there are none.")
     filled = {f"_f{i}": as_double(df, n) for i, n in enumerate(numbers)}
     ready = df.withColumns(filled).dropna(subset=list(filled))
     ready = VectorAssembler(inputCols=list(filled), outputCol="_raw").transform(ready)

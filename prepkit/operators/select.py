@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from prepkit.functions.numeric import bin_number, pearson
 from prepkit.functions.schema import (
-    as_double, c, check_choice, check_columns, check_numeric, clean, dtype, numeric_columns,
+    as_double, c, check_choice, check_columns, check_numeric, clean, dtype, inline_rows, numeric_columns,
     present,
 )
 from prepkit.plans.bounds import ensure_checkpoint_dir, settle, spread
@@ -30,17 +30,27 @@ DEEPEST_TREE = 30
 
 
 class Selection(NamedTuple):
-    """`scores`: feature, score, rank, selected - a row per candidate. `table`: what is kept."""
+    """`scores`: feature, score, rank, selected - a row per candidate. `table`: what is kept.
+
+    `left_out`: feature, rows - how many a missing feature or target keeps from each score; computed when asked for.
+    """
 
     scores: DataFrame
     table: DataFrame
     selected: list[str]
+    left_out: DataFrame | None = None
+
+
+def _left_out(df: DataFrame, target: str, features: Sequence[str]) -> DataFrame:
+    gone = [F.count_if(as_double(df, f).isNull() | ~present(df, target)).alias(f"n{i}") for i, f in enumerate(features)]
+    rows = [F.struct(F.lit(f).alias("feature"), F.col(f"n{i}").alias("rows")) for i, f in enumerate(features)]
+    return inline_rows(df.agg(*gone), rows)
 
 
 def _candidates(df: DataFrame, target: str | None) -> list[str]:
     names = numeric_columns(df, but=[target] if target else [])
     if not names:
-        raise ValueError("No numeric columns available.")
+        raise ValueError("There is no numeric column to select from.")
     return names
 
 
@@ -95,7 +105,8 @@ def select_kbest(
     ranked = _ranking(features, scores)
     chosen = [f for f in features if f in set(ranked[:k])]
     table = df.select(c(target), *[c(f) for f in chosen])
-    return Selection(_score_table(df, features, scores, chosen, ranked), table, chosen)
+    return Selection(
+        _score_table(df, features, scores, chosen, ranked), table, chosen, _left_out(df, target, features))
 
 
 def _by_feature(rows: list, n: int, value: str) -> list[float | None]:
@@ -278,7 +289,7 @@ def correlation_filter(df: DataFrame, target: str, threshold: float = 0.1) -> Se
     if not 0 <= threshold <= 1:
         raise ValueError("threshold must lie in [0, 1].")
     if isinstance(dtype(df, target), T.BooleanType):
-        raise ValueError("Could not compute the correlation with a boolean target.")
+        raise ValueError("A boolean target has no correlation; cast it to a number first.")
     features = _candidates(df, target)
     y = as_double(df, target)
     found = df.agg(*[pearson(as_double(df, f), y).alias(f"r{i}") for i, f in enumerate(features)]).first()

@@ -176,7 +176,7 @@ def _ranked_quantiles(df: DataFrame, column: str, groups: list[str], probs: Sequ
                  F.col("x").between(low, high).alias("inside"))
         for j, (low, high) in enumerate(zip(lows, highs))
     ])
-    inside = attach(rows, below, names).select(*names, "n", "x", F.inline(cells)).where("inside").persist()
+    inside = attach(rows, below, names).select(*names, "n", "x", F.inline(F.filter(cells, lambda s: s["inside"]))).persist()
     # Group size, bracket and its start are the same for all rows of a group and bracket.
     keys = [*names, "n", "j", "start"]
     size, slot, start = (F.col(f"g{i}") for i in range(len(names), len(keys)))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from prepkit.operators import sample, split
 from prepkit.registry import Query, on
+from prepkit.registry.inputs import ORDERS_NULLS, orders_nulls
 
 HASH = "md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), '42'))"
 
@@ -75,6 +76,9 @@ QUERIES: dict[str, Query] = {
         lambda df: sample.clustered_sample(df, 1, 25, use_features=["p_size", "p_retailprice"], key_cols="p_partkey"),
         """SELECT p.* FROM part p, (SELECT avg(p_size) AS s, avg(p_retailprice) AS r FROM part)
            ORDER BY (p_size - s) ** 2 + (p_retailprice - r) ** 2, p_partkey LIMIT 25"""),
+    "sample_clustered_left_out": on(
+        "orders", lambda df: sample.clustered_left_out(orders_nulls(df), ["o_custkey", "o_totalprice"]),
+        f"SELECT count(*) AS n_rows, count(*) - count(o_totalprice) AS left_out FROM {ORDERS_NULLS}"),
     "sample_clustered_vectors": on(
         "embeddings",
         lambda df: sample.clustered_sample(df, 10, 2, use_features=["embedding"], key_cols="vec_id")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from prepkit.operators import select
 from prepkit.registry import Query, on
-from prepkit.registry.inputs import rounded, ruled
+from prepkit.registry.inputs import ORDERS_NULLS, orders_nulls, rounded, ruled
 
 NUMBERS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
            "l_discount", "l_tax")
@@ -103,6 +103,12 @@ QUERIES: dict[str, Query] = {
         "lineitem",
         lambda df: rounded(select.correlation_filter(_with_constant(df), PRICE, 0.001).scores, 8, "score"),
         CORRELATION),
+    "kbest_left_out": on(
+        "orders",
+        lambda df: select.select_kbest(orders_nulls(df).drop("o_orderstatus"), "o_orderpriority", 1, "f_classif").left_out,
+        f"""SELECT feature, count(*) FILTER (o_orderpriority IS NULL OR x IS NULL) AS rows FROM (
+              SELECT o_orderpriority, unnest([o_orderkey::DOUBLE, o_custkey::DOUBLE, o_totalprice]) AS x,
+                     unnest(['o_orderkey', 'o_custkey', 'o_totalprice']) AS feature FROM {ORDERS_NULLS}) GROUP BY 1"""),
     "rf_importance": on(
         "customer",
         lambda df: select.rf_importance_select(
