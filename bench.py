@@ -25,7 +25,8 @@ HEADLINE = (
     "sample_random", "sample_stratified", "sample_balanced", "sample_clustered",
     "split_random", "split_stratified", "split_time",
     "metrics_classification", "metrics_auc", "metrics_auc_ovr",
-    "train_linear", "train_rf_classifier", "train_gbt_regressor", "train_logistic",
+    "train_linear", "train_rf_classifier", "train_gbt_regressor", "train_logistic", "train_svm",
+    "describe_percentiles", "kbest_mi_regression", "kbest_mi_knn",
     "transcript_last_n", "suppress_repeats", "csv_round_trip",
 )
 
