@@ -8,7 +8,7 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prepkit.llm.components import components
@@ -45,7 +45,8 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for whole in batches:
         for batch in slices(whole, "text"):
             found = [fingerprint(text) for text in batch["text"].cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["id"], pa.array(found, pa.int64())], ["id", "fp"])
+            rest = [name for name in batch.schema.names if name != "text"]
+            yield pa.RecordBatch.from_arrays([*[batch[name] for name in rest], pa.array(found, pa.int64())], [*rest, "fp"])
 
 
 def _masks() -> list[int]:
@@ -121,6 +122,14 @@ def links(fingerprints: DataFrame) -> DataFrame:
     return pairs.select("a", "b").union(map_arrow(full, _bucket_links, "a long, b long")).distinct()
 
 
+def _rooted(made: DataFrame) -> DataFrame:
+    """(fp, least, root): each distinct fingerprint, its least id, and the least fingerprint of its component."""
+    nodes = written(made.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
+    roots = components(links(nodes.select("fp")), "a", "b")
+    return nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key, fingerprint (16 hex digits), component_id.
 
@@ -134,10 +143,7 @@ def simhash_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     rows = df.select(col(key).alias("id"), col(text).cast("string").alias("text"))
     made = written(map_arrow(
         rows, _fingerprints, f"id {df.schema[key].dataType.simpleString()}, fp long"), "fingerprints")
-    nodes = written(made.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
-    roots = components(links(nodes.select("fp")), "a", "b")
-    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(made)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(least, "root").select(F.col("fp").alias("node_fp"), "component_id")
     return made.join(named, made["fp"] == named["node_fp"]).select(
@@ -145,11 +151,20 @@ def simhash_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 
 def drop_near_copies(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `df` whose id leads its component; of rows with that id, one (any: they are near copies
-    unless ids repeat by mistake). A component without any id keeps one row."""
-    groups = simhash_groups(df, key, text)
-    lead = groups.filter(F.col("component_id").eqNullSafe(col(key))).select(col(key).alias("lead_")).distinct()
-    kept = df.join(lead.hint("merge"), col(key).eqNullSafe(F.col("lead_")), "left_semi")
-    place = spare_name(df, "place")
-    first = Window.partitionBy(col(key)).orderBy(col(key))
-    return kept.withColumn(place, F.row_number().over(first)).filter(col(place) == 1).drop(place)
+    """One row of `df` per component: that of the least id (null ids last), then fingerprint, then text digest.
+
+    Rows of equal id and text are copies, of which any stays. Rows of one id with texts of different components,
+    and components without an id, each keep their own row.
+    """
+    rows = df.select(col(key).alias("id"), col(text).cast("string").alias("text"))
+    made = written(map_arrow(
+        rows.withColumn("digest", F.md5("text")), _fingerprints,
+        f"id {df.schema[key].dataType.simpleString()}, digest string, fp long"), "fingerprints")
+    rooted = _rooted(made).select(F.col("fp").alias("node_fp"), "root")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp", "digest")).alias("lead")
+    leads = made.join(rooted, made["fp"] == rooted["node_fp"]).groupBy("root").agg(first).select(
+        F.col("lead.id").alias("lead_id_"), F.col("lead.digest").alias("lead_digest_"))
+    digest = spare_name(df, "digest")
+    marked = df.withColumn(digest, F.md5(col(text).cast("string")))
+    met = col(key).eqNullSafe(F.col("lead_id_")) & col(digest).eqNullSafe(F.col("lead_digest_"))
+    return marked.join(leads.hint("merge"), met, "left_semi").dropDuplicates([key, digest]).drop(digest)

@@ -98,6 +98,16 @@ def test_simhash(request, name):
     assert sorted(map(repr, (r.doc_id for r in kept.collect()))) == sorted(map(repr, least.values()))
 
 
+def test_each_component_keeps_one_row(spark):
+    rng = np.random.default_rng(11)
+    texts = [" ".join(map(str, rng.integers(0, 10**9, 60))) for _ in range(9)]
+    rows = [(None, t) for t in texts[:6]] + [(None, texts[0])] * 3  # different texts and copies without an id
+    rows += [(1, texts[6]), (1, texts[7]), (1, texts[7]), (2, texts[7]), (None, texts[7]), (3, None), (None, texts[8]), (9, texts[8])]
+    kept = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    want = [(None, t) for t in texts[:6]] + [(1, texts[6]), (1, texts[7]), (3, None), (9, texts[8])]
+    assert sorted(map(repr, map(tuple, kept.collect()))) == sorted(map(repr, want))
+
+
 def test_large_bucket_links_like_all_pairs():
     rng = np.random.default_rng(3)
     values = np.unique(rng.integers(0, 1 << 16, 3000).astype(np.int64) << 24)
