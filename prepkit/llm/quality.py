@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -32,10 +33,9 @@ WINDOW_WORDS = 5
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 
-WIDTH = 5.0
-"""A band's half width in robust standard deviations of a language's log perplexities."""
+WIDTH = 2.0
+"""A band's half width in robust standard deviations of a language's held-out log perplexities."""
 
-LEAST_SPREAD = 0.03
 CHARACTER_NOISE = 1.5
 """Deviation of one character's log probability: short texts get a wider band."""
 
@@ -132,82 +132,182 @@ def _discounts(grams_: DataFrame) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), k - 0.05) for k, d in enumerate(raw, 1))
 
 
-def kneser_ney(counted: DataFrame) -> DataFrame:
-    """(g, p): the interpolated modified Kneser-Ney probability of the last character of each n-gram.
+class Order(NamedTuple):
+    """Counts of the n-grams of one order, and per prefix the sums of the counts and of their discounts."""
 
-    `counted` has the packed n-grams (g) of ORDER characters and their counts (c). Lower orders take
-    the number of different characters before an n-gram. Every table is keyed by packed n-grams.
-    """
-    tables = {ORDER: counted}
+    keys: np.ndarray
+    counts: np.ndarray
+    discounts: tuple[float, float, float]
+    prefixes: np.ndarray
+    sums: np.ndarray
+    left: np.ndarray
+
+
+def _cut(counts: np.ndarray, discounts: tuple[float, float, float]) -> np.ndarray:
+    """What a count is discounted by; nothing for a count of 0."""
+    return np.array([0.0, *discounts])[np.minimum(counts, 3)]
+
+
+def order_tables(counted: DataFrame) -> list[DataFrame]:
+    """(g, c) for n-grams of 1 to ORDER characters. Lower orders count the different characters before an n-gram."""
+    tables = [counted]
     for k in range(ORDER - 1, 0, -1):
-        tables[k] = written(tables[k + 1].groupBy(F.col("g").bitwiseAND((1 << BITS * k) - 1).alias("g"))
-                            .agg(F.count(F.lit(1)).alias("c")), f"order-{k}")
-    lower = None
-    for k in range(1, ORDER + 1):
-        d1, d2, d3 = _discounts(tables[k])
-        c = F.col("c")
-        prefix = F.shiftright("g", BITS)
-        sums = tables[k].groupBy(prefix.alias("h")).agg(
-            F.sum(c).alias("s"), F.count_if(c == 1).alias("n1"), F.count_if(c == 2).alias("n2"),
-            F.count_if(c > 2).alias("n3"))
-        sums = sums.withColumn("left", (d1 * F.col("n1") + d2 * F.col("n2") + d3 * F.col("n3")) / F.col("s"))
-        cut = F.when(c == 1, d1).when(c == 2, d2).otherwise(d3)
-        met = tables[k].join(sums.select("h", "s", "left"), prefix == F.col("h"))
-        if lower is None:
-            below = met.withColumn("q", F.lit(1.0 / (1 << BITS)))
-        else:
-            suffix = F.col("g").bitwiseAND((1 << BITS * (k - 1)) - 1)
-            below = met.join(lower.select(F.col("g").alias("g_"), F.col("p").alias("q")), suffix == F.col("g_"))
-        lower = written(below.select("g", ((c - cut) / F.col("s") + F.col("left") * F.col("q")).alias("p")), f"kn-{k}")
-    return lower
+        tables.insert(0, written(tables[0].groupBy(F.col("g").bitwiseAND((1 << BITS * k) - 1).alias("g"))
+                                 .agg(F.count(F.lit(1)).alias("c")), f"order-{k}"))
+    return tables
 
 
 # ---- scores ----
 
-def _slice_bounds(model: DataFrame) -> list[tuple[int | None, int | None]]:
-    """Ranges of n-grams with about SLICE entries or fewer each."""
-    parts = -(-model.count() // SLICE)
+def _slice_bounds(table: DataFrame) -> list[tuple[int | None, int | None]]:
+    """Ranges of n-grams with about SLICE entries or fewer each; a prefix lies in one range."""
+    parts = -(-table.count() // SLICE)
     if parts <= 1:
         return [(None, None)]
     shares = [i / (2 * parts) for i in range(1, 2 * parts)]  # approximate bounds make uneven slices
-    inner = sorted(set(model.agg(F.percentile_approx("g", shares, 100 * parts)).first()[0]))
+    inner = sorted({x >> BITS << BITS for x in table.agg(F.percentile_approx("g", shares, 100 * parts)).first()[0]})
     return list(zip([None, *inner], [*inner, None], strict=True))
 
 
-def _sorted_arrays(model: DataFrame, low: int | None, high: int | None) -> Broadcast:
-    """A slice of the model as sorted n-grams and their log probabilities."""
+def _order(table: DataFrame, discounts: tuple[float, float, float], low: int | None = None, high: int | None = None) -> Order:
+    """A slice of an order's counts as sorted arrays."""
     if low is not None:
-        model = model.filter(F.col("g") >= low)
+        table = table.filter(F.col("g") >= low)
     if high is not None:
-        model = model.filter(F.col("g") < high)
-    got = model.select("g", F.log("p").cast("float").alias("p")).toArrow()
-    keys, logs = got["g"].to_numpy(), got["p"].to_numpy()
-    order = np.argsort(keys)
-    return model.sparkSession.sparkContext.broadcast((keys[order], logs[order]))
+        table = table.filter(F.col("g") < high)
+    got = table.select("g", "c").toArrow()
+    keys, counts = got["g"].to_numpy(), got["c"].to_numpy()
+    at = np.argsort(keys)
+    keys, counts = keys[at], counts[at]
+    prefixes, begins = np.unique(keys >> BITS, return_index=True)
+    sums = np.add.reduceat(counts, begins) if len(keys) else counts
+    left = np.add.reduceat(_cut(counts, discounts), begins) if len(keys) else np.empty(0)
+    return Order(keys, counts, discounts, prefixes, sums, left)
+
+
+def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The values of the wanted keys, 0 where there is none."""
+    if not len(keys):
+        return np.zeros(len(wanted), values.dtype)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, values[at], 0)
+
+
+class Pairs(NamedTuple):
+    """The distinct (document, n-gram) pairs of some texts in this order; n-grams are places in the sorted `grams`."""
+
+    doc: np.ndarray
+    code: np.ndarray
+    grams: np.ndarray
+
+
+def _pairs(doc: np.ndarray, code: np.ndarray, grams_: np.ndarray) -> tuple[np.ndarray, Pairs]:
+    """The pair of each row, and the pairs. Document, n-gram and row are sorted as one packed number."""
+    if not len(doc):
+        return np.empty(0, np.int64), Pairs(doc, code, grams_)
+    rows, codes = len(doc).bit_length(), len(grams_).bit_length()
+    packed = np.sort(((doc << codes | code) << rows) | np.arange(len(doc)))
+    row = packed & ((1 << rows) - 1)
+    packed >>= rows
+    first = np.ones(len(doc), bool)
+    first[1:] = packed[1:] != packed[:-1]
+    at = np.empty(len(doc), np.int64)
+    at[row] = np.cumsum(first) - 1
+    met = packed[first]
+    return at, Pairs(met >> codes, met & ((1 << codes) - 1), grams_)
+
+
+def _probabilities(
+    orders: list[Order], pairs: Pairs, removed: np.ndarray, own: np.ndarray | None = None,
+) -> tuple[np.ndarray, np.ndarray]:
+    """(probability, the same without the document's own counts) of each pair's n-gram; orders are 1 to the pairs' own.
+
+    `removed` is the document's part of an n-gram's count; `own` marks n-grams that no other document has. A lower
+    order loses a count for each n-gram above that is the document's own. Discounts stay those of all documents. A
+    prefix that no other document has leaves the probability to the order below. Pairs outside a slice of the
+    highest order give numbers without a meaning.
+    """
+    order, k = orders[-1], len(orders)
+    counts = _found(order.keys, order.counts, pairs.grams)[pairs.code]
+    if own is None:
+        own = counts == removed
+    below = below_held = 1.0 / (1 << BITS)
+    if k > 1:
+        suffixes, code = np.unique(pairs.grams & ((1 << BITS * (k - 1)) - 1), return_inverse=True)
+        at, lower = _pairs(pairs.doc, code[pairs.code], suffixes)
+        lost = np.bincount(at[own], minlength=len(lower.doc))
+        below, below_held = (p[at] for p in _probabilities(orders[:-1], lower, lost))
+    removed = np.minimum(removed, counts)
+    heads, code = np.unique(pairs.grams >> BITS, return_inverse=True)
+    code = code[pairs.code]
+    first = np.ones(len(code), bool)
+    first[1:] = (code[1:] != code[:-1]) | (pairs.doc[1:] != pairs.doc[:-1])
+    at, code = np.cumsum(first) - 1, code[first]
+    sums = _found(order.prefixes, order.sums, heads)[code]
+    left = _found(order.prefixes, order.left, heads)[code]
+    rest, cut = counts - removed, _cut(counts, order.discounts)
+    cut_rest = _cut(rest, order.discounts)
+    sums_held = sums - np.bincount(at, weights=removed, minlength=len(sums))
+    left_held = np.maximum(left - np.bincount(at, weights=cut - cut_rest, minlength=len(sums)), 0)
+    whole = (counts - cut + left[at] * below) / np.maximum(sums, 1)[at]
+    held = (rest - cut_rest + left_held[at] * below_held) / np.maximum(sums_held, 1)[at]
+    return whole, np.where(sums_held[at] > 0, held, below_held)
+
+
+def _text_pairs(texts: list[str]) -> tuple[Pairs, np.ndarray, np.ndarray, np.ndarray]:
+    """(pairs, their counts, where each document's pairs begin, characters per document)."""
+    packed, n = grams(texts)
+    code, found = pd.factorize(packed)
+    order = np.argsort(found)
+    rank = np.empty(len(found), np.int64)
+    rank[order] = np.arange(len(found))
+    at, pairs = _pairs(np.repeat(np.arange(len(texts)), n), rank[code], found[order])
+    n_pairs = np.bincount(pairs.doc, minlength=len(texts))
+    return pairs, np.bincount(at, minlength=len(pairs.doc)), np.cumsum(n_pairs) - n_pairs, n
+
+
+def _own(batches: Iterator[pa.RecordBatch], top: Broadcast, out: list[str]) -> Iterator[pa.RecordBatch]:
+    """Add one slice's n-grams that no other document has, as places among the document's n-grams."""
+    order = top.value
+    for whole in batches:
+        for batch in slices(whole, "text", BATCH):
+            pairs, removed, begins, _ = _text_pairs(_texts(batch))
+            own = np.flatnonzero(_found(order.keys, order.counts, pairs.grams)[pairs.code] == removed)
+            doc, place = pairs.doc[own], own - begins[pairs.doc[own]]
+            if "own" in batch.schema.names:
+                before = batch["own"]
+                doc = np.concatenate([doc, np.repeat(np.arange(batch.num_rows), before.value_lengths().to_numpy())])
+                place = np.concatenate([place, before.flatten().to_numpy()])
+                at = np.argsort(doc, kind="stable")
+                doc, place = doc[at], place[at]
+            ends = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=batch.num_rows))])
+            made = {name: batch[name] for name in batch.schema.names}
+            made["own"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(place, pa.int32()))
+            yield pa.RecordBatch.from_arrays([made[name] for name in out], out)
 
 
-def _score(batches: Iterator[pa.RecordBatch], model: Broadcast, out: list[str]) -> Iterator[pa.RecordBatch]:
-    """Add one model slice's part of log_p; on the first slice also count the base columns."""
-    keys, logs = model.value
+def _score(batches: Iterator[pa.RecordBatch], lower: Broadcast, top: Broadcast, out: list[str]) -> Iterator[pa.RecordBatch]:
+    """Add one model slice's part of log_p and held_log_p; on the first slice also count the base columns."""
+    order = top.value
+    orders = [*lower.value, order]
     for whole in batches:
         for batch in slices(whole, "text", BATCH):
             texts = _texts(batch)
-            packed, counts = grams(texts)
-            codes, found = pd.factorize(packed)
-            gain = np.zeros(len(found))
-            if len(keys):
-                at = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
-                gain = np.where(keys[at] == found, logs[at], 0.0).astype(np.float64)
-            doc = np.repeat(np.arange(len(texts)), counts)
-            total = np.bincount(doc, weights=gain[codes], minlength=len(texts))
+            pairs, inside, begins, counts = _text_pairs(texts)
             made = {name: batch[name] for name in batch.schema.names}
-            if "log_p" in made:
-                total = total + made["log_p"].to_numpy()
-            else:
+            own = None
+            if "own" in made:
+                owner = np.repeat(np.arange(len(texts)), made["own"].value_lengths().to_numpy())
+                own = np.zeros(len(inside), bool)
+                own[begins[owner] + made["own"].flatten().to_numpy()] = True
+            there = np.isin(pairs.grams, order.keys)[pairs.code] if own is not None else np.ones(len(inside), bool)
+            for name, p in zip(("log_p", "held_log_p"), _probabilities(orders, pairs, inside, own), strict=True):
+                total = np.bincount(pairs.doc[there], weights=inside[there] * np.log(p[there]), minlength=len(texts))
+                made[name] = pa.array(total + (made[name].to_numpy() if name in made else 0.0))
+            if "n_scored" not in made:
                 names = [c.split()[0] for c in BASE_COLUMNS.split(", ")]
                 made |= dict(zip(names, map(pa.array, base_counts([t.encode() for t in texts])), strict=True))
                 made["n_scored"] = pa.array(counts.astype(np.int64))
-            made["log_p"] = pa.array(total)
             yield pa.RecordBatch.from_arrays([made[name] for name in out], out)
 
 
@@ -220,13 +320,13 @@ def _middle(cells: DataFrame, value: str) -> DataFrame:
 
 
 def bands(scored: DataFrame) -> DataFrame:
-    """(band_lang, middle, spread): median and robust deviation of log perplexity per language, null included.
+    """(band_lang, middle, spread): median and robust deviation of held-out log perplexity per language, null included.
 
     Taken from all documents with a character that pass the base rules; counts on a grid of 1 / GRID, so
     the result doesn't depend on partitions. A language has as many cells as its perplexities differ.
     """
     good = scored.filter("n_scored > 0 and not base_failed").select(
-        "lang", F.round(F.col("log_ppl") * GRID).cast("long").alias("x"))
+        "lang", F.round(F.col("held_log_ppl") * GRID).cast("long").alias("x"))
     cells = good.groupBy("lang", "x").agg(F.count(F.lit(1)).alias("n"))
     middle = _middle(cells, "x").withColumnRenamed("lang", "band_lang")
     away = cells.join(F.broadcast(middle), F.col("lang").eqNullSafe(F.col("band_lang"))).select(
@@ -234,7 +334,7 @@ def bands(scored: DataFrame) -> DataFrame:
     spread = _middle(away, "x").select(F.col("lang").alias("l"), F.col("middle").alias("mad"))
     return middle.join(spread, F.col("band_lang").eqNullSafe(F.col("l"))).select(
         "band_lang", (F.col("middle") / GRID).alias("middle"),
-        F.greatest(F.col("mad") * 1.4826 / GRID, F.lit(LEAST_SPREAD)).alias("spread"))
+        (F.col("mad") * 1.4826 / GRID).alias("spread"))
 
 
 def base_failed() -> Column:
@@ -247,37 +347,52 @@ def _scored(df: DataFrame, key: str, text: str, lang: str, carried: list[str]) -
         col(key).alias("id"), col(lang).cast("string").alias("lang"), col(text).cast("string").alias("text"),
         *[col(name).alias(f"k{i}") for i, name in enumerate(carried)])
     counted = written(map_arrow(rows.select("text"), _count, "g long, c long").groupBy("g").agg(F.sum("c").alias("c")), "grams")
-    model = kneser_ney(counted)
+    tables = order_tables(counted)
+    discounts = [_discounts(t) for t in tables]
+    send = df.sparkSession.sparkContext.broadcast
+    lower = send([_order(t, d) for t, d in zip(tables[:-1], discounts[:-1], strict=True)])
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    kinds |= dict(c.split() for c in BASE_COLUMNS.split(", ")) | {"n_scored": "long", "log_p": "double"}
-    bounds = _slice_bounds(model)
+    bounds = _slice_bounds(counted)
+    if len(bounds) > 1:
+        kinds["own"] = "array<int>"
+        out = list(kinds)
+        schema = ", ".join(f"{name} {kinds[name]}" for name in out)
+        for low, high in bounds:
+            top = send(_order(counted, discounts[-1], low, high))
+            rows = written(map_arrow(rows, lambda b, top=top, out=out: _own(b, top, out), schema), "own")
+    kinds |= dict(c.split() for c in BASE_COLUMNS.split(", ")) | {"n_scored": "long", "log_p": "double", "held_log_p": "double"}
     for i, (low, high) in enumerate(bounds):
-        part = _sorted_arrays(model, low, high)
-        out = [name for name in kinds if name != "text" or i < len(bounds) - 1]
+        top = send(_order(counted, discounts[-1], low, high))
+        out = [name for name in kinds if name not in ("text", "own") or i < len(bounds) - 1]
         schema = ", ".join(f"{name} {kinds[name]}" for name in out)
-        rows = written(map_arrow(rows, lambda b, part=part, out=out: _score(b, part, out), schema), "scores")
-    scored = rows.withColumns({"base_failed": base_failed(), "log_ppl": -F.col("log_p") / F.nullif("n_scored", F.lit(0))})
+        rows = written(map_arrow(rows, lambda b, top=top, out=out: _score(b, lower, top, out), schema), "scores")
+    n = F.nullif("n_scored", F.lit(0))
+    scored = rows.withColumns({
+        "base_failed": base_failed(), "log_ppl": -F.col("log_p") / n, "held_log_ppl": -F.col("held_log_p") / n})
     met = scored.join(F.broadcast(bands(scored)), F.col("lang").eqNullSafe(F.col("band_lang")), "left")
     reach = WIDTH * F.sqrt(F.col("spread") * F.col("spread") + CHARACTER_NOISE**2 / F.nullif("n_scored", F.lit(0)))
-    inside = F.abs(F.col("log_ppl") - F.col("middle")) <= reach
+    inside = F.abs(F.col("held_log_ppl") - F.col("middle")) <= reach
+    middle = F.col("middle") + F.col("log_ppl") - F.col("held_log_ppl")
     return met.withColumns({
-        "perplexity": F.exp("log_ppl"), "lower_band": F.exp(F.col("middle") - reach),
-        "upper_band": F.exp(F.col("middle") + reach),
+        "perplexity": F.exp("log_ppl"), "held_out_perplexity": F.exp("held_log_ppl"),
+        "lower_band": F.exp(middle - reach), "upper_band": F.exp(middle + reach),
         "kept": ~F.col("base_failed") & F.coalesce(inside, F.lit(True))})
 
 
 def score(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """One row per document: key, the base counts, base_failed, perplexity, its band, kept.
+    """One row per document: key, the base counts, base_failed, perplexity, held_out_perplexity, its band, kept.
 
     Words are runs without `[ \\t-\\r]`; a null text has none. The model is counted over all documents, so each
-    n-gram that is looked up is known. Perplexity is per character. It must lie between the language's bands:
-    the median of log perplexities, WIDTH robust deviations to each side, wider for short texts. `kept` is
+    n-gram that is looked up is known. Perplexity is per character. For the verdict a document's own counts are
+    taken out of the model first. The held-out perplexity must lie between the language's bands: the median of its
+    logarithms, WIDTH robust deviations to each side, wider for short texts. The band is given on the scale of
+    `perplexity`, shifted by what the document's own counts gain it, so it differs by document. `kept` is
     false if the base rules fail, else the bands' verdict. A null language has bands of its own. A text
     without characters has no perplexity; other columns of `df` play no part.
     """
     return _scored(df, key, text, lang, []).select(
         F.col("id").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        "perplexity", "lower_band", "upper_band", "kept")
+        "perplexity", "held_out_perplexity", "lower_band", "upper_band", "kept")
 
 
 def kept_documents(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:

@@ -185,6 +185,67 @@ def test_perplexity_is_modified_kneser_ney(spark):
         assert math.log(r.perplexity) == pytest.approx(-sum(logs) / len(logs), abs=1e-5)
 
 
+def plain_held_out(texts, out):
+    """Mean log probability of a text under the counts of the others, with the discounts of all."""
+    padded = ["\x02" * 4 + re.sub(r"[\t-\r \xa0]+", " ", t.lower()) for t in texts]
+    cut = [[s[i - 4:i + 1] for i in range(4, len(s))] for s in padded]
+
+    def tables(some):
+        made = {5: collections.Counter(g for gs in some for g in gs)}
+        for k in range(4, 0, -1):
+            made[k] = collections.Counter(g[1:] for g in made[k + 1])
+        return made
+
+    d = {}
+    for k, table in tables(cut).items():
+        n = [sum(c == i for c in table.values()) for i in range(5)]
+        d[k] = [0, 0.5, 1.0, 1.5]
+        if n[1] and n[2] and n[3]:
+            y = n[1] / (n[1] + 2 * n[2])
+            raw = [1 - 2 * y * n[2] / n[1], 2 - 3 * y * n[3] / n[2], 3 - 4 * y * n[4] / n[3]]
+            d[k] = [0, *[min(max(x, 0.05), i - 0.05) for i, x in enumerate(raw, 1)]]
+    held = tables(cut[:out] + cut[out + 1:])
+
+    def p(g):
+        k = len(g)
+        if not k:
+            return 1 / 4096
+        same = {x: c for x, c in held[k].items() if x[:-1] == g[:-1]}
+        if not same:
+            return p(g[1:])
+        left = sum(d[k][min(c, 3)] for c in same.values())
+        c = same.get(g, 0)
+        return (c - d[k][min(c, 3)] + left * p(g[1:])) / sum(same.values())
+
+    return sum(math.log(p(g)) for g in cut[out]) / len(cut[out])
+
+
+@pytest.mark.parametrize("size", [4_000_000, 20])
+def test_held_out_perplexity_leaves_the_document_out(spark, monkeypatch, size):
+    monkeypatch.setattr(quality, "SLICE", size)
+    texts = ["the cat sat on the mat and the dog ran", "the dog sat on the log while a cat ran off", "zzz qqq zzz the cat\n\n x",
+             "zzz qqq zzz ###"]
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    for r in quality.score(df).collect():
+        assert -math.log(r.held_out_perplexity) == pytest.approx(plain_held_out(texts, r.doc_id), abs=1e-9)
+
+
+def test_junk_among_documents_is_rejected(spark, documents):
+    rng = np.random.default_rng(8)
+    kinds = ["#*$%&|<>", "bcdfghjklmnpqrstvwxz", "0123456789"]
+    rows = [(r.doc_id, r.text, r.lang) for r in documents.select("doc_id", "text", "lang").collect()]
+    junk = {}
+    for lang in ("en", "de", "fr", "es"):
+        for kind in kinds:
+            words = ["".join(rng.choice(list(kind), rng.integers(2, 9))) for _ in range(200)]
+            junk[-1 - len(junk)] = (lang, kind)
+            rows.append((-len(junk), " ".join(words), lang))
+    got = quality.score(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert not [junk[r.doc_id] for r in got if r.doc_id in junk and (r.kept or r.base_failed)]
+    real = [r.kept for r in got if r.doc_id not in junk and not r.base_failed]
+    assert 0.85 * len(real) < sum(real)
+
+
 def test_model_slices_add_up(documents, monkeypatch):
     whole = {r.doc_id: r.perplexity for r in quality.score(documents).collect()}
     monkeypatch.setattr(quality, "SLICE", 8000)
