@@ -11,6 +11,7 @@ from prepkit.llm import (
     neighbours,
     packing,
     quality,
+    sentence_pieces,
     sharding,
     simhash,
     substring_dedup,
@@ -28,6 +29,12 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_paragraph_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.repeated_paragraphs(table(spark, folder, "documents"))
 
@@ -156,6 +163,14 @@ def op9_learned_partitions(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
 
 
+def op11_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    done = sentence_pieces.round_trip(table(spark, folder, "documents").select("doc_id", "text"), piece_bpe())
+    return done.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_paragraph_minhash": (op1_paragraph_minhash, None),
     "op2_concat_pack": (op2_concat_pack, None),
@@ -167,4 +182,5 @@ QUERIES = {
     "op6_temporal_url_lists": (op6_temporal_url_lists, OP6_SQL),
     "op9_learned_partitions": (op9_learned_partitions, None),
     "op10_entropy_mix": (op10_entropy_mix, None),
+    "op11_sentencepiece": (op11_sentencepiece, None),
 }
