@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prepkit.llm import (
+    conversation_trie,
     line_dedup,
     mixing,
     neighbours,
@@ -171,6 +172,57 @@ def op11_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = conversation_trie.numbered_turns(table(spark, folder, "conversations"))
+    return conversation_trie.trie(*conversation_trie.rebuilt(turns))
+
+
+OP13_SQL = r"""
+WITH RECURSIVE crc_steps AS (
+  SELECT i::BIGINT AS byte, 0 AS k, i::BIGINT AS v FROM range(256) t(i)
+  UNION ALL SELECT byte, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM crc_steps WHERE k < 8),
+crc_table AS (SELECT byte, v FROM crc_steps WHERE k = 8),
+ids AS (SELECT DISTINCT conv_id, conv_id::VARCHAR AS digits FROM conversations WHERE conv_id IS NOT NULL),
+crcs AS (
+  SELECT conv_id, digits, 0 AS at, 4294967295::BIGINT AS crc FROM ids
+  UNION ALL
+  SELECT c.conv_id, c.digits, at + 1, xor(crc >> 8, t.v)
+  FROM crcs c JOIN crc_table t ON t.byte = xor(crc, ascii(substr(digits, at + 1, 1))) & 255
+  WHERE at < length(digits)),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS source, xor(crc, 4294967295) % 9 AS h FROM crcs WHERE at = length(digits)),
+own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+parts AS (
+  SELECT c.conv_id, 0 AS part, o.pos, o.role, o.text FROM convs c JOIN own o ON o.conv_id = c.source AND o.pos <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, o.pos, o.role, o.text FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.pos > c.h),
+steps AS (
+  SELECT conv_id, row_number() OVER w AS depth, strlen(text) AS bytes,
+         string_agg(length(role) || ' ' || length(text) || ' ' || role || text, '')
+           OVER (PARTITION BY conv_id ORDER BY part, pos ROWS UNBOUNDED PRECEDING) AS path
+  FROM parts WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos)),
+paths AS (
+  SELECT conv_id, depth, bytes, path, lag(path, 1, '') OVER (PARTITION BY conv_id ORDER BY depth) AS parent,
+         count(*) OVER (PARTITION BY conv_id) AS length FROM steps
+  UNION ALL SELECT c.conv_id, 0, 0, '', NULL, count(s.depth) FROM convs c LEFT JOIN steps s USING (conv_id) GROUP BY c.conv_id),
+nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, min(parent) AS parent, min(bytes) AS bytes, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = length), '')) AS ends_sha256
+  FROM paths GROUP BY path, depth),
+children AS (SELECT parent AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY parent),
+counted AS (SELECT n.*, coalesce(c.n, 0) AS n_children FROM nodes n LEFT JOIN children c USING (path)),
+subtree AS (
+  SELECT p.path, count(*) FILTER (v.n_children = 0) AS n_leaves, sum((v.n_convs - 1) * v.bytes) AS saved_tokens
+  FROM counted v JOIN paths p ON p.conv_id = v.conv_id AND p.depth <= v.depth GROUP BY p.path)
+SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves,
+       s.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM counted n JOIN subtree s USING (path) LEFT JOIN nodes up ON n.depth > 0 AND up.path = n.parent
+"""
+
+
 QUERIES = {
     "op1_paragraph_minhash": (op1_paragraph_minhash, None),
     "op2_concat_pack": (op2_concat_pack, None),
@@ -183,4 +235,5 @@ QUERIES = {
     "op9_learned_partitions": (op9_learned_partitions, None),
     "op10_entropy_mix": (op10_entropy_mix, None),
     "op11_sentencepiece": (op11_sentencepiece, None),
+    "op13_conversation_trie": (op13_conversation_trie, OP13_SQL),
 }
