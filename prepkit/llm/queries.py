@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prepkit.llm import (
+    collocations,
     conversation_trie,
     line_dedup,
     mixing,
@@ -172,6 +173,44 @@ def op11_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+OP12_SQL = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM texts),
+words AS (SELECT lang, list_filter(regexp_split_to_array(p, '[ \t]+'), x -> x <> '') AS ws FROM pieces),
+places AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM words),
+totals AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM words GROUP BY lang),
+counts AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM places, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE i + k - 1 <= len(ws) GROUP BY ALL),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM counts WHERE k > 1 AND f >= 30),
+cuts AS (
+  SELECT lang, phrase, k, a, j, array_to_string(ws[1:j], ' ') AS lefts, array_to_string(ws[j + 1:k], ' ') AS rights
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM candidates)),
+scores AS (
+  SELECT c.lang, c.phrase, c.k, c.a, c.j, x.f AS l, y.f AS r, (2000000::HUGEINT * c.a // (x.f + y.f))::BIGINT AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = c.lefts
+              JOIN counts y ON y.lang = c.lang AND y.phrase = c.rights),
+lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inner_phrases AS (
+  SELECT lang, k, a, s, array_to_string(ws[s:s + m - 1], ' ') AS phrase, m
+  FROM (SELECT *, unnest(range(2, k)) AS m FROM candidates), (SELECT unnest([1, 2, 3]) AS s) WHERE s + m - 1 <= k),
+around AS (SELECT lang, phrase, max(a) AS most FROM inner_phrases GROUP BY lang, phrase),
+kept AS (
+  SELECT l.* FROM lowest l LEFT JOIN around o USING (lang, phrase)
+  WHERE o.most IS NULL OR 100::HUGEINT * o.most < 80::HUGEINT * l.a),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT p.lang, p.rank, p.phrase, p.a, p.l, p.r, t.n, p.score FROM placed p JOIN totals t USING (lang) WHERE p.rank <= 2000
+"""
+
+
 def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     turns = conversation_trie.numbered_turns(table(spark, folder, "conversations"))
     return conversation_trie.trie(*conversation_trie.rebuilt(turns))
@@ -184,13 +223,13 @@ WITH RECURSIVE crc_steps AS (
 crc_table AS (SELECT byte, v FROM crc_steps WHERE k = 8),
 ids AS (SELECT DISTINCT conv_id, conv_id::VARCHAR AS digits FROM conversations WHERE conv_id IS NOT NULL),
 crcs AS (
-  SELECT conv_id, digits, 0 AS at, 4294967295::BIGINT AS crc FROM ids
+  SELECT conv_id, digits, 0 AS i, 4294967295::BIGINT AS crc FROM ids
   UNION ALL
-  SELECT c.conv_id, c.digits, at + 1, xor(crc >> 8, t.v)
-  FROM crcs c JOIN crc_table t ON t.byte = xor(crc, ascii(substr(digits, at + 1, 1))) & 255
-  WHERE at < length(digits)),
+  SELECT c.conv_id, c.digits, c.i + 1, xor(c.crc >> 8, t.v)
+  FROM crcs c JOIN crc_table t ON t.byte = xor(c.crc, ascii(substr(c.digits, c.i + 1, 1))) & 255
+  WHERE c.i < length(c.digits)),
 convs AS (
-  SELECT conv_id, conv_id - conv_id % 5 AS source, xor(crc, 4294967295) % 9 AS h FROM crcs WHERE at = length(digits)),
+  SELECT conv_id, conv_id - conv_id % 5 AS source, xor(crc, 4294967295) % 9 AS h FROM crcs WHERE i = length(digits)),
 own AS (
   SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
@@ -235,5 +274,6 @@ QUERIES = {
     "op9_learned_partitions": (op9_learned_partitions, None),
     "op10_entropy_mix": (op10_entropy_mix, None),
     "op11_sentencepiece": (op11_sentencepiece, None),
+    "op12_collocations": (op12_collocations, OP12_SQL),
     "op13_conversation_trie": (op13_conversation_trie, OP13_SQL),
 }
