@@ -183,7 +183,7 @@ WITH texts AS (
          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
   FROM documents),
 pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM texts),
-words AS (SELECT lang, list_filter(regexp_split_to_array(p, '[ \t]+'), x -> x <> '') AS ws FROM pieces),
+words AS (SELECT lang, list_filter(regexp_split_to_array(p, '[ \t]+'), lambda x: x <> '') AS ws FROM pieces),
 places AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM words),
 totals AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM words GROUP BY lang),
 counts AS (
