@@ -20,7 +20,7 @@ SCALE = 2_000_000
 STEP = 1000
 """Scores are thresholded in steps of this size, so that a language has at most SCALE / STEP / 2 + 1 of them."""
 
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 12_000_000
 """Text of one language that a task codes at once; a longer single text is a block of its own."""
 
 BITS_PER_PHRASE = 16
@@ -62,16 +62,20 @@ def _block(lang: str, texts: list[bytes]) -> pa.RecordBatch | None:
     """One row: the distinct words, their hashes and counts, and all words as codes (`~code` starts a piece)."""
     data = np.frombuffer(b"\n".join(texts).translate(CLASSES), np.uint8)
     inside = (data != 32) & (data != 10)
-    edge = np.diff(np.concatenate([[0], inside.view(np.int8), [0]]))
-    starts, stops = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    before = np.concatenate([[False], inside[:-1]])
+    starts = np.flatnonzero(inside & ~before)
+    stops = np.flatnonzero(before & ~inside)
+    if len(stops) < len(starts):
+        stops = np.append(stops, len(data))
     if not len(starts):
         return None
     offsets = np.concatenate([[0], np.cumsum(stops - starts)]).astype(np.int32)
+    piece = np.cumsum(data == 10, dtype=np.int32)[starts]
+    first = np.concatenate([[True], piece[1:] != piece[:-1]])
+    del stops, before, starts, piece
     words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data[inside])).dictionary_encode()
     codes = words.indices.to_numpy(zero_copy_only=False).astype(np.int32)
     counts = np.bincount(codes, minlength=len(words.dictionary)).astype(np.int64)
-    piece = np.cumsum(data == 10)[starts]
-    first = np.concatenate([[True], piece[1:] != piece[:-1]])
     whole = [0, len(words.dictionary)]
     return pa.RecordBatch.from_arrays([
         pa.array([lang], pa.string()), pa.ListArray.from_arrays(whole, words.dictionary),
