@@ -65,7 +65,8 @@ def _block(lang: str, texts: list[bytes]) -> pa.RecordBatch | None:
     before = np.concatenate([[False], inside[:-1]])
     starts = np.flatnonzero(inside & ~before)
     stops = np.flatnonzero(before & ~inside)
-    if len(stops) < len(starts):
+    n = len(starts)
+    if len(stops) < n:
         stops = np.append(stops, len(data))
     if not len(starts):
         return None
@@ -73,7 +74,7 @@ def _block(lang: str, texts: list[bytes]) -> pa.RecordBatch | None:
     piece = np.cumsum(data == 10, dtype=np.int32)[starts]
     first = np.concatenate([[True], piece[1:] != piece[:-1]])
     del stops, before, starts, piece
-    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data[inside])).dictionary_encode()
+    words = pa.StringArray.from_buffers(n, pa.py_buffer(offsets), pa.py_buffer(data[inside])).dictionary_encode()
     codes = words.indices.to_numpy(zero_copy_only=False).astype(np.int32)
     counts = np.bincount(codes, minlength=len(words.dictionary)).astype(np.int64)
     whole = [0, len(words.dictionary)]
