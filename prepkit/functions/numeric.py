@@ -6,7 +6,7 @@ import math
 from collections.abc import Callable, Sequence
 
 import numpy as np
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -64,6 +64,38 @@ def bin_number(x: Column, edges: Sequence[float], right: bool, lowest: bool) ->
     return _search(x, edges, passed, leaf)
 
 
+def with_image(rows: DataFrame, x: str, into: str) -> DataFrame:
+    """`rows` without the DOUBLE column `x` but with its order image, a BIGINT that sorts as x does.
+
+    The image is the double's bits with its sign, and one zero; null and NaN give null. Step by step, as
+    each step is used several times and must be computed once.
+    """
+    others = [n for n in rows.columns if n != x]
+    x, a, near, power = F.col(x), F.col("_size"), F.col("_near"), F.col("_power")
+    finite = F.when((a > 0) & (a < float("inf")), a)
+    # The logarithm may round over a power of two, to either side; below the least one all share a unit.
+    scale = F.greatest(F.when(finite < power, near - 1).when(finite >= power * 2, near + 1).otherwise(near), F.lit(-1022))
+    unit = F.pow(F.lit(2.0), (F.col("_scale") - 52).cast("double"))
+    image = (F.col("_scale") + 1022).cast("bigint") * (1 << 52) + (a / unit).cast("bigint")
+    image = F.when(a == 0, F.lit(0).cast("bigint")).when(a == float("inf"), F.lit(2047 << 52)).when(a > 0, image)
+    return (
+        rows.select(*others, x.alias("_x"), F.when(~F.isnan(x), F.abs(x)).alias("_size"))
+        .withColumn("_near", F.floor(F.log2(finite)).cast("int"))
+        .withColumn("_power", F.pow(F.lit(2.0), near.cast("double")))
+        .withColumn("_scale", scale).withColumn("_image", image)
+        .select(*others, F.when(F.col("_x") < 0, -F.col("_image")).otherwise(F.col("_image")).alias(into)))
+
+
+def from_image(image: Column) -> Column:
+    """The DOUBLE of an order image."""
+    size = F.abs(image)
+    scale, digits = F.shiftright(size, 52), size.bitwiseAND((1 << 52) - 1)
+    whole = F.when(scale == 0, digits).otherwise(digits + (1 << 52)).cast("double")
+    value = whole * F.pow(F.lit(2.0), (F.greatest(scale, F.lit(1)) - 1075).cast("double"))
+    value = F.when(size == 2047 << 52, float("inf")).otherwise(value)
+    return F.when(image < 0, -value).otherwise(value)
+
+
 def digamma(x: Column) -> Column:
     """Digamma for x >= 1: seven recurrence steps, then the asymptotic series."""
     shift = sum((F.lit(1.0) / (x + i) for i in range(7)), F.lit(0.0))

@@ -19,7 +19,7 @@ from prepkit.functions.schema import (
     as_double, c, check_choice, check_columns, check_numeric, clean, dtype, inline_rows, numeric_columns,
     present,
 )
-from prepkit.plans.bounds import ensure_checkpoint_dir, settle, spread
+from prepkit.plans.bounds import across_cores, ensure_checkpoint_dir, settle, spread
 from prepkit.plans.knn_information import nearest_neighbour_information
 from prepkit.plans.order_stats import quantiles
 
@@ -175,7 +175,6 @@ def binned_information(
     if binned_target:
         check_numeric(df, target, "Target")
     numbers = [*features, target] if binned_target else list(features)
-    df = spread(df.select(*[c(n) for n in dict.fromkeys([*features, target])]), df.count())
     probs = [float(p) for p in np.linspace(0, 1, bins + 1)]
     cuts = {x: sorted(set(q)) for x, q in quantiles(df, numbers, probs, exact).items() if q[0] is not None}
 
@@ -187,7 +186,8 @@ def binned_information(
         return F.when(x.isNotNull(), 1) if len(edges) < 2 else bin_number(x, edges, True, True)
 
     y = binned(target) if binned_target else clean(df, target)
-    coded = df.select(y.alias("y"), *[binned(x).alias(f"x{i}") for i, x in enumerate(features)])
+    narrow = across_cores(df.select(*[c(n) for n in dict.fromkeys([*features, target])]))
+    coded = narrow.select(y.alias("y"), *[binned(x).alias(f"x{i}") for i, x in enumerate(features)])
     each = [F.struct(F.lit(i).alias("f"), F.col(f"x{i}").alias("x"), F.col("y")) for i in range(len(features))]
     cells = (
         coded.where(F.col("y").isNotNull()).select(F.inline(F.array(*each)))

@@ -12,7 +12,7 @@ from prepkit.functions import numeric
 from prepkit.functions.schema import (
     as_double, as_list, c, check_choice, check_columns, check_numeric, clean, dtype, present,
 )
-from prepkit.plans.order_stats import few_values, grouped_quantiles, quantiles
+from prepkit.plans.order_stats import grouped_quantiles, quantiles
 
 NUMBER_STATS: dict[str, Callable[[Column], Column]] = {
     "mean": F.avg,
@@ -79,9 +79,7 @@ def _total(df: DataFrame, column: str) -> Column:
 def _median(df: DataFrame, column: str, dropna: bool, groups: list[str], exact: bool) -> DataFrame:
     x = as_double(df, column)
     if not groups:
-        if exact and few_values(df, [column]):
-            middle = F.percentile(x, 0.5)
-        elif exact:
+        if exact:
             middle = F.lit(quantiles(df, [column], [0.5])[column][0]).cast("double")
         else:
             middle = F.percentile_approx(x, 0.5, 10_000)
@@ -148,10 +146,7 @@ def describe_feature(
     if not all(0 <= p <= 1 for p in probs):
         raise ValueError("percentiles must lie in [0, 1].")
     x = as_double(df, column)
-    if exact and few_values(df, [column]):
-        cuts = F.percentile(x, F.array(*[F.lit(float(p)) for p in probs]))
-    else:
-        cuts = F.array(*[F.lit(v).cast("double") for v in quantiles(df, [column], probs, exact)[column]])
+    cuts = F.array(*[F.lit(v).cast("double") for v in quantiles(df, [column], probs, exact)[column]])
     return df.agg(
         F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
         F.min(x).alias("min"), F.max(x).alias("max"), cuts.alias("q"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,9 +14,6 @@ SMALL_TABLE_ROWS = 50_000
 SMALL_TABLE_BYTES = 64 << 20
 """Most bytes of such a table: its rows may hold long texts."""
 
-HOT_GROUP_ROWS = 2_000_000
-"""Most distinct values of one group that a single task may keep in memory."""
-
 WINDOW_GROUP_ROWS = 20_000_000
 """Most rows of one group that a single task may sort, which can spill."""
 
@@ -57,26 +55,32 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small_rows(df: DataFrame, limit: int = SMALL_TABLE_ROWS) -> pa.Table | None:
+    """The rows of a helper table, if they are at most `limit` and SMALL_TABLE_BYTES; else None."""
+    rows = df.limit(limit + 1).toArrow()
+    return rows if rows.num_rows <= limit and rows.nbytes <= SMALL_TABLE_BYTES else None
+
+
 def settle(df: DataFrame, limit: int = SMALL_TABLE_ROWS) -> DataFrame:
     """Compute a helper table once.
 
     Up to `limit` rows and SMALL_TABLE_BYTES it comes back as a broadcast-hinted local table; beyond
     that as a checkpointed one without a hint, so that joins with it shuffle instead.
     """
-    rows = df.limit(limit + 1).toArrow()
-    if rows.num_rows <= limit and rows.nbytes <= SMALL_TABLE_BYTES:
-        return F.broadcast(df.sparkSession.createDataFrame(rows))
-    return cut_lineage(df)
+    rows = small_rows(df, limit)
+    return cut_lineage(df) if rows is None else F.broadcast(df.sparkSession.createDataFrame(rows))
+
 
+SMALL_INPUT_BYTES = 1 << 30
 
-def largest_group(df: DataFrame, groups: list[str]) -> int:
-    """Row count of the biggest group; partial aggregation makes this cheap on hot keys."""
-    from prepkit.functions.schema import c
 
-    if not groups:
-        return df.count()
-    sizes = df.groupBy(*[c(g) for g in groups]).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
+def across_cores(df: DataFrame) -> DataFrame:
+    """Deal the rows of a small table out evenly, as its file may be a single split; large tables stay as they are.
+
+    Looks at the planner's size estimate only: no job is run.
+    """
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return df if int(size.toString()) > SMALL_INPUT_BYTES else df.repartition(shuffle_width(df.sparkSession))
 
 
 def spread(df: DataFrame, n_rows: int) -> DataFrame:

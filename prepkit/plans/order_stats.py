@@ -1,27 +1,33 @@
 """Exact order statistics and quantiles without a single-task sort.
 
-Values are counted first (a hot value collapses map-side), the distinct values are spread
-by range, and only the few ranges that hold a wanted rank are looked at again. The second
-look selects by value, never by partition number, so it does not matter how Spark drew
-the ranges.
+Numbers and times have an integer image that sorts as they do; ranks among these are found by
+radix selection: counts of leading bits, then of the next bits where a wanted rank lies. Values
+of other kinds are counted first (a hot value collapses map-side), the distinct values are
+spread by range, and only the few ranges that hold a wanted rank are looked at again. That
+second look selects by value, so it does not matter how Spark drew the ranges.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from prepkit.functions.numeric import from_image, with_image
 from prepkit.functions.schema import as_double, c
 from prepkit.plans import bounds
 from prepkit.plans.joins import attach
 from prepkit.plans.bounds import shuffle_width
 
 
-ACCURACY = 10_000
-BRACKET = 3 / ACCURACY
-"""Half width of a quantile's bracket: the sketch is off by at most 1/ACCURACY of the rows."""
+DIGIT = 16
+"""Bits of the integer image that one pass looks at, from the highest down."""
+
+SMALL_CELL = 200_000
+"""Cells with no more rows than this are counted by value at once, instead of by the next digits."""
 
 
 def values_at_ranks(df: DataFrame, value: Column, ranks: Sequence[int]) -> list[tuple]:
@@ -115,88 +121,104 @@ def grouped_values_at_ranks(df: DataFrame, value: Column, groups: list[str], ran
     )
 
 
-def few_values(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = ()) -> bool:
-    """Whether a group's distinct values, of all columns, fit the built-in percentile's memory."""
-    if bounds.largest_group(df, list(groups)) <= bounds.HOT_GROUP_ROWS // len(columns):
-        return True
-    sketches = [F.approx_count_distinct(c(x)).alias(f"d{i}") for i, x in enumerate(columns)]
-    sizes = df.groupBy(*[c(g) for g in groups]).agg(*sketches)
-    whole = sum((F.col(f"d{i}") for i in range(len(columns))), F.lit(0))
-    return (sizes.agg(F.max(whole)).first()[0] or 0) <= bounds.HOT_GROUP_ROWS
+def select_ranks(rows: DataFrame, keys: Sequence[str], ranks: Callable[[Column], list[Column]]) -> DataFrame:
+    """Per group the integers at the 0-based ranks `ranks(n)`, by radix selection.
+
+    `rows` has the columns `keys` and `v`, a BIGINT that sorts as wanted. Returns keys, slot, rank, n (the
+    group's size), v, below and same (rows smaller than and equal to v).
+
+    The first pass counts the leading 16 bits, for all groups at once: at most 65536 counts a group, whatever
+    its size, already summed in each task. Each later pass counts the next 16 bits of the rows in the cells that
+    hold a wanted rank, or the whole values once these cells are small. Four passes are the most, nothing is
+    estimated, and no step depends on how values are distributed or partitioned.
+    """
+    keys = list(keys)
+    by_group = Window.partitionBy(*keys)
+    digits = 64 - DIGIT
+    count = F.count(F.lit(1)).alias("cell_n")
+    cells = rows.groupBy(*keys, F.shiftright("v", digits).alias("cell")).agg(count)
+    slots = F.posexplode(F.array(*[r.cast("bigint") for r in ranks(F.col("n"))])).alias("slot", "rank")
+    hits = (F.col("start") <= F.col("rank")) & (F.col("rank") < F.col("start") + F.col("cell_n"))
+    found = (
+        cells.withColumn("n", F.sum("cell_n").over(by_group))
+        .withColumn("start", F.sum("cell_n").over(by_group.orderBy("cell")) - F.col("cell_n"))
+        .select("*", slots).where(hits)
+        .select(*keys, "slot", "rank", "n", F.col("cell").alias("prefix"), F.col("start").alias("below"),
+                F.col("cell_n").alias("same")))
+    cell = [*keys, "prefix"]
+    while digits:
+        largest, places, found = _open_cells(found, cell)
+        last, digits = digits, 0 if largest <= SMALL_CELL else digits - DIGIT
+        # Null-safe equality also for keys without nulls: plain equality would push null tests, with all of
+        # the image's arithmetic in them, below the steps that compute it once.
+        inside = attach(rows.withColumn("prefix", F.shiftright("v", last)), places, cell)
+        cells = inside.groupBy(*cell, "before", F.shiftright("v", digits).alias("cell")).agg(count)
+        run = Window.partitionBy(*cell).orderBy("cell")
+        cells = cells.withColumn("start", F.col("before") + F.sum("cell_n").over(run) - F.col("cell_n"))
+        found = (
+            attach(cells.drop("before"), found.drop("below", "same"), cell).where(hits)
+            .select(*keys, "slot", "rank", "n", F.col("cell").alias("prefix"), F.col("start").alias("below"),
+                    F.col("cell_n").alias("same")))
+    return found.withColumnRenamed("prefix", "v")
+
+
+def _open_cells(found: DataFrame, cell: list[str]) -> tuple[int, DataFrame, DataFrame]:
+    """The largest open cell's rows, the distinct open cells with the rows before them, and `found`, computed once."""
+    rows = bounds.small_rows(found)
+    if rows is None:
+        found = bounds.cut_lineage(found)
+        places = found.select(*cell, F.col("below").alias("before")).distinct()
+        return found.agg(F.max("same")).first()[0] or 0, places, found
+    spark = found.sparkSession
+    places = rows.select([*cell, "below"]).group_by([*cell, "below"]).aggregate([]).rename_columns([*cell, "before"])
+    largest = pc.max(rows["same"]).as_py() or 0
+    return largest, F.broadcast(spark.createDataFrame(places)), F.broadcast(spark.createDataFrame(rows))
+
+
+def _spots(probs: Sequence[float]) -> Callable[[Column], list[Column]]:
+    """The two ranks that each quantile lies between."""
+    return lambda n: [f((n - 1) * F.lit(float(p))).cast("bigint") for p in probs for f in (F.floor, F.ceil)]
+
+
+def _quantile_rows(rows: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
+    """Per group `q`, the array of its linearly interpolated quantiles; `rows` as in select_ranks, of order images."""
+    shares = [F.lit(float(p)) for p in probs]
+    spots = select_ranks(rows, keys, _spots(probs))
+    spots = spots.withColumns({"j": F.expr("slot div 2"), "x": from_image(F.col("v"))})
+    low = F.max(F.when(F.col("slot") % 2 == 0, F.col("x")))
+    high = F.max(F.when(F.col("slot") % 2 == 1, F.col("x")))
+    spot = (F.max("n") - 1) * F.get(F.array(*shares), F.col("j"))
+    between = (F.ceil(spot) - spot) * low + (spot - F.floor(spot)) * high
+    each = spots.groupBy(*keys, "j").agg(F.when(low == high, low).otherwise(between).alias("x"))
+    return each.groupBy(*keys).agg(F.transform(
+        F.sort_array(F.collect_list(F.struct("j", "x"))), lambda s: s["x"]).alias("q"))
 
 
 def quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], exact: bool = True
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of numeric columns, as plain numbers."""
-    at = F.array(*[F.lit(float(p)) for p in probs])
     if not exact:
+        at = F.array(*[F.lit(float(p)) for p in probs])
         found = df.agg(*[
             F.percentile_approx(as_double(df, x), at, F.lit(10_000)).alias(f"q{i}")
             for i, x in enumerate(columns)
         ]).first()
         return {x: found[i] or [None] * len(probs) for i, x in enumerate(columns)}
-    if few_values(df, columns):
-        found = df.agg(*[
-            F.percentile(as_double(df, x), at).alias(f"q{i}") for i, x in enumerate(columns)
-        ]).first()
-        return {x: found[i] or [None] * len(probs) for i, x in enumerate(columns)}
     each = [F.struct(F.lit(i).alias("f"), as_double(df, x).alias("x")) for i, x in enumerate(columns)]
-    found = {r["f"]: r["q"] for r in _ranked_quantiles(df.select(F.inline(F.array(*each))), "x", ["f"], probs).collect()}
-    return {x: found.get(i) or [None] * len(probs) for i, x in enumerate(columns)}
-
+    narrow = bounds.across_cores(df.select(*[c(x) for x in columns]))
+    rows = with_image(narrow.select(F.inline(F.array(*each))).where(F.col("x").isNotNull()), "x", "v")
+    spots = select_ranks(rows, ["f"], _spots(probs)).select("f", "slot", "n", from_image(F.col("v")).alias("x")).collect()
+    at = {(r["f"], r["slot"]): r["x"] for r in spots}
+    sizes = {r["f"]: r["n"] for r in spots}
 
-def _ranked_quantiles(df: DataFrame, column: str, groups: list[str], probs: Sequence[float]) -> DataFrame:
-    """Groups and `q` from exact order statistics, shuffling only values near the wanted places.
+    def between(f: int, j: int) -> float | None:
+        if f not in sizes:
+            return None
+        low, high, spot = at[f, 2 * j], at[f, 2 * j + 1], (sizes[f] - 1) * float(probs[j])
+        return low if low == high else (math.ceil(spot) - spot) * low + (spot - math.floor(spot)) * high
 
-    Groups that fit one task take the built-in percentile. For the others a sketch brackets
-    each quantile, one pass counts what lies below the bracket, and what lies inside it (some
-    1/1000 of the rows) is ranked.
-    """
-    names = [f"_k{i}" for i in range(len(groups))]
-    rows = df.select(*[c(g).alias(k) for g, k in zip(groups, names)], c(column).alias("x"))
-    rows = rows.where(F.col("x").isNotNull())
-    ends = [e for p in probs for e in (max(p - BRACKET, 0.0), min(p + BRACKET, 1.0))]
-    sketch = bounds.settle(rows.groupBy(*names).agg(
-        F.count("x").alias("n"),
-        F.percentile_approx("x", F.array(*[F.lit(float(e)) for e in ends]), F.lit(ACCURACY)).alias("ends")))
-    small = attach(rows, sketch.where(F.col("n") <= bounds.HOT_GROUP_ROWS).select(*names), names)
-    small = small.groupBy(*names).agg(
-        F.percentile("x", F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
-    sketch = sketch.where(F.col("n") > bounds.HOT_GROUP_ROWS)
-    # Below this size a place more or less could leave the bracket.
-    sure = F.col("n") * BRACKET >= 4
-    lows = [F.when(sure, F.col("ends")[2 * j]).otherwise(float("-inf")) for j in range(len(probs))]
-    highs = [F.when(sure, F.col("ends")[2 * j + 1]).otherwise(float("inf")) for j in range(len(probs))]
-    near = attach(rows, sketch, names)
-    below = bounds.settle(attach(sketch, near.groupBy(*names).agg(F.array(
-        *[F.count_if(F.col("x") < low) for low in lows]).alias("below")), names))
-    cells = F.array(*[
-        F.struct(F.lit(j).alias("j"), F.col("below")[j].alias("start"),
-                 F.col("x").between(low, high).alias("inside"))
-        for j, (low, high) in enumerate(zip(lows, highs))
-    ])
-    inside = attach(rows, below, names).select(*names, "n", "x", F.inline(F.filter(cells, lambda s: s["inside"]))).persist()
-    # Group size, bracket and its start are the same for all rows of a group and bracket.
-    keys = [*names, "n", "j", "start"]
-    size, slot, start = (F.col(f"g{i}") for i in range(len(names), len(keys)))
-    share = F.get(F.array(*[F.lit(float(p)) for p in probs]), slot)
-    spots = grouped_values_at_ranks(
-        inside, F.col("x"), keys,
-        lambda n: [f((size - 1) * share) - start for f in (F.floor, F.ceil)])
-    spot = (F.col("n") - 1) * F.get(F.array(*[F.lit(float(p)) for p in probs]), F.col("j"))
-    low, high = (F.max(F.when(F.col("slot") == i, F.col("v"))) for i in (0, 1))
-    each = spots.groupBy(*keys).agg(low.alias("low"), high.alias("high")).withColumn(
-        "v", F.col("low") + (F.col("high") - F.col("low")) * (spot - F.floor(spot)))
-    found = each.groupBy(*names).agg(F.sort_array(F.collect_list(F.struct("j", "v"))).alias("q"))
-    whole = (F.size("q") == len(probs)) & ~F.exists("q", lambda s: s["v"].isNull())
-    found = found.select(*names, F.when(whole, F.transform("q", lambda s: s["v"])).otherwise(
-        F.raise_error(F.lit("A quantile lies outside its bracket."))).alias("q")).unionByName(small)
-    try:
-        found = bounds.settle(found.select(*[F.col(k).alias(g) for k, g in zip(names, groups)], "q"))
-    finally:
-        inside.unpersist()
-    return found
+    return {x: [between(i, j) for j in range(len(probs))] for i, x in enumerate(columns)}
 
 
 def grouped_quantiles(
@@ -204,12 +226,12 @@ def grouped_quantiles(
 ) -> DataFrame:
     """One row per group with `q`, the array of its quantiles (null when it has no values)."""
     x = as_double(df, column)
-    at = F.array(*[F.lit(float(p)) for p in probs])
     keys = [c(g) for g in groups]
     if not exact:
+        at = F.array(*[F.lit(float(p)) for p in probs])
         return df.groupBy(*keys).agg(F.percentile_approx(x, at, F.lit(10_000)).alias("q"))
-    if few_values(df, [column], groups):
-        return df.groupBy(*keys).agg(F.percentile(x, at).alias("q"))
-    found = _ranked_quantiles(df.select(*keys, x.alias("_x")), "_x", groups, probs)
+    names = [f"_k{i}" for i in range(len(groups))]
+    rows = df.select(*[k.alias(n) for k, n in zip(keys, names, strict=True)], x.alias("_v"))
+    found = _quantile_rows(with_image(rows.where(F.col("_v").isNotNull()), "_v", "v"), names, probs)
     everyone = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return attach(everyone, found, groups, how="left").select(*keys, "q")
+    return attach(everyone, found, groups, names, how="left").select(*keys, "q")

@@ -5,9 +5,11 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from prepkit.operators import profile, stats
-from prepkit.plans import bounds, order_stats
+from prepkit.functions.numeric import from_image, with_image
+from prepkit.plans import order_stats
 
 NUMBERS = ["mean", "median", "std", "var", "min", "max", "sum", "count", "nunique", "skew", "kurtosis"]
 CASES = {
@@ -112,19 +114,16 @@ def test_names_with_dots_and_spaces(spark):
     assert stats.compute_statistic(df, "a.b c", "mode", groupby="grüppe").count() == 2
 
 
-@pytest.mark.parametrize("bracket", [None, 0.05])
-def test_large_columns_take_the_distributed_path(spark, monkeypatch, bracket):
-    """Same numbers when a column is too big for one task: hot values, gaps and all."""
+@pytest.mark.parametrize("small", [200_000, 40, 0])
+def test_quantiles_by_radix_selection(spark, monkeypatch, small):
+    """Same numbers however early cells are counted by value: hot values, gaps and all."""
     rng = np.random.default_rng(3)
     values = np.where(rng.random(3000) < 0.35, 5.0, np.round(rng.normal(size=3000), 2))
     groups = np.where(rng.random(3000) < 0.6, "hot", rng.choice(["a", "b", "c"], 3000))
     rows = [(str(g), None if i % 11 == 0 else float(v)) for i, (g, v) in enumerate(zip(groups, values))]
     df = spark.createDataFrame([*rows, (None, 1.0), (None, 4.0), ("empty", None)], "g string, x double")
     pdf = pd.DataFrame([*rows, (None, 1.0), (None, 4.0), ("empty", None)], columns=["g", "x"])
-    monkeypatch.setattr(bounds, "HOT_GROUP_ROWS", 10)
-    if bracket:
-        monkeypatch.setattr(order_stats, "ACCURACY", 60)
-        monkeypatch.setattr(order_stats, "BRACKET", bracket)
+    monkeypatch.setattr(order_stats, "SMALL_CELL", small)
     probs = [0.0, 0.1, 1 / 3, 0.5, 0.9, 1.0]
     got = order_stats.quantiles(df, ["x"], probs)["x"]
     assert got == pytest.approx(list(pdf["x"].quantile(probs)))
@@ -136,6 +135,41 @@ def test_large_columns_take_the_distributed_path(spark, monkeypatch, bracket):
     assert stats.compute_statistic(df, "x", "median").first()[0] == pytest.approx(pdf["x"].median())
 
 
+def odd_doubles() -> list[float]:
+    rng = np.random.default_rng(8)
+    powers = [2.0 ** e for e in range(-1074, 1024)]
+    near = [v for p in powers for v in (p, math.nextafter(p, 0), math.nextafter(p, math.inf))]
+    bits = rng.integers(0, 2**64, 4000, dtype=np.uint64).view(np.float64)
+    some = [*near, *bits[np.isfinite(bits)].tolist(), *rng.normal(size=500).tolist(), 0.0, math.inf, 1.7976931348623157e308]
+    return [*some, *[-v for v in some]]
+
+
+def test_order_image_is_the_bits(spark):
+    values = odd_doubles()
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    made = with_image(df.withColumn("y", F.col("x")), "y", "i")
+    for row in made.withColumn("back", from_image(F.col("i"))).collect():
+        want = int(np.float64(abs(row.x)).view(np.int64))
+        assert row.i == (-want if row.x < 0 else want) and row.back == row.x
+    gone = with_image(spark.createDataFrame([(None,), (float("nan"),)], "x double"), "x", "i")
+    assert [r.i for r in gone.collect()] == [None, None]
+
+
+@pytest.mark.parametrize("small", [200_000, 0])
+def test_ranks_of_any_doubles(spark, monkeypatch, small):
+    monkeypatch.setattr(order_stats, "SMALL_CELL", small)
+    values = [v for v in odd_doubles() if math.isfinite(v)]
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(5)
+    places = [0, 1, 17, len(values) // 2, len(values) - 1]
+    rows = with_image(df, "x", "v")
+    found = order_stats.select_ranks(rows, [], lambda n: [F.lit(p) for p in places]).collect()
+    values.sort()
+    assert len(found) == len(places)
+    for r in found:
+        assert df.sparkSession.range(1).select(from_image(F.lit(r.v))).first()[0] == values[r["rank"]]
+        assert (r.below, r.same) == (sum(v < values[r["rank"]] for v in values), values.count(values[r["rank"]]))
+
+
 def test_profile(spark):
     df = spark.createDataFrame([(1, None, 1), (2, 0.5, 0), (3, None, None)], "id int, x double, b int")
     assert tuple(profile.table_kpis(df).first()) == (3, 3)
