@@ -80,7 +80,7 @@ def across_cores(df: DataFrame) -> DataFrame:
     Looks at the planner's size estimate only: no job is run.
     """
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return df if int(size.toString()) > SMALL_INPUT_BYTES else df.repartition(shuffle_width(df.sparkSession))
+    return df if int(str(size)) > SMALL_INPUT_BYTES else df.repartition(shuffle_width(df.sparkSession))
 
 
 def spread(df: DataFrame, n_rows: int) -> DataFrame:

@@ -200,7 +200,9 @@ def plain_order(df: DataFrame, name: str) -> Column:
     if isinstance(kind, T.DateType):
         return F.unix_date(c(name))
     if isinstance(kind, T.TimestampNTZType):  # never through a zone: its clock may be set back
-        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), c(name))
+        seconds = (F.hour(c(name)) * 60 + F.minute(c(name))).cast("bigint") * 60
+        fraction = (F.extract(F.lit("SECOND"), c(name)) * 1_000_000).cast("bigint")
+        return (F.unix_date(c(name).cast("date")).cast("bigint") * 86_400 + seconds) * 1_000_000 + fraction
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(c(name))
     return c(name) if isinstance(kind, (T.NumericType, T.StringType)) else c(name).cast("string")

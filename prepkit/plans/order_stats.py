@@ -15,6 +15,7 @@ from collections.abc import Callable, Sequence
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from prepkit.functions.numeric import from_image, with_image
 from prepkit.functions.schema import as_double, c
@@ -32,6 +33,9 @@ SMALL_CELL = 200_000
 
 def values_at_ranks(df: DataFrame, value: Column, ranks: Sequence[int]) -> list[tuple]:
     """For each 0-based rank of the non-missing `value`: (value, rows below it, rows equal to it)."""
+    values = df.select(value.alias("v")).where(F.col("v").isNotNull())
+    if isinstance(values.schema["v"].dataType, T.IntegralType):
+        return _integers_at_ranks(values.select(F.col("v").cast("bigint")), ranks)
     counts = (
         df.select(value.alias("v")).where(F.col("v").isNotNull())
         .groupBy("v").agg(F.count(F.lit(1)).alias("n"))
@@ -79,6 +83,22 @@ def values_at_ranks(df: DataFrame, value: Column, ranks: Sequence[int]) -> list[
     return result
 
 
+def _integers_at_ranks(rows: DataFrame, ranks: Sequence[int]) -> list[tuple]:
+    """Radix selection among the bits in which the values differ at all."""
+    total, low, high = rows.agg(F.count("v"), F.min("v"), F.max("v")).first()
+    missing = [r for r in ranks if not 0 <= r < total]
+    if missing:
+        raise ValueError(f"Ranks {missing} lie outside the {total} available values.")
+    bits = (high - low).bit_length() if ranks else 0
+    if bits < 64:  # else the difference itself would pass 64 bits
+        rows, start = rows.select((F.col("v") - F.lit(low)).alias("v")), low
+    else:
+        start = 0
+    found = select_ranks(rows, [], lambda n: [F.lit(r) for r in ranks], bits).collect() if ranks else []
+    by_rank = {r["rank"]: (r["v"] + start, r["below"], r["same"]) for r in found}
+    return [by_rank[r] for r in ranks]
+
+
 def grouped_values_at_ranks(df: DataFrame, value: Column, groups: list[str], ranks) -> DataFrame:
     """Per group the values at the 0-based ranks `ranks(n)`, a list of columns made from its size n.
 
@@ -121,11 +141,14 @@ def grouped_values_at_ranks(df: DataFrame, value: Column, groups: list[str], ran
     )
 
 
-def select_ranks(rows: DataFrame, keys: Sequence[str], ranks: Callable[[Column], list[Column]]) -> DataFrame:
+def select_ranks(
+    rows: DataFrame, keys: Sequence[str], ranks: Callable[[Column], list[Column]], bits: int = 64,
+) -> DataFrame:
     """Per group the integers at the 0-based ranks `ranks(n)`, by radix selection.
 
-    `rows` has the columns `keys` and `v`, a BIGINT that sorts as wanted. Returns keys, slot, rank, n (the
-    group's size), v, below and same (rows smaller than and equal to v).
+    `rows` has the columns `keys` and `v`, a BIGINT that sorts as wanted (not negative and of at most `bits` bits
+    if these are below 64). Returns keys, slot, rank, n (the group's size), v, below and same (rows smaller than
+    and equal to v).
 
     The first pass counts the leading 16 bits, for all groups at once: at most 65536 counts a group, whatever
     its size, already summed in each task. Each later pass counts the next 16 bits of the rows in the cells that
@@ -134,7 +157,7 @@ def select_ranks(rows: DataFrame, keys: Sequence[str], ranks: Callable[[Column],
     """
     keys = list(keys)
     by_group = Window.partitionBy(*keys)
-    digits = 64 - DIGIT
+    digits = max(0, bits - DIGIT)
     count = F.count(F.lit(1)).alias("cell_n")
     cells = rows.groupBy(*keys, F.shiftright("v", digits).alias("cell")).agg(count)
     slots = F.posexplode(F.array(*[r.cast("bigint") for r in ranks(F.col("n"))])).alias("slot", "rank")
@@ -148,7 +171,7 @@ def select_ranks(rows: DataFrame, keys: Sequence[str], ranks: Callable[[Column],
     cell = [*keys, "prefix"]
     while digits:
         largest, places, found = _open_cells(found, cell)
-        last, digits = digits, 0 if largest <= SMALL_CELL else digits - DIGIT
+        last, digits = digits, 0 if largest <= SMALL_CELL else max(0, digits - DIGIT)
         # Null-safe equality also for keys without nulls: plain equality would push null tests, with all of
         # the image's arithmetic in them, below the steps that compute it once.
         inside = attach(rows.withColumn("prefix", F.shiftright("v", last)), places, cell)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import random
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from prepkit.operators import sample, split
-from prepkit.plans import bounds, cuts
+from prepkit.plans import bounds, cuts, order_stats
 
 
 @pytest.fixture(scope="module")
@@ -192,13 +194,38 @@ def test_rows_that_differ_by_microseconds_stay_themselves(spark):
     assert back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty()
 
 
-def test_order_by_local_time_where_the_clock_is_set_on(spark):
-    zone = spark.conf.get("spark.sql.session.timeZone")
-    times = [f"2024-03-10 0{h}" for h in ("1:00:00", "2:30:00", "3:00:00", "3:10:00", "3:20:00")]
+@pytest.mark.parametrize("zone", ["America/New_York", "Europe/Berlin", "Australia/Lord_Howe", "UTC"])
+def test_order_by_local_time_where_the_clock_is_set(spark, zone):
+    """Times without a zone keep their order and their distances, also where that clock jumps."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    times = ["1900-01-01 00:00:00.000001", "1969-12-31 23:59:59.999999", "1970-01-01 00:00:00"]
+    times += [f"{day} 0{h}" for day in ("2024-03-10", "2024-03-31", "2024-04-07", "2024-10-06", "2024-10-27", "2024-11-03")
+              for h in ("1:00:00", "1:45:00.5", "2:15:00", "2:30:00", "3:00:00", "3:10:00", "3:20:00.000001")]
     try:
-        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
-        df = spark.createDataFrame([(t,) for t in times], "t string").select(F.col("t").cast("timestamp_ntz").alias("t"))
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(times)], "i int, t string")
+        df = df.withColumn("t", F.col("t").cast("timestamp_ntz")).repartition(3)
         order = df.select(cuts.plain_order(df, "t").alias("o"), "t").orderBy("o").collect()
-        assert [str(r.t) for r in order] == times
+        epoch = dt.datetime(1970, 1, 1)
+        assert [r.o for r in order] == [(dt.datetime.fromisoformat(t) - epoch) // dt.timedelta(microseconds=1) for t in times]
+        parts = {r.i: r.split for r in split.time_series_split(df, "t", 0.3, 0.2).collect()}
+        n_test = round(len(times) * 0.3)
+        n_val = round((len(times) - n_test) * 0.2)
+        n_train = len(times) - n_test - n_val
+        assert [parts[i] for i in range(len(times))] == ["train"] * n_train + ["val"] * n_val + ["test"] * n_test
     finally:
-        spark.conf.set("spark.sql.session.timeZone", zone)
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.mark.parametrize("small", [200_000, 2, 0])
+def test_integers_at_ranks(spark, monkeypatch, small):
+    monkeypatch.setattr(order_stats, "SMALL_CELL", small)
+    draw = random.Random(4)
+    for values in ([5] * 9, [-2**63, 2**63 - 1, 0, 0, 7], [draw.randrange(-10**15, 10**15) for _ in range(300)] * 2,
+                   [draw.randrange(0, 3000) for _ in range(500)]):
+        df = spark.createDataFrame([(v,) for v in values], "v long")
+        ordered, places = sorted(values), [0, len(values) // 2, len(values) - 1]
+        got = order_stats.values_at_ranks(df, F.col("v"), places)
+        assert got == [(ordered[p], ordered.index(ordered[p]), ordered.count(ordered[p])) for p in places]
+    with pytest.raises(ValueError, match="outside"):
+        order_stats.values_at_ranks(df, F.col("v"), [500])
