@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prepkit.functions.schema import c
+from prepkit.sources.quoted import read_quoted
 
 # Texts read as missing, and the separators looked for.
 NA_TOKENS = (
@@ -70,13 +71,15 @@ def read_delimited(
 ) -> DataFrame:
     """Headed delimited text; whole columns are typed as bigint, double, boolean or string.
 
-    Fields with line breaks need `multi_line`, which reads each file in one task. By default one pass over the
-    lines looks for quotes left open at a line's end, and files without any are split as usual.
+    By default one pass over the lines looks for quotes left open at a line's end. Without any, files are split
+    as usual; else fields hold line breaks, and files are read in ranges that are joined up where quotes are open.
+    `multi_line` says it beforehand: False if no field holds line breaks, True to read each file in one task.
     """
-    if multi_line is None:
-        multi_line = has_open_quotes(spark, path)
-    raw = spark.read.csv(path, sep=sep, header=True, inferSchema=False, multiLine=multi_line,
-                         quote='"', escape='"')
+    if multi_line is None and has_open_quotes(spark, path):
+        raw = read_quoted(spark, path, sep)
+    else:
+        raw = spark.read.csv(path, sep=sep, header=True, inferSchema=False, multiLine=bool(multi_line),
+                             quote='"', escape='"')
     raw = raw.select(*[F.when(~c(n).isin(*na_tokens), c(n)).alias(n) for n in raw.columns])
     return infer_types(raw) if infer else raw
 

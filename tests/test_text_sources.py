@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import uuid
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from prepkit.operators import text
 from prepkit.operators.split import train_val_test_split
 from prepkit.plans import bounds
 from prepkit.plans.neighbours import with_neighbour
-from prepkit.sources import delimited, tables
+from prepkit.sources import delimited, quoted, tables
 
 
 @pytest.fixture
@@ -123,3 +125,41 @@ def test_delimiter_with_quoted_line_breaks(spark, tmp_path):
     rows = "".join(f'{i};{i},5;"first, line\ninner line\nlast"\n{i};{i},25;"plain"\n{i};7;x\n' for i in range(5))
     (tmp_path / "breaks.txt").write_text("a;b;c\n" + rows)
     assert delimited.detect_delimiter(spark, str(tmp_path)) == ";"
+
+
+def quoted_file(path, seed: int, n: int = 400) -> pd.DataFrame:
+    draw = random.Random(seed)
+    cells = ["plain", "", "a;b,c", 'say ""this""', "two\nlines", "\n", "x\n\ny\n", "many\n" * 30, "ß漢", "tail\r\nkept"]
+    with open(path, "w", newline="") as out:
+        out.write('id,"the\ntext",n\n')
+        for i in range(n):
+            cell = draw.choice(cells)
+            quoted = f'"{cell}"' if any(ch in cell for ch in ',\n"') else cell
+            out.write(f"{i},{quoted},{draw.random():.3f}" + draw.choice(["\n", "\n", "\r\n", "\n\n"]))
+    return pd.read_csv(path, keep_default_na=False, dtype=str, lineterminator=None)
+
+
+@pytest.mark.parametrize("size", [64, 1000, 10**8])
+def test_line_breaks_in_fields_over_byte_ranges(spark, tmp_path, size):
+    """Records are found wherever the ranges cut the files, also those that span several ranges."""
+    want = pd.concat([quoted_file(tmp_path / f"{i}.csv", i) for i in range(2)])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", 1)
+        got = delimited.read_delimited(spark, str(tmp_path), infer=False)
+        if size == 1000:
+            assert quoted._lines(spark, str(tmp_path)).select(F.spark_partition_id()).distinct().count() > 10
+        rows = [tuple("" if v is None else v.replace("\r\n", "\n") for v in r) for r in got.collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    assert got.columns == list(want.columns)
+    wanted = [tuple(v.replace("\r\n", "\n") for v in r) for r in want.itertuples(index=False, name=None)]
+    assert sorted(rows) == sorted(wanted)
+
+
+def test_a_quote_that_never_closes_is_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('a,b\n1,"x\n2,y\n')
+    with pytest.raises(Exception, match="left open"):
+        delimited.read_delimited(spark, str(tmp_path)).collect()
