@@ -16,12 +16,13 @@ from pyspark.sql import types as T
 
 from prepkit.functions.numeric import bin_number, pearson
 from prepkit.functions.schema import (
-    as_double, c, check_choice, check_columns, check_numeric, clean, dtype, inline_rows, numeric_columns,
-    present,
+    as_double, as_list, c, check_choice, check_columns, check_numeric, clean, dtype, inline_rows,
+    numeric_columns, present,
 )
 from prepkit.plans.bounds import across_cores, ensure_checkpoint_dir, settle, spread
 from prepkit.plans.knn_information import nearest_neighbour_information
 from prepkit.plans.order_stats import quantiles
+from prepkit.plans.plane_information import plane_information
 
 SCORINGS = ("f_classif", "f_regression", "mutual_info_classif", "mutual_info_regression")
 FEW_CLASSES = 20
@@ -77,29 +78,34 @@ def _ranking(features: Sequence[str], scores: Sequence[float | None]) -> list[st
 
 def select_kbest(
     df: DataFrame, target: str, k: int, scoring: str, bins: int = 10, exact: bool = True,
-    method: str = "binned",
+    method: str = "binned", key_cols: str | Sequence[str] | None = None,
 ) -> Selection:
     """The k best numeric predictors by a univariate score; the table is target + chosen.
 
     Rows missing the feature or the target do not enter that feature's score. The mutual
-    information scores are those of quantile-binned values (`bins` each); with
-    `method="knn"`, mutual_info_classif is the 3-nearest-neighbour estimate instead. The
-    two-dimensional neighbour estimate for a continuous target is not offered.
+    information scores are those of quantile-binned values (`bins` each); with `method="knn"` they are
+    the 3-nearest-neighbour estimates instead, for classes or for a continuous target. These break ties by a
+    tiny noise that follows from `key_cols`, or from the rows' content.
     """
     check_columns(df, [target], "Target")
     check_choice(scoring, SCORINGS, "scoring")
     check_choice(method, ("binned", "knn"), "method")
     if k < 1:
         raise ValueError("k must be at least 1.")
-    if method == "knn" and scoring != "mutual_info_classif":
-        raise ValueError("method='knn' is for mutual_info_classif only.")
+    if method == "knn" and not scoring.startswith("mutual_info"):
+        raise ValueError("method='knn' is for the mutual information scores only.")
+    keys = as_list(key_cols)
+    check_columns(df, keys, "Key column")
     features = _candidates(df, target)
     if scoring == "f_classif":
         scores = f_classif(df, target, features)
     elif scoring == "f_regression":
         scores = f_regression(df, target, features)
+    elif method == "knn" and scoring == "mutual_info_regression":
+        check_numeric(df, target, "Target")
+        scores = plane_information(df, target, features, keys)
     elif method == "knn":
-        scores = nearest_neighbour_information(df, target, features)
+        scores = nearest_neighbour_information(df, target, features, keys)
     else:
         scores = binned_information(df, target, features, bins, scoring == "mutual_info_regression", exact)
     ranked = _ranking(features, scores)

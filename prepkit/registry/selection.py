@@ -15,13 +15,13 @@ PRICE, FLAG = "l_extendedprice", "l_returnflag"
 DECILES = [float(p) for p in np.linspace(0, 1, 11)]
 
 
-def _ranked(parts: list[str], chosen: str) -> str:
+def _ranked(parts: list[str], chosen: str, digits: int = 8) -> str:
     """Score rows of each feature, in table order, ranked: best first, ties to the later column."""
     union = " UNION ALL ".join(f"SELECT {i} AS place, q.* FROM ({p}) q" for i, p in enumerate(parts))
     return f"""
 WITH s AS ({union}),
      r AS (SELECT *, row_number() OVER (ORDER BY score DESC NULLS LAST, place DESC) AS k FROM s)
-SELECT feature, round(score, 8) AS score, k::INTEGER AS rank, {chosen} AS selected FROM r"""
+SELECT feature, round(score, {digits}) AS score, k::INTEGER AS rank, {chosen} AS selected FROM r"""
 
 
 def _f_class(f: str) -> str:
@@ -59,6 +59,54 @@ WITH e AS (SELECT {edges(f)} AS ex{', ' + edges(y) + ' AS ey' if binned_y else '
 SELECT '{f}' AS feature, greatest(sum(n / total * ln(n * total / (nx * ny))), 0) AS score FROM p"""
 
 
+def _noisy(x: str, what: int, key: str) -> str:
+    """x in units of its spread with the noise that breaks ties, over the one row of spreads `s`."""
+    uniform = f"('0x' || substr(md5({key} || '|{what}|42'), 1, 13))::BIGINT::DOUBLE / 4503599627370496"
+    return f"{x}::DOUBLE / s.d{what} + 1e-10 * greatest(1.0, s.m{what} / s.d{what}) * ({uniform} * 2 - 1)"
+
+
+def _spreads(names: dict[int, str], table: str) -> str:
+    each = ", ".join(f"stddev_pop({x}::DOUBLE) AS d{i}, avg(abs({x}::DOUBLE)) AS m{i}" for i, x in names.items())
+    return f"SELECT {each} FROM {table}"
+
+
+def _digamma(table: str) -> str:
+    """At whole numbers n: a harmonic number less Euler's constant."""
+    return f"""SELECT i AS n, coalesce(sum(1.0::DOUBLE / i) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                      - 0.5772156649015329 AS psi FROM (SELECT unnest(range(1, (SELECT count(*) + 2 FROM {table}))) AS i)"""
+
+
+def _knn_class(i: int, f: str, y: str, key: str, table: str) -> str:
+    others = ", ".join(f"{{'d': abs({o}(x, {n}) OVER w - x), 'v': {o}(x, {n}) OVER w}}" for o in ("lag", "lead") for n in (1, 2, 3))
+    return f"""
+WITH s AS ({_spreads({i: f}, table)}), psi AS ({_digamma(table)}),
+     p AS (SELECT row_number() OVER () AS id, {y} AS y, count(*) OVER (PARTITION BY {y}) AS n_y, {_noisy(f, i, key)} AS x FROM {table}, s),
+     known AS (SELECT * FROM p WHERE n_y > 1),
+     near AS (SELECT id, x, list_sort(list_filter([{others}], lambda o: o.v IS NOT NULL))[1:3] AS near
+              FROM known WINDOW w AS (PARTITION BY y ORDER BY x)),
+     far AS (SELECT id, x, len(near) AS k, near[len(near)] AS far FROM near),
+     ends AS (SELECT NULL AS id, x, 1 AS kind, 0 AS sign FROM known
+              UNION ALL SELECT id, CASE WHEN far.v <= x THEN far.v ELSE x - far.d END, 2, -1 FROM far
+              UNION ALL SELECT id, CASE WHEN far.v > x THEN far.v ELSE x + far.d END, 0, 1 FROM far),
+     below AS (SELECT id, sign * sum((kind = 1)::INT) OVER (ORDER BY x, kind ROWS UNBOUNDED PRECEDING) AS b FROM ends),
+     inside AS (SELECT id, sum(b) AS m FROM below WHERE id IS NOT NULL GROUP BY id),
+     rows AS (SELECT k, n_y, m, count(*) OVER () AS n FROM known JOIN far USING (id) JOIN inside USING (id))
+SELECT '{f}' AS feature, greatest(any_value(a.psi) + avg(b.psi) - avg(c.psi) - avg(d.psi), 0) AS score
+FROM rows JOIN psi a ON a.n = rows.n JOIN psi b ON b.n = k JOIN psi c ON c.n = n_y JOIN psi d ON d.n = m"""
+
+
+def _knn_plane(i: int, f: str, j: int, y: str, key: str, table: str) -> str:
+    return f"""
+WITH s AS ({_spreads({i: f, j: y}, table)}), psi AS ({_digamma(table)}),
+     p AS MATERIALIZED (SELECT {key} AS id, {_noisy(f, i, key)} AS x, {_noisy(y, j, key)} AS y FROM {table}, s),
+     gaps AS MATERIALIZED (SELECT a.id, abs(a.x - b.x) AS dx, abs(a.y - b.y) AS dy FROM p a JOIN p b ON a.id <> b.id),
+     third AS (SELECT id, min(greatest(dx, dy), 3)[3] AS r FROM gaps GROUP BY id),
+     near AS (SELECT id, 1 + count(*) FILTER (dx < r) AS nx, 1 + count(*) FILTER (dy < r) AS ny FROM gaps JOIN third USING (id) GROUP BY id)
+SELECT '{f}' AS feature, greatest((SELECT psi FROM psi WHERE n = (SELECT count(*) FROM p)) + (SELECT psi FROM psi WHERE n = 3)
+                                  - avg(a.psi) - avg(b.psi), 0) AS score
+FROM near JOIN psi a ON a.n = nx JOIN psi b ON b.n = ny"""
+
+
 def _best(scoring: str, target: str, k: int = 3):
     return lambda df: rounded(select.select_kbest(df, target, k, scoring).scores, 8, "score")
 
@@ -83,8 +131,16 @@ QUERIES: dict[str, Query] = {
                               _ranked([_information(f, PRICE, True) for f in OTHERS], "k <= 3")),
     "kbest_mi_knn": on(
         "orders",
-        lambda df: rounded(select.select_kbest(df, "o_orderstatus", 1, "mutual_info_classif",
-                                               method="knn").scores, 4, "score")),
+        lambda df: rounded(select.select_kbest(df, "o_orderstatus", 1, "mutual_info_classif", method="knn",
+                                               key_cols="o_orderkey").scores, 4, "score"),
+        _ranked([_knn_class(i, f, "o_orderstatus", "o_orderkey", "orders")
+                 for i, f in enumerate(("o_orderkey", "o_custkey", "o_totalprice"))], "k <= 1", 4)),
+    "kbest_mi_knn_regression": on(
+        "customer",
+        lambda df: rounded(select.select_kbest(df, "c_acctbal", 1, "mutual_info_regression", method="knn",
+                                               key_cols="c_custkey").scores, 4, "score"),
+        _ranked([_knn_plane(i, f, 2, "c_acctbal", "c_custkey", "customer")
+                 for i, f in enumerate(("c_custkey", "c_nationkey"))], "k <= 1", 4)),
     "kbest_table": on(
         "part", lambda df: select.select_kbest(df, "p_retailprice", 1, "f_regression").table,
         "SELECT p_retailprice, p_partkey FROM part"),

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from prepkit.operators import metrics, select
-from prepkit.plans import bounds
+from prepkit.plans import plane_information, ranges
 
 
 def scores(selection) -> dict:
@@ -98,16 +98,65 @@ def brute_information(x, y) -> float:
     return max(0.0, psi(len(k)) + np.mean(k) - np.mean(label) - np.mean(inside))
 
 
-@pytest.mark.parametrize("hot", [2_000_000, 30])
-def test_neighbour_information_equals_brute_force(spark, data, monkeypatch, hot):
-    """Also when the values are cut into slices that a single task can hold."""
+@pytest.mark.parametrize("parts", [1, 8, 40])
+@pytest.mark.parametrize("keyed", [False, True])
+def test_neighbour_information_equals_brute_force(spark, data, monkeypatch, parts, keyed):
+    """Also where values crowd, and where a class's values lie in several ranges, some of two or three rows."""
     df, y, a, b = data
     y = y.copy()
     y[0], y[1:4] = 77, 88
-    rows = spark.createDataFrame([(int(k), float(v)) for k, v in zip(y, a)], "y int, a double")
-    monkeypatch.setattr(bounds, "WINDOW_GROUP_ROWS", hot)
-    got = select.select_kbest(rows, "y", 1, "mutual_info_classif", method="knn")
-    assert scores(got)["a"] == pytest.approx(brute_information(a / a.std(), y), abs=1e-6)
+    crowded = np.where(np.arange(len(a)) % 3 == 0, 1.0 + np.random.default_rng(5).random(len(a)) * 1e-4, a)
+    rows = spark.createDataFrame(
+        [(i, int(k), float(v), float(w)) for i, (k, v, w) in enumerate(zip(y, a, crowded))], "id int, y int, a double, w double")
+    monkeypatch.setattr(ranges, "shuffle_width", lambda spark: parts)
+    table = rows if keyed else rows.drop("id")
+    got = scores(select.select_kbest(table, "y", 1, "mutual_info_classif", method="knn", key_cols="id" if keyed else None))
+    for name, values in (("a", a), ("w", crowded)):
+        assert got[name] == pytest.approx(brute_information(values / values.std(), y), abs=1e-6)
+
+
+def test_neighbour_information_of_copies_does_not_depend_on_the_partitions(spark):
+    rows = [(i % 3, float(i % 4)) for i in range(240)]
+    one, two = (spark.createDataFrame(rows, "y int, a double").repartition(n) for n in (1, 7))
+    got = [scores(select.select_kbest(df, "y", 1, "mutual_info_classif", method="knn"))["a"] for df in (one, two)]
+    assert got[0] == got[1] and got[0] < 0.1
+
+
+def brute_plane(x, y) -> float:
+    x, y = x / x.std(), y / y.std()
+    nx, ny = [], []
+    for i in range(len(x)):
+        dx, dy = np.abs(x - x[i]), np.abs(y - y[i])
+        both = np.maximum(dx, dy)
+        both[i] = np.inf
+        reach = np.sort(both)[2]
+        nx.append(psi(np.sum(dx < reach)))
+        ny.append(psi(np.sum(dy < reach)))
+    return max(0.0, psi(len(x)) + psi(3) - np.mean(nx) - np.mean(ny))
+
+
+def test_plane_information_equals_brute_force(spark, monkeypatch):
+    """Correlated, crowded on a line and on a spot, with outliers; cells small enough that most points are guests."""
+    rng = np.random.default_rng(6)
+    n = 2000
+    y = np.concatenate([rng.normal(size=n - 4), [40.0, 41.0, -90.0, 500.0]])
+    line = np.where(np.arange(n) % 3 == 0, 1.0 + 1e-5 * rng.random(n), y + rng.normal(size=n))
+    spot = np.where(np.arange(n) % 3 == 0, 1e-5 * rng.random(n), rng.standard_t(2, size=n) + 0.2 * y)
+    rows = [(i, float(v), float(a), float(b)) for i, (v, a, b) in enumerate(zip(y, line, spot))]
+    df = spark.createDataFrame([*rows, (-1, None, 1.0, 1.0), (-2, 1.0, None, None)], "id int, y double, line double, spot double")
+    monkeypatch.setattr(plane_information, "CELL_ROWS", 60)
+    monkeypatch.setattr(plane_information, "GUESTS", 40)
+    got = scores(select.select_kbest(df, "y", 2, "mutual_info_regression", method="knn", key_cols="id"))
+    for name, values in (("line", line), ("spot", spot)):
+        assert got[name] == pytest.approx(brute_plane(values, y), abs=0.002), name
+
+
+def test_plane_information_of_few_rows(spark):
+    for n in (0, 1, 3, 4):
+        df = spark.createDataFrame([(float(i), float(i * i)) for i in range(n)], "y double, x double")
+        got = scores(select.select_kbest(df, "y", 1, "mutual_info_regression", method="knn"))["x"]
+        assert (got is None) == (n < 4)
+    assert got == pytest.approx(brute_plane(np.arange(4.0) ** 2, np.arange(4.0)), abs=0.02)
 
 
 def test_variance_threshold(data):
