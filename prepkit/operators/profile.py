@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from prepkit.functions.naming import free_name
 from prepkit.functions.schema import (
     as_double, as_list, c, check_columns, check_numeric, clean, inline_rows,
 )
+from prepkit.plans.cuts import whole_row_hash
 
 PAGE_ROWS = 20
 
@@ -23,7 +27,8 @@ def preview(
 ) -> DataFrame:
     """One page in key order, nulls last; `after` is the last key of the page before, null parts as None.
 
-    Keys tell rows apart: of rows with equal keys that a page ends between, the rest is not shown.
+    Keys must tell rows apart: of rows with equal keys that a page ends between, the rest is not shown. `page` shows
+    every row of any table.
 
     The key filter reaches the scan and the top-n keeps `rows` rows per task, so a late
     page costs no more than the first.
@@ -45,6 +50,60 @@ def preview(
     return df.orderBy(*[F.asc_nulls_last(c(k)) for k in keys]).limit(rows)
 
 
+class Page(NamedTuple):
+    """`rows`: one page, a local table. `cursor`: where the next one begins; None after the last."""
+
+    rows: DataFrame
+    cursor: tuple | None
+
+
+def page(df: DataFrame, key: str | Sequence[str], rows: int = PAGE_ROWS, after: tuple | None = None) -> Page:
+    """The page that begins at cursor `after`, in the order of key, nulls last, and row digest.
+
+    The cursor is the last row's key and digest and the number of its copies already shown: copies are
+    interchangeable, so it does not matter which of them come first. Going on until the cursor is None shows
+    every row once, whatever keys are equal or null. A page reads the table twice at most and keeps `rows` rows
+    per task.
+    """
+    keys = as_list(key)
+    check_columns(df, keys, "Key column")
+    mark = free_name("row_digest", df.columns)
+    order = [*[F.asc_nulls_last(c(k)) for k in keys], F.asc(c(mark))]
+    marked = df.withColumn(mark, whole_row_hash(df))
+    copies = 0
+    if after is None:
+        shown = marked.orderBy(*order).limit(rows + 1).toArrow()
+    else:
+        *last, digest, copies = after
+        later, tied = F.lit(False), F.lit(True)
+        for name, value in zip([*keys, mark], [*last, digest], strict=True):
+            kind = marked.schema[name].dataType
+            if value is not None:
+                later = later | (tied & (c(name).isNull() | (c(name) > F.lit(value).cast(kind))))
+            tied = tied & c(name).eqNullSafe(F.lit(value).cast(kind))
+        left = marked.where(tied).limit(copies + rows + 1).count() - copies
+        same = marked.where(tied).limit(min(left, rows + 1)).toArrow()
+        rest = marked.where(F.coalesce(later, F.lit(False))).orderBy(*order).limit(rows + 1 - same.num_rows).toArrow()
+        shown = pa.concat_tables([same, rest.cast(same.schema)])
+    more, shown = shown.num_rows > rows, shown.slice(0, rows)
+    cursor = None
+    if more:
+        *last, digest = (shown[n][-1].as_py() for n in [*keys, mark])
+        here = sum(d == digest for d in shown[mark].to_pylist())
+        goes_on = after is not None and after[-2] == digest
+        cursor = (*last, digest, here + (copies if goes_on else 0))
+    return Page(df.sparkSession.createDataFrame(shown.drop_columns([mark]), df.schema), cursor)
+
+
+def pages(df: DataFrame, key: str | Sequence[str], rows: int = PAGE_ROWS) -> Iterator[DataFrame]:
+    """All pages of a table, one after the other."""
+    found = page(df, key, rows)
+    yield found.rows
+    while found.cursor is not None:
+        found = page(df, key, rows, found.cursor)
+        yield found.rows
+
+
 def _rows_and_gaps(df: DataFrame, column: str) -> DataFrame:
     gaps = F.count_if(clean(df, column).isNull())
     return df.agg(F.struct(F.count(F.lit(1)).alias("rows"), gaps.alias("missing")).alias("s"))

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from typing import NamedTuple
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier, LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier,
 )
 from pyspark.ml.feature import (
-    Imputer, IndexToString, OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler, VectorSlicer,
+    Imputer, IndexToString, OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler, VectorSlicer,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -36,6 +39,10 @@ REGRESSORS_ONLY = ("linear_regression",)
 PENALTIES = {"none": 0.0, "l2": 0.0, "elasticnet": 0.5, "l1": 1.0}
 SOLVERS = ("lbfgs", "liblinear", "newton-cg", "newton-cholesky", "sag", "saga")
 
+KERNELS = ("linear", "rbf")
+FOLDS = 3
+"""Parts of the training rows that take turns to be held out for calibration."""
+
 LABEL, FEATURES = "_label", "_features"
 
 
@@ -52,15 +59,19 @@ def train_model(
     max_depth: int | None = None, learning_rate: float | None = None, C: float | None = None,
     penalty: str | None = None, solver: str | None = None, artifacts_dir: str | None = None, model_name: str | None = None,
     features: Sequence[str] | None = None, key_cols: str | Sequence[str] | None = None,
-    auto_encode: bool = False, max_bins: int = 256,
+    auto_encode: bool = False, max_bins: int = 256, kernel: str = "linear", n_waves: int = 256,
 ) -> Trained:
     """Fit on the training part, score the hold-out part, save both when `artifacts_dir` is given.
 
     The default target is the last column, the default features all others. Features must be
     numeric and complete unless `auto_encode` adds encoding and imputation to the pipeline.
-    "xgboost" names boosted trees (MLlib's, first order); "svm" is linear, with calibrated
-    probabilities. `solver` is accepted and left to MLlib: it does not move the optimum.
+    "xgboost" names boosted trees (MLlib's, first order). "svm" is linear, or with `kernel="rbf"` linear in
+    `n_waves` random waves whose products average to that kernel; its probabilities are calibrated on margins of
+    rows that the margin's model did not see. `solver` is accepted and left to MLlib: it does not move the optimum.
     """
+    check_choice(kernel, KERNELS, "kernel")
+    if kernel != "linear" and model != "svm":
+        raise ValueError("kernel is for svm only.")
     check_choice(solver or "lbfgs", SOLVERS, "solver")
     check_choice(problem_type, ("classification", "regression"), "problem_type")
     check_choice(model, MODELS, "model")
@@ -93,10 +104,15 @@ def train_model(
         train = ready.where(F.col("_part") == "train")
         estimator = _estimator(model, labels, train.count(), random_state, n_estimators, max_depth,
                                learning_rate, C, penalty, max_bins)
-        stages = [*encode, VectorAssembler(inputCols=inputs, outputCol=FEATURES), *estimator]
-        if labels:
-            stages.append(IndexToString(inputCol="prediction", outputCol="predicted", labels=labels))
-        fitted = Pipeline(stages=stages).fit(train)
+        if kernel == "rbf":
+            waves, inputs = _waves(train, encode, inputs, n_waves, random_state)
+            encode = [*encode, waves]
+        prepare = [*encode, VectorAssembler(inputCols=inputs, outputCol=FEATURES)]
+        names = [IndexToString(inputCol="prediction", outputCol="predicted", labels=labels)] if labels else []
+        if model == "svm":
+            fitted = _calibrated(prepare, estimator, names, train)
+        else:
+            fitted = Pipeline(stages=[*prepare, *estimator, *names]).fit(train)
         metrics = settle(_evaluate(
             fitted.transform(ready.where(F.col("_part") == "test")), labels, problem_type, model, target))
     finally:
@@ -109,6 +125,65 @@ def train_model(
     return Trained(fitted, metrics, test, name)
 
 
+def _waves(train: DataFrame, encode: list, inputs: list[str], n: int, seed: int) -> tuple[SQLTransformer, list[str]]:
+    """A stage that adds n random Fourier features of the inputs, and their names (Rahimi, Recht, NIPS 2007).
+
+    cos(w x + b) with normal w and uniform b, drawn from the seed: plain expressions over the columns, so the
+    stage is saved with the model. The kernel's width is one over the features' number and common variance.
+    """
+    filled = Pipeline(stages=encode).fit(train).transform(train) if encode else train
+    odd = [x for x in inputs if not is_numeric_or_bool(dtype(filled, x))]
+    if odd:
+        raise ValueError(f"The rbf kernel takes numeric features only; leave out {odd}.")
+    xs = [as_double(filled, x) for x in inputs]
+    row = filled.agg(*[e for x in xs for e in (F.avg(x), F.avg(x * x))]).first()
+    means, squares = [v or 0.0 for v in row[0::2]], [v or 0.0 for v in row[1::2]]
+    spread_ = sum(squares) / len(xs) - (sum(means) / len(xs)) ** 2
+    gamma = 1.0 / (len(xs) * spread_) if spread_ > 0 else 1.0
+    rng = np.random.default_rng(seed)
+    w = rng.normal(scale=np.sqrt(2 * gamma), size=(n, len(xs)))
+    b = rng.uniform(0, 2 * np.pi, size=n) - w @ np.array(means)
+    size = float(np.sqrt(2 / n))
+    taken = set(filled.columns)
+    names = [next(x for x in (f"_wave{i}" + "_" * k for k in range(99)) if x not in taken) for i in range(n)]
+    quoted = [f"cast(`{x.replace('`', '``')}` as double)" for x in inputs]
+    waves = [
+        f"{size!r}D * cos({float(b[i])!r}D + " + " + ".join(f"{float(v)!r}D * {x}" for v, x in zip(w[i], quoted)) + f") AS {names[i]}"
+        for i in range(n)]
+    return SQLTransformer(statement=f"SELECT *, {', '.join(waves)} FROM __THIS__"), names
+
+
+def _calibrated(prepare: list, estimator: list, names: list, train: DataFrame) -> PipelineModel:
+    """The SVM of all training rows, and a calibration fitted on margins of held-out folds.
+
+    A row's fold follows from its content. Where a fold would leave a class out, as in very small tables, the
+    calibration sees the training margins instead.
+    """
+    svm, *between, calibration = estimator
+    first = Pipeline(stages=prepare).fit(train)
+    fold = F.pmod(F.xxhash64(*[c(n) for n in train.columns]), F.lit(FOLDS)).alias("_fold")
+    rows = first.transform(train).select(FEATURES, LABEL, fold).persist()
+    try:
+        here = {(r["_fold"], r[LABEL]) for r in rows.groupBy("_fold", LABEL).count().collect()}  # a row per fold and class
+        classes = {label for _, label in here}
+        enough = all(len({y for f, y in here if f != k}) == len(classes) for k in range(FOLDS))
+
+        def margins(k: int) -> DataFrame:
+            return svm.fit(rows.where(F.col("_fold") != k)).transform(rows.where(F.col("_fold") == k))
+
+        with ThreadPoolExecutor(FOLDS + 1) as pool:  # each only waits for its own jobs
+            whole = pool.submit(svm.fit, rows)
+            held_out = list(pool.map(margins, range(FOLDS))) if enough else []
+            model = whole.result()
+        seen = reduce(DataFrame.unionByName, held_out) if enough else model.transform(rows)
+        for stage in between:
+            seen = stage.transform(seen)
+        fitted = calibration.fit(seen)
+    finally:
+        rows.unpersist()
+    return PipelineModel([*first.stages, model, *between, fitted, *names])
+
+
 def _class_labels(df: DataFrame, target: str) -> list[str]:
     """Class names in value order; the model on the driver has a parameter set for each of them anyway."""
     sizes = class_sizes(df, target)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
+
 from prepkit.operators import profile, stats
 from prepkit.registry import Query, on
 from prepkit.registry.inputs import CUSTOMER_NULLS, ORDERS_NULLS, customer_nulls, orders_nulls, rounded
@@ -48,7 +52,13 @@ def _next_page(df):
     return profile.preview(df, keys, after=[last[k] for k in keys])
 
 
+def _all_pages(df):
+    """Keys that many rows share: all pages together are the table."""
+    return reduce(DataFrame.unionByName, profile.pages(df, "s_nationkey", 50))
+
+
 QUERIES: dict[str, Query] = {
+    "preview_all_pages": on("supplier", _all_pages, "SELECT * FROM supplier"),
     "table_kpis": on("lineitem", profile.table_kpis,
                      "SELECT count(*) AS rows, 11::INTEGER AS columns FROM lineitem"),
     "preview_page": on("orders", lambda df: profile.preview(df, "o_orderkey"),

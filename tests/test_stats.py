@@ -180,3 +180,19 @@ def test_profile(spark):
     assert tuple(profile.missing_before_after(df, after, "x").first()) == (3, 1, 2, 0)
     assert [r["id"] for r in profile.preview(df, "id", rows=2).collect()] == [1, 2]
     assert [r["id"] for r in profile.preview(df, "id", rows=2, after=[2]).collect()] == [3]
+
+
+def test_pages_show_every_row_once(spark):
+    """Equal, null and NaN keys, many copies of a row, and pages that end between them."""
+    rows = [(k, v) for k in (None, 1, 1, 2, 2, 2, None) for v in (None, "a", "b")] + [(2, "a")] * 30
+    df = spark.createDataFrame([(k, None if k is None else k / 2, v) for k, v in rows], "k int, x double, row_digest string")
+    for keys, size in ((["k"], 4), (["k", "x"], 7), (["row_digest"], 100)):
+        found = list(profile.pages(df.repartition(3), keys, size))
+        assert [p.count() for p in found][:-1] == [size] * (len(found) - 1) and found[-1].columns == df.columns
+        shown = [tuple(r) for p in found for r in p.collect()]
+        assert sorted(shown, key=repr) == sorted(map(tuple, df.collect()), key=repr)
+        place = df.columns.index(keys[0])
+        order = [(r[place] is None, r[place] or "") if place else (r[place] is None, r[place] or 0) for r in shown]
+        assert [o[0] for o in order] == sorted(o[0] for o in order)
+        assert [o[1] for o in order if not o[0]] == sorted(o[1] for o in order if not o[0])
+    assert profile.page(df.where("false"), "k").cursor is None

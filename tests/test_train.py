@@ -91,3 +91,46 @@ def test_refusals(data):
     ):
         with pytest.raises(ValueError):
             call()
+
+
+def rings(spark, n: int = 900):
+    rng = np.random.default_rng(2)
+    angle, ring = rng.uniform(0, 2 * np.pi, n), rng.integers(0, 2, n)
+    size = 1 + 2 * ring + rng.normal(scale=0.1, size=n)
+    rows = [(i, float(s * np.cos(t)), float(s * np.sin(t)), int(r)) for i, (s, t, r) in enumerate(zip(size, angle, ring))]
+    return spark.createDataFrame(rows, "id int, `a b` double, y double, ring int")
+
+
+def test_rbf_kernel_separates_rings(spark):
+    df, folder = rings(spark), f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    fit = {k: train_model(df, "classification", "ring", "svm", features=["a b", "y"], key_cols="id", kernel=k, C=10.0,
+                          artifacts_dir=folder, model_name=k) for k in ("linear", "rbf")}
+    got = {k: done.metrics.first() for k, done in fit.items()}
+    assert got["rbf"]["accuracy"] > 0.95 and got["rbf"]["roc_auc"] > 0.98
+    assert got["linear"]["accuracy"] < 0.8
+    again = read_model(f"{folder}/rbf").transform(fit["rbf"].test)
+    same = fit["rbf"].model.transform(fit["rbf"].test)
+    assert same.select("id", "predicted").exceptAll(again.select("id", "predicted")).count() == 0
+    with pytest.raises(ValueError, match="svm only"):
+        train_model(df, "classification", "ring", "xgboost", features=["y"], kernel="rbf")
+    with pytest.raises(ValueError, match="kernel"):
+        train_model(df, "classification", "ring", "svm", features=["y"], kernel="poly")
+
+
+def test_svm_probabilities_come_from_rows_it_did_not_see(spark):
+    """Noise that a wide model learns by heart: probabilities of its training margins would be near 0 and 1."""
+    rng = np.random.default_rng(3)
+    x, label = rng.normal(size=(240, 60)), rng.integers(0, 2, 240)
+    names = [f"x{i}" for i in range(60)]
+    df = spark.createDataFrame(
+        [(i, *map(float, row), int(v)) for i, (row, v) in enumerate(zip(x, label))],
+        "id int, " + ", ".join(f"{n} double" for n in names) + ", label int")
+    done = train_model(df, "classification", "label", "svm", features=names, key_cols="id", C=100.0)
+    rows = done.model.transform(done.test).select("probability", "label").collect()
+    loss = -np.mean([np.log(max(r.probability[r.label], 1e-9)) for r in rows])
+    assert loss < 0.9
+
+
+def test_svm_of_a_very_small_table(spark):
+    df = spark.createDataFrame([(i, float(i), int(i > 5)) for i in range(12)], "id int, a double, y int")
+    assert train_model(df, "classification", "y", "svm", features=["a"], key_cols="id").metrics.count() == 1
