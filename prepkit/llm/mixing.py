@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -115,6 +116,33 @@ def tilts(classes: DataFrame, wanted: DataFrame, cap: int = CAP) -> DataFrame:
 
 
 def _round_classes(cap: int):
+    def settled(classes: pd.DataFrame, owed: float) -> np.ndarray:
+        """The copies after exchanges that bring the words closer to the target: a copy more, a copy less, or both.
+
+        Each step takes the best one, found among the sorted sizes, until none helps.
+        """
+        size, n, copies = (classes[name].to_numpy() for name in ("size", "n", "copies"))
+        copies = copies.astype(np.int64)
+        while True:
+            more = np.flatnonzero((size > 0) & (copies < cap * n))
+            less = np.flatnonzero((size > 0) & (copies > 0))
+            less = less[np.argsort(size[less], kind="stable")]
+            up, down = np.append(size[more], 0), np.concatenate([[0], size[less]])
+            near = np.searchsorted(down, up - owed)
+            best = (abs(owed) - 1e-6, -1, -1)
+            for at in (np.maximum(near - 1, 0), np.minimum(near, len(down) - 1)):
+                miss = np.abs(owed - (up - down[at]))
+                i = int(np.argmin(miss))
+                best = min(best, (float(miss[i]), i, int(at[i])))
+            _, i, j = best
+            if i < 0:
+                return copies
+            owed -= up[i] - down[j]
+            if i < len(more):
+                copies[more[i]] += 1
+            if j:
+                copies[less[j - 1]] -= 1
+
     def work(classes: pd.DataFrame) -> pd.DataFrame:
         """Whole copies per size class, longest documents first; each class makes up for the miss so far."""
         classes = classes.sort_values("size", ascending=False)
@@ -127,7 +155,9 @@ def _round_classes(cap: int):
             take = min(max(round(want / size), 0), cap * n)
             owed = want - take * size
             copies.append(take)
-        return classes.assign(copies=copies)[["source", "size", "n", "copies"]]
+        classes = classes.assign(copies=copies)
+        classes["copies"] = settled(classes, owed)
+        return classes[["source", "size", "n", "copies"]]
 
     return work
 
