@@ -71,7 +71,18 @@ def settle(df: DataFrame, limit: int = SMALL_TABLE_ROWS) -> DataFrame:
     return cut_lineage(df) if rows is None else F.broadcast(df.sparkSession.createDataFrame(rows))
 
 
+def largest_group(df: DataFrame, groups: list[str]) -> int:
+    """Row count of the biggest group; partial aggregation makes this cheap on hot keys."""
+    from prepkit.functions.schema import c
+
+    if not groups:
+        return df.count()
+    sizes = df.groupBy(*[c(g) for g in groups]).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.max("n")).first()[0] or 0
+
+
 SMALL_INPUT_BYTES = 1 << 30
+"""Tables of up to this size are dealt out anew before work that is worth more than the shuffle."""
 
 
 def across_cores(df: DataFrame) -> DataFrame:
