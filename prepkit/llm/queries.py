@@ -38,7 +38,7 @@ def piece_bpe() -> str:
 
 
 def op1_paragraph_minhash(spark: SparkSession, folder: str) -> DataFrame:
-    return substring_dedup.repeated_paragraphs(table(spark, folder, "documents"))
+    return substring_dedup.repeated_paragraphs(table(spark, folder, "documents"), window=substring_dedup.WINDOW_WORDS)
 
 
 def op2_concat_pack(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,11 +8,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prepkit.llm.components import components
-from prepkit.llm.shared import col, map_arrow, slices, written
+from prepkit.llm.shared import ASCII_SPACE, col, map_arrow, slices, spare_name, written
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -22,6 +23,12 @@ BANDS, ROWS = 14, 4
 MIN_WORDS = 20
 """Shorter paragraphs (headings, list items) are left to line dedup."""
 
+WINDOW_WORDS, REACH = 25, 26
+"""Windows of 25 words from the least of 26 shingles in a row: every stretch of 50 words holds a whole one."""
+
+WINDOW_BANDS, WINDOW_ROWS = 4, 3
+"""A pair of windows at the threshold shares a band with probability 0.943; equal ones always meet."""
+
 SMALL_BUCKET = 24
 """Texts of a bucket up to which all its pairs are compared, at most 12 for each text."""
 
@@ -38,44 +45,145 @@ def _mixers() -> tuple[np.ndarray, np.ndarray]:
     return odd, rng.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
 
 
-def paragraph_spans(text: str) -> list[tuple[int, int]]:
-    """Character spans of the text's lines; a paragraph is a line."""
-    spans, at = [], 0
-    for line in text.split("\n"):
-        spans.append((at, at + len(line)))
-        at += len(line) + 1
-    return spans
+def _space_table() -> np.ndarray:
+    table = np.zeros(256, bool)
+    table[list(ASCII_SPACE)] = True
+    return table
+
+
+IS_SPACE = _space_table()
+
+
+class Words:
+    """The words of some texts in a row: lower-case bytes, byte spans, whose text each is."""
+
+    def __init__(self, texts: list[str | None]):
+        raw = [(t or "").encode() for t in texts]
+        self.text_start = np.cumsum([0] + [len(r) + 1 for r in raw])
+        joined = b"\n".join(raw)
+        buf = np.frombuffer(joined, np.uint8)
+        space = IS_SPACE[buf]
+        edge = np.ones(1, bool)
+        self.start = np.flatnonzero(~space & np.concatenate([edge, space[:-1]]))
+        self.stop = np.flatnonzero(~space & np.concatenate([space[1:], edge])) + 1
+        self.words = joined.lower().split()
+        self.owner = np.searchsorted(self.text_start, self.start, side="right") - 1
+        self.line_start = np.concatenate([[0], np.flatnonzero(buf == 10) + 1])
+        self.characters = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
+        codes = np.array(self.words, object)
+        codes = pd.util.hash_array(codes, categorize=True).astype(np.uint64) if len(codes) else np.empty(0, np.uint64)
+        self.shingles = _mixed(codes)
+
+    def lines(self) -> tuple[np.ndarray, np.ndarray]:
+        """First and last + 1 word of each line of at least MIN_WORDS words."""
+        first = np.searchsorted(self.start, self.line_start)
+        last = np.append(first[1:], len(self.start))
+        keep = last - first >= MIN_WORDS
+        return first[keep], last[keep]
+
+    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """First and last + 1 word of the windows that start at the least shingle of some REACH shingles in a row."""
+        h = self.shingles
+        if len(h) < REACH:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        least = _running(np.minimum, h, REACH)
+        n = len(least)
+        least[self.owner[:n] != self.owner[REACH + SHINGLE_WORDS - 2:]] = 0  # crosses into another text
+        most = _running(np.maximum, np.concatenate([np.zeros(REACH - 1, np.uint64), least, np.zeros(REACH - 1, np.uint64)]), REACH)
+        chosen = most == h
+        chosen[1:] &= h[1:] != h[:-1]  # a run of one repeated word has one window
+        first = np.flatnonzero(chosen)
+        first = first[first + size <= len(self.owner)]
+        first = first[self.owner[first] == self.owner[first + size - 1]]
+        return first, first + size
+
+    def character(self, byte: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        return self.characters[byte] - self.characters[self.text_start[owner]]
+
+    def places(self, first: np.ndarray) -> np.ndarray:
+        """Line numbers, within their texts, of some words."""
+        line = np.searchsorted(self.line_start, self.start[first], side="right")
+        return line - np.searchsorted(self.line_start, self.text_start[self.owner[first]], side="right")
+
+
+def _running(pick: np.ufunc, values: np.ndarray, size: int) -> np.ndarray:
+    """pick.reduce over each `size` values in a row, by doubling."""
+    out, done = values.copy(), 1
+    while done < size:
+        step = min(done, size - done)
+        out = pick(out[:-step], out[step:])
+        done += step
+    return out
+
+
+def _mixed(codes: np.ndarray) -> np.ndarray:
+    """Hashes of each SHINGLE_WORDS word codes in a row."""
+    mixed = np.zeros(max(0, len(codes) - SHINGLE_WORDS + 1), np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(SHINGLE_WORDS):
+            mixed = (mixed ^ codes[k:k + len(mixed)]) * np.uint64(0x9E3779B97F4A7C15)
+            mixed ^= mixed >> np.uint64(29)
+    return mixed
 
 
-def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Long enough paragraphs: owner, place, span and a digest of their lower-case words."""
+def _digest(words: list[bytes]) -> bytes:
+    return hashlib.blake2b(b" ".join(words), digest_size=8).digest()
+
+
+def _least(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Least value of each range; ranges may overlap."""
+    ends = np.empty(2 * len(first), np.int64)
+    ends[::2], ends[1::2] = first, last
+    return np.minimum.reduceat(np.append(values, np.uint64(0)), ends)[::2]
+
+
+def _buckets(shingles: np.ndarray, first: np.ndarray, last: np.ndarray, bands: int, rows: int, salt: int) -> np.ndarray:
+    """Bucket keys by band of the paragraphs, which lie in [first, last) words."""
+    odd, shift = _mixers()
+    keys = np.zeros((len(first), bands), np.uint64)
+    if len(first):
+        with np.errstate(over="ignore"):
+            for i in range(bands * rows):
+                least = _least(shingles * odd[i] + shift[i] ^ shingles >> np.uint64(31), first, last - SHINGLE_WORDS + 1)
+                keys[:, i // rows] = (keys[:, i // rows] ^ least) * np.uint64(0xFF51AFD7ED558CCD) + np.uint64(i + salt)
+    return keys.view(np.int64)
+
+
+def _paragraphs(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """Paragraphs with span, digest and bucket keys; a digest that a batch repeats has its keys once."""
+    part, at = TaskContext.get().partitionId() << 33, 0
     for whole in batches:
         for batch in slices(whole, "text", BATCH):
-            out: list[list] = [[], [], [], [], []]
-            for i, text in enumerate(batch["text"].to_pylist()):
-                for place, (start, stop) in enumerate(paragraph_spans(text or "")):
-                    words = text[start:stop].encode().lower().split() if text else []
-                    if len(words) >= MIN_WORDS:
-                        digest = hashlib.blake2b(b" ".join(words), digest_size=8).digest()
-                        for column, value in zip(out, (i, place, start, stop, digest), strict=True):
-                            column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [batch["id"].take(pa.array(out[0], pa.int64())), pa.array(out[1], pa.int32()),
-                 pa.array(out[2], pa.int64()), pa.array(out[3], pa.int64()),
-                 pa.array(np.frombuffer(b"".join(out[4]), "<i8"))],
-                ["id", "place", "start", "stop", "digest"])
+            words = Words(batch["text"].to_pylist())
+            kinds = [(False, *words.lines(), BANDS, ROWS, 0)]
+            if window:
+                kinds.append((True, *words.windows(window), WINDOW_BANDS, WINDOW_ROWS, BANDS * ROWS))
+            seen: set[bytes] = set()
+            for is_window, first, last, bands, rows, salt in kinds:
+                digests = [_digest(words.words[a:b]) for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+                new = np.zeros(len(first), bool)
+                for i, digest in enumerate(digests):
+                    if (is_window, digest) not in seen:
+                        seen.add((is_window, digest))
+                        new[i] = True
+                keys = _buckets(words.shingles, first[new], last[new], bands, rows, salt)
+                ends = np.concatenate([[0], np.cumsum(new * bands)]).astype(np.int32)
+                owner = words.owner[first]
+                yield pa.RecordBatch.from_arrays(
+                    [batch["id"].take(pa.array(owner)), batch["th"].take(pa.array(owner)), pa.array(part + at + owner),
+                     pa.array(words.places(first).astype(np.int32)), pa.array(words.character(words.start[first], owner)),
+                     pa.array(words.character(words.stop[last - 1], owner)), pa.array(np.full(len(first), is_window)),
+                     pa.array(np.frombuffer(b"".join(digests), "<i8")),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel()))],
+                    ["id", "th", "uid", "place", "start", "stop", "window", "digest", "buckets"])
+            at += batch.num_rows
 
 
 def _hashes(words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit shingle hashes of all paragraphs in a row, and where each paragraph begins."""
     counts = np.array([len(w) for w in words], np.int64)
     flat = np.array([w for some in words for w in some], object)
-    codes = pd.util.hash_array(flat, categorize=True).astype(np.uint64)
-    mixed = np.zeros(max(0, len(codes) - SHINGLE_WORDS + 1), np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(SHINGLE_WORDS):
-            mixed = (mixed ^ codes[k:len(codes) - SHINGLE_WORDS + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
-            mixed ^= mixed >> np.uint64(29)
+    mixed = _mixed(pd.util.hash_array(flat, categorize=True).astype(np.uint64))
     ends = np.cumsum(counts)
     inside = np.ones(len(mixed), bool)
     for back in range(1, SHINGLE_WORDS):
@@ -85,35 +193,6 @@ def _hashes(words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     return mixed[inside], np.cumsum(sizes) - sizes
 
 
-def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    odd, shift = _mixers()
-    for whole in batches:
-        for batch in slices(whole, "text", BATCH):
-            words, digests, seen = [], [], set()
-            for text in batch["text"].to_pylist():
-                for start, stop in paragraph_spans(text or ""):
-                    some = text[start:stop].encode().lower().split() if text else []
-                    if len(some) >= MIN_WORDS:
-                        digest = hashlib.blake2b(b" ".join(some), digest_size=8).digest()
-                        if digest not in seen:
-                            seen.add(digest)
-                            words.append(some)
-                            digests.append(digest)
-            if not words:
-                continue
-            shingles, begins = _hashes(words)
-            keys = np.zeros((len(words), BANDS), np.uint64)
-            with np.errstate(over="ignore"):
-                for i in range(BANDS * ROWS):
-                    least = np.minimum.reduceat(shingles * odd[i] + shift[i] ^ shingles >> np.uint64(31), begins)
-                    band = keys[:, i // ROWS]
-                    keys[:, i // ROWS] = (band ^ least) * np.uint64(0xFF51AFD7ED558CCD) + np.uint64(i)
-            owner = np.repeat(np.frombuffer(b"".join(digests), "<i8"), BANDS)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.tile(np.arange(BANDS, dtype=np.int8), len(words))),
-                 pa.array(keys.ravel().view(np.int64)), pa.array(owner)], ["band", "bucket", "digest"])
-
-
 def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct shingle hashes of single paragraphs, sorted."""
     for batch in batches:
@@ -127,20 +206,16 @@ def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts of the asked paragraphs (place, digest); a place that holds another text is left out."""
+    """Texts of the asked paragraphs (start, stop, digest); a span that holds another text is left out."""
     for whole in batches:
         for batch in slices(whole, "text", BATCH):
             digests, texts = [], []
             for text, asked in zip(batch["text"].to_pylist(), batch["asked"].to_pylist(), strict=True):
-                spans = paragraph_spans(text or "")
                 for one in asked:
-                    if one["place"] < len(spans):
-                        start, stop = spans[one["place"]]
-                        words = b" ".join((text or "")[start:stop].encode().lower().split())
-                        digest = int.from_bytes(hashlib.blake2b(words, digest_size=8).digest(), "little", signed=True)
-                        if digest == one["digest"]:
-                            digests.append(digest)
-                            texts.append(words.decode())
+                    words = (text or "")[one["start"]:one["stop"]].encode().lower().split()
+                    if int.from_bytes(_digest(words), "little", signed=True) == one["digest"]:
+                        digests.append(one["digest"])
+                        texts.append(b" ".join(words).decode())
             yield pa.RecordBatch.from_arrays([pa.array(digests, pa.int64()), pa.array(texts, pa.string())], ["digest", "text"])
 
 
@@ -240,50 +315,66 @@ def _linked(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
 
 
 def repeated_paragraphs(
-    df: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
+    df: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, window: int | None = None,
 ) -> DataFrame:
-    """One row per paragraph that has an equal or similar one elsewhere: key, place (line number from 0), start
-    and stop (characters), cluster_id and cluster_place (the cluster's first paragraph by key and place),
-    n_paragraphs of the cluster, removed (all but the first).
-
-    A paragraph is a line of at least MIN_WORDS words, compared by its lower-case words. Equal ones count as
-    one text, however many there are. Texts that share a MinHash band are verified by the Jaccard
-    similarity of their distinct five-word shingles; clusters are the components of the verified pairs.
+    """One row per paragraph that has an equal or similar one elsewhere: key, place (number from 0 of the line it
+    starts on), start and stop (characters), window, cluster_id and cluster_place (the cluster's first paragraph by key
+    and start), n_paragraphs of the cluster, removed.
+
+    A paragraph is a line of at least MIN_WORDS words, compared by its lower-case words. With `window`, stretches of
+    that many words are paragraphs too, across lines: they start where the hash of five words is the least of REACH
+    in a row, so equal passages have equal windows wherever they stand. A stretch of REACH + window - 1 words that two
+    texts share holds one of them (a run of one repeated word has only the window at its start). Windows count as repeated only in another row.
+    Equal paragraphs count as one text, however many there are. Texts that share a MinHash band are verified by the
+    Jaccard similarity of their distinct five-word shingles; clusters are the components of the verified pairs.
+    Removed are all paragraphs but the cluster's first and the windows of the row that holds it.
     Null and empty texts have no paragraphs. Rows with equal ids are read as separate texts; null ids come first.
     """
-    rows = df.select(col(key).alias("id"), col(text).cast("string").alias("text"))
+    if window is not None and window < MIN_WORDS:
+        raise ValueError(f"window must be at least {MIN_WORDS} words")
+    rows = df.select(col(key).alias("id"), col(text).cast("string").alias("text")).withColumn("th", F.xxhash64("text"))
     kind = df.schema[key].dataType.simpleString()
-    found = written(map_arrow(
-        rows, _paragraphs, f"id {kind}, place int, start long, stop long, digest long"), "paragraphs")
-    bands = written(map_arrow(rows.select("text"), _band_rows, "band byte, bucket long, digest long")
-                    .select("bucket", "digest"), "bands")
-    buckets = bands.groupBy("bucket").agg(F.min("digest").alias("lead"), F.max("digest").alias("last"))
-    members = written(bands.join(buckets.filter("lead <> last").select("bucket", "lead"), "bucket").distinct(), "members")
-    texts = found.groupBy("digest").agg(
-        F.min(F.struct("id", "place")).alias("first"), F.count(F.lit(1)).alias("n"))
-    texts = written(texts, "texts")
-    asked = members.select("digest").distinct().join(texts, "digest").groupBy(F.col("first.id").alias("asked_id")).agg(
-        F.collect_list(F.struct(F.col("first.place").alias("place"), "digest")).alias("asked"))
-    source = rows.join(asked.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("asked_id"))).select("text", "asked")
+    found = written(map_arrow(rows, lambda batches: _paragraphs(batches, window or 0), (
+        f"id {kind}, th long, uid long, place int, start long, stop long, window boolean, digest long, "
+        "buckets array<bigint>")), "paragraphs")
+    # Overlapping windows of one text meet often: a window's bucket needs two texts.
+    owner = F.when(F.col("window"), F.col("th")).otherwise(F.col("digest"))
+    bands = found.select("digest", owner.alias("owner"), F.explode("buckets").alias("bucket"))
+    met = bands.groupBy("bucket").agg(F.min("owner").alias("lo"), F.max("owner").alias("hi")).filter("lo <> hi")
+    shared = written(bands.join(met.select("bucket"), "bucket").select("bucket", "digest").distinct(), "shared")
+    buckets = shared.groupBy("bucket").agg(F.min("digest").alias("lead"), F.max("digest").alias("last"))
+    members = written(shared.join(buckets.filter("lead <> last").select("bucket", "lead"), "bucket"), "members")
+    texts = written(found.groupBy("digest").agg(
+        F.min(F.struct("id", "start", "uid", "place", "stop", "th")).alias("first"), F.count(F.lit(1)).alias("n"),
+        F.count_if(~F.col("window")).alias("lines"), F.min("uid").alias("lo"), F.max("uid").alias("hi")), "texts")
+    asked = members.select("digest").distinct().join(texts, "digest").groupBy(
+        F.col("first.id").alias("asked_id"), F.col("first.th").alias("asked_th")).agg(
+        F.collect_list(F.struct(F.col("first.start").alias("start"), F.col("first.stop").alias("stop"), "digest")).alias("asked"))
+    source = rows.join(asked.hint("shuffle_hash"), (F.col("th") == F.col("asked_th")) & F.col("id").eqNullSafe(
+        F.col("asked_id"))).select("text", "asked")
     picked = map_arrow(source, _picked, "digest long, text string")
     sets = written(map_arrow(picked, _shingle_rows, "digest long, shingles array<bigint>").dropDuplicates(["digest"]), "sets")
     roots = _linked(members, sets, similarity)
     owned = written(texts.join(roots, texts["digest"] == roots["node"], "left").select(
-        "digest", "first", "n", F.coalesce("root", "digest").alias("cluster")), "owned")
-    clusters = owned.groupBy("cluster").agg(F.min("first").alias("lead"), F.sum("n").alias("n_paragraphs")).filter("n_paragraphs > 1")
-    named = owned.join(clusters, "cluster").select(F.col("digest").alias("d"), "lead", "n_paragraphs")
+        "digest", "first", "n", "lines", "lo", "hi", F.coalesce("root", "digest").alias("cluster")), "owned")
+    clusters = owned.groupBy("cluster").agg(
+        F.min("first").alias("lead"), F.sum("n").alias("n_paragraphs"), F.sum("lines").alias("lines"),
+        F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lines > 1 or lo <> hi")
+    named = owned.select("digest", "cluster").join(clusters, "cluster").select(
+        F.col("digest").alias("d"), "lead", "n_paragraphs")
+    kept = (F.col("uid") == F.col("lead.uid")) & (F.col("window") | (F.col("place") == F.col("lead.place")))
     return found.join(named, F.col("digest") == F.col("d")).select(
-        F.col("id").alias(key), "place", "start", "stop", F.col("lead.id").alias("cluster_id"),
-        F.col("lead.place").alias("cluster_place"), "n_paragraphs",
-        (~(F.col("id").eqNullSafe(F.col("lead.id")) & (F.col("place") == F.col("lead.place")))).alias("removed"))
+        F.col("id").alias(key), "place", "start", "stop", "window", F.col("lead.id").alias("cluster_id"),
+        F.col("lead.place").alias("cluster_place"), "n_paragraphs", (~kept).alias("removed"))
 
 
-def drop_repeated_paragraphs(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def drop_repeated_paragraphs(df: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """`df` with the removed paragraphs' lines cut out of its texts; keys must be unique and not null."""
-    gone = repeated_paragraphs(df, key, text, **options).filter("removed").groupBy(col(key).alias("gone_id")).agg(
-        F.collect_set("place").alias("gone_places"))
+    id_name, places = spare_name(df, "gone_id"), spare_name(df, "gone_places")
+    gone = repeated_paragraphs(df, key, text, similarity).filter("removed").groupBy(col(key).alias(id_name)).agg(
+        F.collect_set("place").alias(places))
     lines = F.split(F.coalesce(col(text).cast("string"), F.lit("")), "\n")
-    kept = F.filter(lines, lambda _, i: ~F.array_contains(F.col("gone_places"), i))
-    met = df.join(gone, col(key) == F.col("gone_id"), "left")
-    new = F.when(F.col("gone_places").isNull(), col(text)).otherwise(F.array_join(kept, "\n"))
+    kept = F.filter(lines, lambda _, i: ~F.array_contains(F.col(places), i))
+    met = df.join(gone, col(key) == F.col(id_name), "left")
+    new = F.when(F.col(places).isNull(), col(text)).otherwise(F.array_join(kept, "\n"))
     return met.select(*[(new.alias(n) if n == text else col(n)) for n in df.columns])

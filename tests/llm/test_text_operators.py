@@ -320,3 +320,61 @@ def test_removed_paragraphs_leave_the_rest(spark, documents):
     after = dict(texts_of(substring_dedup.drop_repeated_paragraphs(documents)))
     for d, t in texts_of(documents):
         assert after[d] == "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in gone)
+
+
+def passage_rows() -> list[tuple]:
+    """Passages of 50 words inside longer lines and across lines, in rows with equal, null and single ids."""
+    rng = np.random.default_rng(23)
+
+    def fresh(n):
+        return [f"w{i}" for i in rng.integers(0, 10**9, n)]
+
+    passages = [fresh(50) for _ in range(40)]
+    rows = []
+    for i, passage in enumerate(passages):
+        broken = " ".join(passage[:17]) + "\n" + "  ".join(passage[17:31]).upper() + "\n\n" + " ".join(passage[31:])
+        rows.append((2 * i, " ".join([*fresh(70), *passage, *fresh(60)])))
+        rows.append((2 * i + 1, " ".join(fresh(33)) + "ß漢 " + broken + " " + " ".join(fresh(9))))
+    rows += [(None, " ".join([*fresh(40), *passages[0]])), (None, " ".join([*passages[1], *fresh(40)]))]
+    rows += [(7000, rows[0][1]), (7000, rows[2][1]), (7000, rows[2][1])]
+    return rows + [(8000 + i, " ".join(fresh(200))) for i in range(20)] + [(9000, "same " * 300), (9001, None), (9002, "")]
+
+
+def test_passages_inside_and_across_lines(spark):
+    rows = passage_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = substring_dedup.repeated_paragraphs(df, window=substring_dedup.WINDOW_WORDS).collect()
+    found = {r.doc_id for r in got}
+    assert found == {*range(80), None, 7000}
+    assert {r.doc_id for r in got if r.cluster_id is None} == {None, 0, 1, 2, 3, 7000}
+    assert any(r.removed for r in got if r.doc_id == 7000)
+    texts = collections.defaultdict(list)
+    for d, t in rows:
+        texts[d].append(t)
+    for r in got:
+        cuts = [(t or "")[r.start:r.stop].split() for t in texts[r.doc_id]]
+        assert not r.window or any(len(c) == substring_dedup.WINDOW_WORDS for c in cuts)
+    for i in range(4, 80, 2):  # the first row keeps its passage, the other loses it
+        assert not any(r.removed for r in got if r.doc_id == i)
+        assert all(r.removed for r in got if r.doc_id == i + 1)
+
+
+def test_every_shared_stretch_of_fifty_words_is_found(documents):
+    rows = [(d, (t or "").encode().lower().split()) for d, t in texts_of(documents)]
+    holders = collections.defaultdict(set)
+    for d, words in rows:
+        for i in range(len(words) - 49):
+            holders[hash(tuple(words[i:i + 50]))].add(d)
+    shared = {d for held in holders.values() if len(held) > 1 for d in held}
+    got = substring_dedup.repeated_paragraphs(documents, window=substring_dedup.WINDOW_WORDS).collect()
+    assert shared and shared <= {r.doc_id for r in got if r.window}
+
+
+def test_columns_named_like_helpers(spark):
+    rows = [(1, LINE, 5, None), (2, LINE, None, "x"), (3, "other", 7, "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, gone_id int, gone_places string")
+    done = {tuple(r) for r in substring_dedup.drop_repeated_paragraphs(df).collect()}
+    assert done == {(1, LINE, 5, None), (2, "", None, "x"), (3, "other", 7, "y")}
+
+
+LINE = " ".join(f"word{i}" for i in range(30))
