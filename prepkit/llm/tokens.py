@@ -29,9 +29,9 @@ TOGETHER = 400
 class TextEncoder:
     """Encodes like `Tokenizer.encode(text, add_special_tokens=False)` with byte-level BPE and no normalizer.
 
-    Strings of special tokens inside a text are ordinary text. Token boundaries never cross the start of
-    white space, so a text's ids are its pieces' ids in a row. Byte-level tokens keep every byte, which
-    tells where a piece's ids end when many new pieces are encoded in one call.
+    Token boundaries never cross the start of white space, so a text's ids are its pieces' ids in a row.
+    Byte-level tokens keep every byte, which tells where a piece's ids end when many new pieces are encoded
+    in one call. Texts that hold the string of an added token go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -39,7 +39,7 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         names = self.tokenizer.get_vocab(with_added_tokens=False)
         self.token_bytes = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), np.int64)
         for name, i in names.items():
@@ -117,6 +117,19 @@ class TextEncoder:
             texts = texts.combine_chunks()
         if not len(texts):
             return np.empty(0, np.uint32), np.empty(0, np.int64)
+        holds = np.zeros(len(texts), bool)
+        for token in self.added:
+            holds |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        if not holds.any():
+            return self._encode_plain(texts)
+        ids, counts = self._encode_plain(pc.if_else(pa.array(holds), "", texts))
+        whole = [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32)
+                 for t in texts.filter(pa.array(holds)).to_pylist()]
+        at = np.cumsum(counts)[holds]  # as empty texts they have no ids yet
+        counts[holds] = lengths = [len(w) for w in whole]
+        return np.insert(ids, np.repeat(at, lengths), np.concatenate(whole)), counts
+
+    def _encode_plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         pieces, counts = self._pieces(texts)
         if not isinstance(pieces, pa.DictionaryArray):
             pieces = pieces.dictionary_encode()

@@ -31,7 +31,6 @@ def encoded(tokenizer, texts):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(tokenizer)
-    plain.encode_special_tokens = True
     return [e.ids for e in plain.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
@@ -81,6 +80,15 @@ def test_packing(request, tokenizer, name):
     assert sum(r.n_padding for r in whole) == len(padded) - len(stream)
 
 
+def test_added_tokens_in_texts(tokenizer):
+    texts = ["a <|endoftext|> b", "", None, "<|endoftext|>", "x<|endoftext|><|endoftext|> y", "plain  text\n", "<|endoftext"]
+    ids, counts = TextEncoder(tokenizer).encode(pa.array(texts))
+    want = encoded(tokenizer, texts)
+    assert want[0] == [64, 220, 50256, 275]
+    assert counts.tolist() == [len(w) for w in want]
+    assert ids.tolist() == [i for w in want for i in w]
+
+
 @pytest.mark.parametrize("name", TABLES)
 def test_token_files(request, spark, tokenizer, name, monkeypatch):
     df = request.getfixturevalue(name)
