@@ -26,8 +26,8 @@ MIN_WORDS = 20
 WINDOW_WORDS, REACH = 25, 26
 """Windows of 25 words from the least of 26 shingles in a row: every stretch of 50 words holds a whole one."""
 
-WINDOW_BANDS, WINDOW_ROWS = 4, 3
-"""A pair of windows at the threshold shares a band with probability 0.943; equal ones always meet."""
+WINDOW_BANDS, WINDOW_ROWS = 2, 2
+"""A pair of windows at the threshold shares a band with probability 0.87, equal ones always; passages hold several."""
 
 SMALL_BUCKET = 24
 """Texts of a bucket up to which all its pairs are compared, at most 12 for each text."""
@@ -338,10 +338,12 @@ def repeated_paragraphs(
         f"id {kind}, th long, uid long, place int, start long, stop long, window boolean, digest long, "
         "buckets array<bigint>")), "paragraphs")
     # Overlapping windows of one text meet often: a window's bucket needs two texts.
-    owner = F.when(F.col("window"), F.col("th")).otherwise(F.col("digest"))
-    bands = found.select("digest", owner.alias("owner"), F.explode("buckets").alias("bucket"))
-    met = bands.groupBy("bucket").agg(F.min("owner").alias("lo"), F.max("owner").alias("hi")).filter("lo <> hi")
-    shared = written(bands.join(met.select("bucket"), "bucket").select("bucket", "digest").distinct(), "shared")
+    owner = F.hash(F.when(F.col("window"), F.col("th")).otherwise(F.col("digest")))
+    owned = found.select(owner.alias("owner"), F.explode("buckets").alias("bucket"))
+    met = owned.groupBy("bucket").agg(F.min("owner").alias("lo"), F.max("owner").alias("hi")).filter("lo <> hi")
+    met = written(met.select("bucket"), "met")
+    bands = found.select("digest", F.explode("buckets").alias("bucket"))
+    shared = written(bands.join(met, "bucket").distinct(), "shared")
     buckets = shared.groupBy("bucket").agg(F.min("digest").alias("lead"), F.max("digest").alias("last"))
     members = written(shared.join(buckets.filter("lead <> last").select("bucket", "lead"), "bucket"), "members")
     texts = written(found.groupBy("digest").agg(
