@@ -346,10 +346,13 @@ def repeated_paragraphs(
     shared = written(bands.join(met, "bucket").distinct(), "shared")
     buckets = shared.groupBy("bucket").agg(F.min("digest").alias("lead"), F.max("digest").alias("last"))
     members = written(shared.join(buckets.filter("lead <> last").select("bucket", "lead"), "bucket"), "members")
-    texts = written(found.groupBy("digest").agg(
+    likely = members.select(F.col("digest").alias("member")).distinct()
+    texts = found.groupBy("digest").agg(
         F.min(F.struct("id", "start", "uid", "place", "stop", "th")).alias("first"), F.count(F.lit(1)).alias("n"),
-        F.count_if(~F.col("window")).alias("lines"), F.min("uid").alias("lo"), F.max("uid").alias("hi")), "texts")
-    asked = members.select("digest").distinct().join(texts, "digest").groupBy(
+        F.count_if(~F.col("window")).alias("lines"), F.min("uid").alias("lo"), F.max("uid").alias("hi"))
+    texts = texts.join(likely, F.col("digest") == F.col("member"), "left").filter("n > 1 or member is not null")
+    texts = written(texts.drop("member"), "texts")
+    asked = likely.withColumnRenamed("member", "digest").join(texts, "digest").groupBy(
         F.col("first.id").alias("asked_id"), F.col("first.th").alias("asked_th")).agg(
         F.collect_list(F.struct(F.col("first.start").alias("start"), F.col("first.stop").alias("stop"), "digest")).alias("asked"))
     source = rows.join(asked.hint("shuffle_hash"), (F.col("th") == F.col("asked_th")) & F.col("id").eqNullSafe(
