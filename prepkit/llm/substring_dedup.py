@@ -35,7 +35,7 @@ SMALL_BUCKET = 24
 LEAD_TURNS = 2
 """Rounds of comparing with drawn leads before the exact search; more of them save pairs, none loses any."""
 
-BATCH = 4_000_000
+BATCH = 1_500_000
 SEED = 20240229
 
 
@@ -69,7 +69,7 @@ class Words:
         self.words = joined.lower().split()
         self.owner = np.searchsorted(self.text_start, self.start, side="right") - 1
         self.line_start = np.concatenate([[0], np.flatnonzero(buf == 10) + 1])
-        self.characters = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
+        self.characters = np.concatenate([np.zeros(1, np.int32), np.cumsum((buf & 0xC0) != 0x80, dtype=np.int32)])
         codes = np.array(self.words, object)
         codes = pd.util.hash_array(codes, categorize=True).astype(np.uint64) if len(codes) else np.empty(0, np.uint64)
         self.shingles = _mixed(codes)
@@ -171,8 +171,8 @@ def _paragraphs(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.R
                 owner = words.owner[first]
                 yield pa.RecordBatch.from_arrays(
                     [batch["id"].take(pa.array(owner)), batch["th"].take(pa.array(owner)), pa.array(part + at + owner),
-                     pa.array(words.places(first).astype(np.int32)), pa.array(words.character(words.start[first], owner)),
-                     pa.array(words.character(words.stop[last - 1], owner)), pa.array(np.full(len(first), is_window)),
+                     pa.array(words.places(first).astype(np.int32)), pa.array(words.character(words.start[first], owner), pa.int64()),
+                     pa.array(words.character(words.stop[last - 1], owner), pa.int64()), pa.array(np.full(len(first), is_window)),
                      pa.array(np.frombuffer(b"".join(digests), "<i8")),
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel()))],
                     ["id", "th", "uid", "place", "start", "stop", "window", "digest", "buckets"])
