@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prepkit.functions.schema import as_double, as_list, c, check_columns, numeric_columns
+from prepkit.plans import bounds
 from prepkit.plans.bounds import settle, spread
-from prepkit.plans.cuts import first_per_group, group_names, label_by_hash
+from prepkit.plans.cuts import first_per_group, group_names, label_by_hash, label_by_order, plain_order
 
 FITS_AT_ONCE = 4
 
@@ -28,24 +29,27 @@ def class_sizes(df: DataFrame, target: str) -> DataFrame:
     return df.groupBy(c(target).alias("_g0")).agg(F.count(F.lit(1)).alias("_n"))
 
 
-def share_out(sizes: DataFrame, wanted: Column, size: Column, into: str) -> DataFrame:
-    """Split a total over the classes in proportion to their size, largest remainder first.
+def share_out(sizes: DataFrame, wanted: int, size: Column, into: str) -> DataFrame:
+    """Split a total over the classes in proportion to their size, largest remainder first, ties by class.
 
-    `wanted` is the total to reach and `size` the class sizes. One row per class is ranked,
-    never rows of the table.
+    `wanted` is the total to reach and `size` the class sizes. Rows of the table are never ranked. Up to
+    SMALL_TABLE_ROWS classes are ranked at once; of more, only the remainder at the last place (and the class
+    there, where remainders are equal) is looked for, and every class is compared with it.
     """
-    everything = Window.partitionBy()
-    exact = size.cast("double") * wanted / F.greatest(F.sum(size).over(everything), F.lit(1))
-    sizes = sizes.withColumn("_share", exact).withColumn("_floor", F.floor("_share"))
-    rank = F.row_number().over(
-        Window.orderBy(F.desc(F.col("_share") - F.col("_floor")), F.asc_nulls_last("_g0"))
-    )
-    spare = wanted - F.sum("_floor").over(everything)
-    return (
-        sizes.withColumn("_rank", rank).withColumn("_spare", spare)
-        .withColumn(into, F.col("_floor") + F.when(F.col("_rank") <= F.col("_spare"), 1).otherwise(0))
-        .drop("_share", "_floor", "_rank", "_spare")
-    )
+    total = sizes.agg(F.sum(size)).first()[0] or 0
+    share = size.cast("double") * F.lit(wanted) / F.lit(max(total, 1))
+    shares = sizes.withColumn("_share", share).withColumn("_floor", F.floor("_share"))
+    spare = wanted - (shares.agg(F.sum("_floor")).first()[0] or 0)
+    shares = shares.withColumn("_rest", F.col("_floor") - F.col("_share"))
+    missing = F.col("_g0").isNull().cast("int")
+    if bounds.small_rows(sizes, bounds.SMALL_TABLE_ROWS) is not None:
+        rank = F.row_number().over(Window.orderBy("_rest", missing, "_g0"))
+        marked = shares.withColumn("_more", (rank <= spare).cast("bigint"))
+    else:
+        order = [F.col("_rest"), missing, plain_order(shares, "_g0")]
+        marked = label_by_order(shares, order, [spare], shares.count(), ["more", "same"], "_more")
+        marked = marked.withColumn("_more", (F.col("_more") == "more").cast("bigint"))
+    return marked.withColumn(into, F.col("_floor") + F.col("_more")).drop("_share", "_floor", "_rest", "_more")
 
 
 def total_quota(df: DataFrame, cuts: Sequence[int], n: int) -> DataFrame:
@@ -83,7 +87,7 @@ def stratified_sample(
     n, least = sizes.agg(F.sum("_n"), F.min("_n")).first()
     if least is not None and least < 2:
         raise ValueError("A class has fewer than 2 rows; use random_sample or class_balanced_sample.")
-    keep = F.lit(math.floor(sample_size * (n or 0)))
+    keep = math.floor(sample_size * (n or 0))
     quotas = settle(share_out(sizes, keep, F.col("_n"), "_cut0"))
     marked = label_by_hash(df, [target], as_list(key_cols) or None, random_state, quotas,
                            ["in", "out"], "_part")

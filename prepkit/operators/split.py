@@ -46,8 +46,8 @@ def train_val_test_split(
         return label_by_hash(df, [], keys, random_state, quotas, labels, split_column)
     sizes = settle(class_sizes(df, target))
     n_test, n_val = part_sizes(sizes.agg(F.sum("_n")).first()[0] or 0, test_size, val_size)
-    quotas = share_out(sizes, F.lit(n_test), F.col("_n"), "_cut0")
-    quotas = share_out(quotas, F.lit(n_val), F.col("_n") - F.col("_cut0"), "_val")
+    quotas = share_out(sizes, n_test, F.col("_n"), "_cut0")
+    quotas = share_out(quotas, n_val, F.col("_n") - F.col("_cut0"), "_val")
     quotas = settle(quotas.select("_g0", "_n", "_cut0", (F.col("_cut0") + F.col("_val")).alias("_cut1")))
     return label_by_hash(df, [target], keys, random_state, quotas, labels, split_column)
 

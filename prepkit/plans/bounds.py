@@ -99,10 +99,29 @@ def spread(df: DataFrame, n_rows: int) -> DataFrame:
 
     How many parts there are follows from the row count alone. So a fit that draws rows by partition and
     place gives one result, however the input was cut and whatever the cluster is. Columns must be hashable.
+    Rows of a content that more than an eighth of a part have are counted before the shuffle, dealt out in
+    chunks of that size and written out again there: no part is filled by copies.
     """
+    from prepkit.functions.schema import c
+
     parts = 1 + max(min(n_rows // TASK_ROWS, FIT_TASKS), n_rows // LARGE_TASK_ROWS)
-    digest = F.xxhash64(*[F.col("`" + n.replace("`", "``") + "`") for n in df.columns])
-    return df.repartition(parts, digest).sortWithinPartitions(digest)
+    names = df.columns
+    digest = F.xxhash64(*[c(n) for n in names])
+    chunk = max(1, n_rows // (8 * parts))
+    often = df.groupBy(digest.alias("often")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > chunk)
+    often = settle(often.select("often"))
+    if not often.head(1):
+        return df.repartition(parts, digest).sortWithinPartitions(digest)
+    rows = df.select(F.struct(*[c(n).alias(f"_c{i}") for i, n in enumerate(names)]).alias("row"), digest.alias("digest"))
+    same = F.col("digest") == F.col("often")
+    runs = rows.join(often, same, "left_semi").groupBy("row", "digest").agg(F.count(F.lit(1)).alias("n"))
+    first = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(chunk).cast("bigint")))
+    runs = runs.withColumn("first", first).select(
+        "row", "digest", "first", F.least(F.col("n") - F.col("first"), F.lit(chunk)).cast("int").alias("copies"))
+    alone = rows.join(often, same, "left_anti").select("row", "digest", F.lit(0).cast("bigint").alias("first"), F.lit(1).alias("copies"))
+    dealt = alone.unionByName(runs).repartition(parts, "digest", "first")
+    each = dealt.select("row", "digest", F.explode(F.array_repeat(F.lit(0), F.col("copies"))))
+    return each.sortWithinPartitions("digest").select(*[F.col("row")[f"_c{i}"].alias(n) for i, n in enumerate(names)])
 
 
 def shuffle_width(spark: SparkSession) -> int:

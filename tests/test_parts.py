@@ -7,6 +7,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from prepkit.operators import sample, split
@@ -184,6 +185,32 @@ def test_split_is_one_pass_without_a_shuffle_of_rows(spark):
         assert "Window" not in plan and "Python" not in plan
 
 
+def test_shares_of_more_classes_than_a_task_may_rank(spark, monkeypatch):
+    """Equal remainders, a missing class: the same shares by one ranking and by looking for the last place."""
+    sizes = spark.range(40).select(
+        F.when(F.col("id") > 0, F.col("id") % 40).alias("_g0"), (F.lit(3) + F.col("id") % 4).alias("_n"))
+    want = quotas({(r["_g0"],): r["_n"] for r in sizes.collect()}, 77)
+    for limit in (1000, 2):
+        monkeypatch.setattr(bounds, "SMALL_TABLE_ROWS", limit)
+        got = sample.share_out(sizes, 77, F.col("_n"), "_cut0")
+        assert {(r["_g0"],): r["_cut0"] for r in got.collect()} == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "Window" not in plan
+
+
+def test_copies_are_dealt_out_before_a_fit(spark):
+    df = spark.range(200_000).select(
+        F.when(F.col("id") % 10 < 9, 0).otherwise(F.col("id")).alias("a b"), F.lit(None).cast("string").alias("t"))
+    got = bounds.spread(df, 200_000)
+    again = bounds.spread(df.repartition(3), 200_000)
+    place = F.spark_partition_id().alias("part")
+    sizes = [counts(x.select(place), "part") for x in (got, again)]
+    assert sizes[0] == sizes[1] and len(sizes[0]) == 21 and max(sizes[0].values()) < 30_000
+    assert counts(got, "a b") == counts(df, "a b") and got.schema == df.schema
+    points = df.limit(100).select(array_to_vector(F.array(F.lit(1.0), F.lit(2.0))).alias("v"))
+    assert [r["v"].toArray().tolist() for r in bounds.spread(points, 100).collect()] == [[1.0, 2.0]] * 100
+
+
 def test_rows_that_differ_by_microseconds_stay_themselves(spark):
     df = spark.range(100).select(
         F.lit(1).alias("k"), F.lit("2024-01-02").cast("date").alias("d"),
