@@ -13,15 +13,15 @@ HOT_SHARE = 1000
 
 def host_of(url: Column) -> Column:
     """Lower-case host without user, port and trailing dot; null where the text is no URL with a host."""
-    host = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)
+    host = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:]+)", 1)
     return F.nullif(F.rtrim(F.lower(host), F.lit(".")), F.lit(""))
 
 
-def suffixes(host: Column) -> Column:
-    """The host and each domain above it, longest first: a.b.c, b.c, c."""
-    labels = F.split(host, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(
-        F.slice(labels, i, F.size(labels)), "."))
+def suffixes(host: Column, labels: int) -> Column:
+    """The host and each domain above it, longest first, those of at most `labels` labels: a.b.c, b.c, c."""
+    parts = F.split(host, r"\.")
+    first = F.greatest(F.lit(1), F.size(parts) - labels + 1)
+    return F.transform(F.sequence(first, F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
 
 
 def validity(events: DataFrame) -> DataFrame:
@@ -41,17 +41,17 @@ def validity(events: DataFrame) -> DataFrame:
     return ends.filter("on = 1").select("list", "entry", F.col("at").alias("valid_from"), "valid_to")
 
 
-def active_entries(captures: DataFrame, events: DataFrame, key: str, url: str, fetched: str) -> DataFrame:
-    """(id, fetched, list, entry, valid_from) for every entry that covers a capture's host when it was fetched.
+def active_entries(visits: DataFrame, events: DataFrame) -> DataFrame:
+    """(host, fetched, list, entry, valid_from) for every entry that covers a host at a time.
 
-    An entry covers its host and all hosts below it. Lookups are (host suffix, time) of the distinct pairs of
-    host and time, so many pages of a host fetched together are looked up once. An entry that a large share of
-    the lookups meets goes by broadcast, the others by shuffle: no entry's lookups meet in one task.
+    `visits` has distinct pairs of host and fetched. An entry covers its host and all hosts below it; domains of
+    more labels than any entry has are not looked up. An entry that a large share of the lookups meets goes by
+    broadcast, the others by shuffle: no entry's lookups meet in one task.
     """
-    rows = captures.select(col(key).alias("id"), host_of(col(url)).alias("host"), col(fetched).alias("fetched"))
-    rows = rows.filter(F.col("host").isNotNull() & F.col("fetched").isNotNull())
     intervals = written(validity(events), "intervals")
-    lookups = written(rows.select("id", "fetched", F.explode(F.array_distinct(suffixes(F.col("host")))).alias("name")), "lookups")
+    labels = intervals.agg(F.max(F.size(F.split("entry", r"\.")))).first()[0] or 1
+    name = F.explode(F.array_distinct(suffixes(F.col("host"), labels))).alias("name")
+    lookups = written(visits.select("host", "fetched", name), "lookups")
     counts = lookups.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
     hot = written(counts.filter(F.col("n") * HOT_SHARE > F.lit(lookups.count())).select("name"), "hot-names")
     hot_intervals = intervals.join(F.broadcast(hot), F.col("entry") == F.col("name"), "left_semi")
@@ -59,7 +59,7 @@ def active_entries(captures: DataFrame, events: DataFrame, key: str, url: str, f
     active = (F.col("entry") == F.col("name")) & (F.col("fetched") >= F.col("valid_from")) & (
         F.col("valid_to").isNull() | (F.col("fetched") < F.col("valid_to")))
     often = lookups.join(F.broadcast(hot), "name", "left_semi").join(hot_intervals, active)
-    return often.unionByName(cold.join(intervals, active)).select("id", "fetched", "list", "entry", "valid_from")
+    return often.unionByName(cold.join(intervals, active)).select("host", "fetched", "list", "entry", "valid_from")
 
 
 def evaluate(
@@ -70,14 +70,27 @@ def evaluate(
 
     Of the entries active at fetch time the most specific (longest) decides; of equal ones `allow` before
     `block`. A capture without active entry, without a host or without a fetch time has nulls and is not
-    blocked. Rows with equal key and time are decided alike; rows with a null key have no entry.
+    blocked. Verdicts are found once for each host and time, so every row is decided by its own URL: keys may be
+    null or repeat. Hosts and times that many captures share get their verdicts by broadcast, the others by shuffle.
     """
-    found = active_entries(captures, events, key, url, fetched)
-    decided = found.groupBy("id", "fetched").agg(F.max_by(
+    rows = captures.select(col(key).alias("id"), host_of(col(url)).alias("host"), col(fetched).alias("fetched"))
+    decidable = F.col("host").isNotNull() & F.col("fetched").isNotNull()
+    known = rows.filter(decidable)
+    visits = written(known.groupBy("host", "fetched").agg(F.count(F.lit(1)).alias("n")), "visits")
+    found = active_entries(visits.select("host", "fetched"), events)
+    decided = found.groupBy("host", "fetched").agg(F.max_by(
         F.struct("list", "entry", "valid_from"),
         F.struct(F.length("entry"), (F.col("list") == allow).cast("int"), "list", "valid_from")).alias("best"))
-    met = captures.select(col(key).alias(key), col(fetched).alias(fetched)).join(
-        decided, (col(key) == F.col("id")) & (col(fetched) == F.col("fetched")), "left")
+    verdicts = written(visits.join(decided, ["host", "fetched"], "left"), "verdicts")
+    total = verdicts.agg(F.sum("n")).first()[0] or 0
+    shared = F.col("n") * HOT_SHARE > F.lit(total)  # fewer than HOT_SHARE rows
+    hot = F.broadcast(verdicts.filter(shared).drop("n"))
+    often = known.join(hot, ["host", "fetched"])
+    seldom = known.join(hot, ["host", "fetched"], "left_anti").join(
+        verdicts.filter(~shared).drop("n"), ["host", "fetched"], "left")
+    bare = rows.filter(~decidable).withColumn("best", F.lit(None).cast(verdicts.schema["best"].dataType))
+    met = often.unionByName(seldom).unionByName(bare)
     return met.select(
-        col(key), col(fetched), F.col("best.list").alias("list"), F.col("best.entry").alias("entry"),
-        F.col("best.valid_from").alias("valid_from"), F.coalesce(F.col("best.list") == block, F.lit(False)).alias("blocked"))
+        F.col("id").alias(key), F.col("fetched").alias(fetched), F.col("best.list").alias("list"),
+        F.col("best.entry").alias("entry"), F.col("best.valid_from").alias("valid_from"),
+        F.coalesce(F.col("best.list") == block, F.lit(False)).alias("blocked"))
