@@ -183,17 +183,21 @@ def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _best(ids_q: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> list[tuple]:
-    """(query, candidate, score) of the k nearest of a block of candidates for each query."""
+    """(query, candidate, score) of the k nearest ids of a block of candidates, sorted by id, for each query."""
     near = unit(q) @ unit(x).T
     near[ids_q[:, None] == ids[None, :]] = -np.inf
+    begins = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+    each = np.maximum.reduceat(near, begins, axis=1)  # an id may have several vectors
     out = []
-    keep = min(k, near.shape[1])
-    last = np.partition(near, near.shape[1] - keep, axis=1)[:, near.shape[1] - keep]
+    keep = min(k, each.shape[1])
+    last = np.partition(each, each.shape[1] - keep, axis=1)[:, each.shape[1] - keep]
     for i in range(len(q)):
         at = np.flatnonzero((near[i] >= last[i] - SLACK) & np.isfinite(near[i]))
         exact = cosine(np.broadcast_to(q[i], (len(at), q.shape[1])), x[at])
-        order = np.lexsort((ids[at], -exact))[:k]
-        out += [(ids_q[i], ids[at[j]], exact[j]) for j in order]
+        order = np.lexsort((-exact, ids[at]))
+        first = order[np.append(True, np.diff(ids[at[order]]) != 0)[:len(order)]]
+        chosen = first[np.lexsort((ids[at[first]], -exact[first]))][:k]
+        out += [(ids_q[i], ids[at[j]], exact[j]) for j in chosen]
     return out
 
 
@@ -201,6 +205,7 @@ def _search(k: int):
     def work(key: tuple, queries: pa.Table, block: pa.Table) -> pa.Table:
         rows: list[tuple] = []
         if queries.num_rows and block.num_rows:
+            block = block.sort_by("id")
             x, ids = _matrix(block["vec"].combine_chunks()), block["id"].to_numpy()
             for start in range(0, queries.num_rows, 512):
                 some = queries.slice(start, 512)
@@ -212,6 +217,13 @@ def _search(k: int):
     return work
 
 
+def one_length(rows: DataFrame) -> tuple[DataFrame, int, int]:
+    """The rows whose vectors have the most frequent length (of equally frequent ones the least), their count, the length."""
+    sizes = rows.groupBy(F.size("vec").alias("dim")).agg(F.count(F.lit(1)).alias("n"))
+    most = sizes.orderBy(F.desc("n"), "dim").first()
+    return (rows.filter(F.size("vec") == most["dim"]), most["n"], most["dim"]) if most else (rows, 0, 0)
+
+
 def nearest(
     df: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = K,
     sample: int = SAMPLE, part_rows: int = PART_ROWS, probes: int | None = None,
@@ -220,31 +232,49 @@ def nearest(
 
     Nearness is the cosine in double precision on the original vectors, ties go to the smaller id, rows with the
     query's own id are no candidates. Vectors that are null, zero, empty or hold null or non-finite components
-    take no part; all others must have one length, and ids must be whole numbers (null ids take no part).
+    take no part, nor do those of another length than most have (of two equally frequent lengths the shorter
+    counts). Ids must be whole numbers; null ids take no part. Where an id has several vectors, as query or
+    candidate, two ids are as near as their nearest vectors, and each candidate is listed once.
     Every row is indexed. A part of any size is searched in blocks of about BLOCK_ROWS rows, each of which gives
-    k rows per query, so neither common vectors nor uneven parts gather in one task.
+    k rows per query, so neither common vectors nor uneven parts gather in one task. Queries that find fewer than
+    k visit twice as many parts, until they have k or have visited all.
     """
+    spark = df.sparkSession
     rows = usable(df, key, vector).filter("id is not null").withColumn("id", F.col("id").cast("long"))
     asked = usable(queries, key, vector).filter("id is not null").withColumn("id", F.col("id").cast("long"))
-    n_rows = rows.count()
-    schema = "query_id long, vec_id long, score double"
+    rows, n_rows, dim = one_length(rows)
     if not n_rows:
-        return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     w, b, enough = fit(rows, n_rows, sample, part_rows)
-    router = df.sparkSession.sparkContext.broadcast((w, b))
-    probes = probes or enough
+    router = spark.sparkContext.broadcast((w, b))
     routed = "id long, vec array<double>, parts array<int>"
-    index = written(map_arrow(rows, lambda i: _route(i, router, 1), routed).select(
+    index = written(map_arrow(rows.distinct(), lambda i: _route(i, router, 1), routed).select(
         "id", "vec", F.col("parts")[0].alias("part")), "index")
     sizes = index.groupBy("part").agg(F.count(F.lit(1)).alias("rows_"))  # one row per part
     sizes = F.broadcast(sizes.select("part", F.ceil(F.col("rows_") / BLOCK_ROWS).cast("int").alias("blocks")))
-    blocks = index.join(sizes, "part").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    visits = map_arrow(asked, lambda i: _route(i, router, probes), routed).select(
-        "id", "vec", F.explode("parts").alias("part"))
-    visits = visits.join(sizes, "part").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    found = visits.select("part", "block", "id", "vec").groupBy("part", "block").cogroup(
-        blocks.select("part", "block", "id", "vec").groupBy("part", "block")).applyInArrow(_search(k), schema)
-    best = found.distinct().groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct(
-        (-F.col("score")).alias("far"), "vec_id", "score"))), 1, k).alias("best"))
+    blocks = index.join(sizes, "part").withColumn("block", F.pmod(F.xxhash64("id", "vec"), F.col("blocks")).cast("int"))
+    blocks = blocks.select("part", "block", "id", "vec")
+
+    def search(some: DataFrame, n: int) -> DataFrame:
+        """The best of each query's n most probable parts: query_id, best."""
+        visits = map_arrow(some, lambda i: _route(i, router, n), routed).select("id", "vec", F.explode("parts").alias("part"))
+        visits = visits.join(sizes, "part").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        found = visits.select("part", "block", "id", "vec").groupBy("part", "block").cogroup(
+            blocks.groupBy("part", "block")).applyInArrow(_search(k), "query_id long, vec_id long, score double")
+        pairs = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        return pairs.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct(
+            (-F.col("score")).alias("far"), "vec_id", "score"))), 1, k).alias("best"))
+
+    asked = written(asked.filter(F.size("vec") == dim).distinct(), "queries")
+    visited, n_parts = probes or enough, w.shape[1]
+    best = written(search(asked, visited), "best")
+    while visited < n_parts:
+        full = best.filter(F.size("best") >= k).select("query_id")
+        short = asked.join(full, F.col("id") == F.col("query_id"), "left_anti")
+        if not short.head(1):
+            break
+        visited = min(2 * visited, n_parts)
+        found = search(short, visited)
+        best = written(best.join(full, "query_id", "left_semi").unionByName(found), "best")
     return best.select("query_id", F.posexplode("best").alias("at", "one")).select(
         "query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("one.vec_id").alias("vec_id"), F.col("one.score").alias("score"))

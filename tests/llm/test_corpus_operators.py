@@ -214,12 +214,18 @@ def test_url_lists(spark):
                 (4, "https://bad.example?x", day(40)), (5, "http://a.good.bad.example/", day(15)), (6, "http://a.good.bad.example/", day(11)),
                 (7, "http://notbad.example/", day(15)), (8, "http://tie.test./", day(6)), (9, "http://gone.test/", day(6)),
                 (10, None, day(15)), (11, "no url", day(15)), (12, "http://bad.example", None), (None, "http://bad.example", day(15)),
-                (1, "http://bad.example/a", day(9))]
+                (1, "http://bad.example/a", day(9)), (None, "http://fine.example", day(15)), (20, "http://bad.example", day(15)),
+                (20, "http://fine.example", day(15)), (21, "http://[::1]:80/bad.example", day(15)), (22, "http://" + "a." * 5000 + "b/", day(15))]
     got = url_lists.evaluate(spark.createDataFrame(captures, "page_id long, url string, fetched_at timestamp_ntz"),
                              spark.createDataFrame(events, "list string, entry string, at timestamp_ntz, action string")).collect()
     assert len(got) == len(captures)
-    assert {r.page_id for r in got if r.blocked} == {2, 4, 6}
+    assert {r.page_id for r in got if r.blocked} == {2, 4, 6, 20, None}
+    assert [sum(r.blocked for r in got if r.page_id == i) for i in (20, None)] == [1, 1]
     assert {(r.page_id, r.entry) for r in got if r["list"] == "allow"} == {(5, "good.bad.example"), (8, "tie.test")}
+    assert url_lists.evaluate(spark.createDataFrame([], "page_id long, url string, fetched_at timestamp_ntz"),
+                              spark.createDataFrame(events, "list string, entry string, at timestamp_ntz, action string")).count() == 0
+    urls = spark.createDataFrame([("http://[::1]:80/a",), ("http://u@A.b.:1",), ("x",)], "url string")
+    assert [r[0] for r in urls.select(url_lists.host_of(F.col("url"))).collect()] == ["[::1]", "a.b", None]
     none = spark.createDataFrame([], "list string, entry string, at timestamp_ntz, action string")
     assert not any(r.blocked for r in url_lists.evaluate(spark.createDataFrame(captures, "page_id long, url string, fetched_at timestamp_ntz"), none).collect())
 
@@ -248,6 +254,25 @@ def test_neighbours_of_odd_vectors(spark):
     assert neighbours.nearest(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_neighbours_of_uneven_and_repeated_vectors(spark):
+    rows = [(1, [1.0, 0.0, 0.0]), (2, [1.0, 0.1, 0.0]), (3, [0.0, 1.0]), (4, [0.0, 1.0, 0.0]), (2, [0.0, 1.0, 0.1]), (5, [1.0] * 5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = collections.defaultdict(list)
+    for r in neighbours.nearest(df, df, k=5).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    assert got == {1: [2, 4], 2: [1, 4], 4: [2, 1]}  # of other lengths: 3 and 5; 2 has two vectors
+
+
+def test_neighbours_visit_more_parts_until_enough_are_found(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(600, 8))
+    x[:3, 0] += 40  # a part of its own with fewer than five rows
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = neighbours.nearest(df, df.filter("vec_id < 20"), part_rows=5, probes=1).groupBy("query_id").count().collect()
+    assert {(r.query_id, r["count"]) for r in found} == {(i, 5) for i in range(20)}
+
+
+
 def test_pipeline(spark, documents):
     import corpus_pipeline
     from prepkit.llm.shared import written
