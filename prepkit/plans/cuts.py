@@ -21,6 +21,12 @@ from prepkit.plans.order_stats import grouped_values_at_ranks, values_at_ranks
 
 DIGITS = 3
 EDGE_ROWS = 100_000
+"""Groups of up to so many rows are ranked by their hashes at once."""
+
+SIGMAS = 5.0
+"""Half the width of the hash range in which a wanted place is looked for, in deviations of a uniform hash's count."""
+
+BRACKET_DIGITS = 12
 CHUNK = 1_000_000
 
 BELOW_ALL, ABOVE_ALL = "", "g"
@@ -33,7 +39,7 @@ def key_hash(df: DataFrame, key_cols: Sequence[str] | None, seed: int) -> Column
     Without a key every column is hashed, in its own type.
     """
     if not key_cols:
-        return F.hex(F.xxhash64(*[c(n) for n in df.columns], F.lit(seed)))
+        return F.hex(F.xxhash64(*[c(n) for n in df.columns], F.lit(seed)))  # without leading zeros, not quite even
     check_columns(df, key_cols, "Key column")
     texts = [F.coalesce(c(k).cast("string"), F.lit("")) for k in key_cols]
     return F.md5(F.concat_ws("|", *texts, F.lit(str(seed))))
@@ -77,19 +83,47 @@ def _place(cells: DataFrame, groups: list[str], order: str) -> DataFrame:
     )
 
 
-def _hash_bounds(rows: DataFrame, groups: list[str], quotas: DataFrame, n_cuts: int) -> DataFrame:
+def _bracketed(rows: DataFrame, groups: list[str], open_cuts: DataFrame) -> DataFrame | None:
+    """What _hash_bounds gives, by one pass; None if a place is outside its bracket.
+
+    The bracket is the range of leading hash digits SIGMAS deviations to both sides of the place's share of its
+    group. Rows below it are counted as one cell, those inside by hash: some 10 * sqrt(rows of the group).
+    """
+    share = F.col("rest") / F.col("all_rows")
+    reach = SIGMAS * F.sqrt(share * (1 - share) / F.col("all_rows")) + SIGMAS / F.col("all_rows")
+
+    def digits(x: Column) -> Column:
+        cell = F.floor(F.greatest(x, F.lit(0.0)) * 16.0 ** BRACKET_DIGITS).cast("bigint")
+        return F.when(x >= 1, ABOVE_ALL).otherwise(F.lpad(F.lower(F.hex(cell)), BRACKET_DIGITS, "0"))
+
+    wanted = settle(open_cuts.withColumns({"low": digits(share - reach), "high": digits(share + reach)}).drop("all_rows"))
+    near = attach_cuts(rows, wanted, groups).where(F.col("h") < F.col("high"))
+    inside = F.when(F.col("h") < F.col("low"), BELOW_ALL).otherwise(F.col("h")).alias("h")
+    cells = near.groupBy(*groups, "slot", "rest", "below", inside).agg(F.count(F.lit(1)).alias("cell"))
+    found = settle(_place(cells, groups, "h").select(*groups, "slot", "h", "below", "rest", "cell"))
+    missed = found.where(F.col("h") != BELOW_ALL).count() < wanted.count()
+    return None if missed else found
+
+
+def _hash_bounds(rows: DataFrame, groups: list[str], quotas: DataFrame, n_cuts: int, even: bool = True) -> DataFrame:
     """Per group and cut: the hash at that place, rows below it, place among and number of its equals.
 
-    Hash prefixes are even, so each round leaves 1/4096 of a group; only counts of at most
-    4096 prefixes per group and round are ranked.
+    Digests are `even`, so the wanted one lies close to its share of all: one pass finds it (see _bracketed). Where
+    keys repeat often and it lies elsewhere, prefixes are narrowed: each round leaves 1/4096 of a group, and only
+    counts of at most 4096 prefixes per group and round are ranked.
     """
     one = F.count(F.lit(1)).alias("cell")
     open_cuts = quotas.select(
-        *groups, "_n", F.posexplode(F.array(*[f"_cut{i}" for i in range(n_cuts)])).alias("slot", "rest"),
+        *groups, "_n", F.col("_n").alias("all_rows"), F.posexplode(F.array(*[f"_cut{i}" for i in range(n_cuts)])).alias("slot", "rest"),
     ).where((F.col("rest") > 0) & (F.col("rest") < F.col("_n"))).drop("_n")
     open_cuts = open_cuts.withColumn("below", F.lit(0).cast("bigint"))
     left = quotas.agg(F.max("_n")).first()[0] or 0
+    if even and left > EDGE_ROWS:
+        found = _bracketed(rows, groups, open_cuts)
+        if found is not None:
+            return found
     digits = 0
+    open_cuts = open_cuts.drop("all_rows")
     while left > EDGE_ROWS:
         prefix = F.substring("h", 1, digits).alias("prefix")
         longer = F.substring("h", 1, digits + DIGITS).alias("longer")
@@ -128,7 +162,7 @@ def label_by_hash(
             # Keys repeat right at a cut: tell their rows apart by everything else in them.
             order = F.concat(order, whole_row_hash(df))
         rows = df.select(*[c(g).alias(k) for g, k in zip(groups, gs)], order.alias("h"))
-        found = settle(_hash_bounds(rows, gs, quotas, n_cuts))
+        found = settle(_hash_bounds(rows, gs, quotas, n_cuts, bool(key_cols)))
         tied = bool(found.where(F.col("rest") < F.col("cell")).head(1))
         if not tied:
             break

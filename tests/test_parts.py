@@ -36,12 +36,14 @@ def quotas(sizes: dict, total: int) -> dict:
     return out
 
 
-@pytest.fixture(params=["plain", "narrowed", "many_classes"])
+@pytest.fixture(params=["plain", "bracketed", "narrowed", "many_classes"])
 def way(request, monkeypatch):
-    """Small groups directly; by narrowing hash prefixes; with class tables too big to broadcast."""
+    """Small groups directly; by a bracket of hashes; by narrowing their prefixes; with class tables too big to broadcast."""
     if request.param != "plain":
         monkeypatch.setattr(cuts, "EDGE_ROWS", 5)
         monkeypatch.setattr(cuts, "FEW_FIRST_ROWS", 0)
+    if request.param == "narrowed":
+        monkeypatch.setattr(cuts, "SIGMAS", -1000.0)
     if request.param == "many_classes":
         monkeypatch.setattr(sample.settle, "__defaults__", (2,))
         monkeypatch.setattr(bounds, "SMALL_TABLE_ROWS", 2)
@@ -198,6 +200,19 @@ def test_shares_of_more_classes_than_a_task_may_rank(spark, monkeypatch):
     assert "SinglePartition" not in plan and "Window" not in plan
 
 
+def test_one_pass_finds_the_hashes_at_the_cuts(spark, monkeypatch):
+    df = spark.range(20_000).select("id", (F.col("id") % 3).alias("_g0"), F.md5(F.col("id").cast("string")).alias("h"))
+    sizes = df.groupBy("_g0").agg(F.count(F.lit(1)).alias("_n")).withColumns({"_cut0": F.lit(700), "_cut1": F.col("_n") - 1})
+    plain = sorted(cuts._hash_bounds(df, ["_g0"], sizes, 2).collect())
+    monkeypatch.setattr(cuts, "EDGE_ROWS", 100)
+    monkeypatch.setattr(cuts, "_bracketed", lambda *a, ask=cuts._bracketed: found.append(ask(*a)) or found[-1])
+    found: list = []
+    assert sorted(cuts._hash_bounds(df, ["_g0"], sizes, 2).collect()) == plain and found[0] is not None
+    ten = df.withColumn("h", F.md5((F.col("id") % 10).cast("string")))  # few keys: far from their share
+    cuts._hash_bounds(ten, ["_g0"], sizes, 2)
+    assert found[1] is None
+
+
 def test_copies_are_dealt_out_before_a_fit(spark):
     df = spark.range(200_000).select(
         F.when(F.col("id") % 10 < 9, 0).otherwise(F.col("id")).alias("a b"), F.lit(None).cast("string").alias("t"))
