@@ -263,13 +263,13 @@ def test_neighbours_of_uneven_and_repeated_vectors(spark):
     assert got == {1: [2, 4], 2: [1, 4], 4: [2, 1]}  # of other lengths: 3 and 5; 2 has two vectors
 
 
-def test_neighbours_visit_more_parts_until_enough_are_found(spark):
-    rng = np.random.default_rng(3)
-    x = rng.normal(size=(600, 8))
-    x[:3, 0] += 40  # a part of its own with fewer than five rows
-    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
-    found = neighbours.nearest(df, df.filter("vec_id < 20"), part_rows=5, probes=1).groupBy("query_id").count().collect()
-    assert {(r.query_id, r["count"]) for r in found} == {(i, 5) for i in range(20)}
+def test_neighbours_visit_more_parts_until_enough_are_found(spark, monkeypatch):
+    router = np.array([[1.0, -1.0], [0.0, 0.0]]), np.zeros(2), 1  # by the sign of x, one part to visit
+    monkeypatch.setattr(neighbours, "fit", lambda *a: router)
+    rows = [(i, [1.0 if i < 3 else -1.0, i / 10]) for i in range(30)]  # three in one part
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = neighbours.nearest(df, df).groupBy("query_id").count().collect()
+    assert {(r.query_id, r["count"]) for r in found} == {(i, 5) for i in range(30)}
 
 
 
