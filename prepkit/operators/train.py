@@ -99,7 +99,8 @@ def train_model(
     split = split.withColumns({f: as_double(known, f) for f in features if f not in text_columns(known)})
     ensure_checkpoint_dir(df.sparkSession)
     # The fit and its evaluation pass over these columns many times.
-    ready = spread(split.select(LABEL, "_part", *[c(f) for f in features]), known.count()).persist()
+    columns = split.select(LABEL, "_part", *[c(f) for f in features])
+    ready = spread(columns, known.count(), rounds=model != "random_forest").persist()
     try:
         train = ready.where(F.col("_part") == "train")
         estimator = _estimator(model, labels, train.count(), random_state, n_estimators, max_depth,

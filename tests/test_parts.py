@@ -226,6 +226,17 @@ def test_copies_are_dealt_out_before_a_fit(spark):
     assert [r["v"].toArray().tolist() for r in bounds.spread(points, 100).collect()] == [[1.0, 2.0]] * 100
 
 
+def test_short_rounds_get_few_large_parts(spark):
+    """A round of boosting, k-means or gradient steps starts all its tasks anew: 900,000 rows were 91 tasks each time."""
+    df = spark.range(1000).select((F.col("id") % 900).alias("id"))
+    got = bounds.spread(df, 900_000, rounds=True)
+    assert got.rdd.getNumPartitions() == 24
+    assert sorted(r[0] for r in got.collect()) == sorted(r[0] for r in df.collect())
+    assert bounds.spread(df, 10_000_000, rounds=True).rdd.getNumPartitions() == 41
+    for n in (1_000, 20_000, 200_000):  # smaller tables keep their parts, and so their draws
+        assert bounds.spread(df, n, rounds=True).rdd.getNumPartitions() == bounds.spread(df, n).rdd.getNumPartitions()
+
+
 def test_rows_that_differ_by_microseconds_stay_themselves(spark):
     df = spark.range(100).select(
         F.lit(1).alias("k"), F.lit("2024-01-02").cast("date").alias("d"),
