@@ -162,7 +162,7 @@ def _placed(ready: DataFrame, n_clusters: int, seed: int, n_init: int, max_iter:
         mean = ready.agg(Summarizer.mean(F.col("_features"))).first()[0]
         centre = F.array(*[F.lit(float(v)) for v in ([] if mean is None else mean.toArray())])
         return ready.withColumns({"_cluster": F.lit(0), "_centre": centre})
-    points = spread(ready.select("_features"), ready.count()).persist()
+    points = spread(ready.select("_features"), ready.count(), rounds=True).persist()
     try:
         means = [
             KMeans(k=n_clusters, seed=seed + i, maxIter=max_iter, featuresCol="_features", predictionCol="_cluster")
