@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import cached_property
+from itertools import groupby
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -13,7 +15,9 @@ from prepkit.functions.naming import free_name
 from prepkit.functions.schema import (
     as_double, as_list, c, check_columns, check_numeric, clean, inline_rows,
 )
+from prepkit.plans.bounds import cut_lineage
 from prepkit.plans.cuts import whole_row_hash
+from prepkit.plans.ranges import running_count
 
 PAGE_ROWS = 20
 
@@ -95,13 +99,62 @@ def page(df: DataFrame, key: str | Sequence[str], rows: int = PAGE_ROWS, after:
     return Page(df.sparkSession.createDataFrame(shown.drop_columns([mark]), df.schema), cursor)
 
 
-def pages(df: DataFrame, key: str | Sequence[str], rows: int = PAGE_ROWS) -> Iterator[DataFrame]:
-    """All pages of a table, one after the other."""
-    found = page(df, key, rows)
-    yield found.rows
-    while found.cursor is not None:
-        found = page(df, key, rows, found.cursor)
-        yield found.rows
+class Pages:
+    """All pages of a table, in the order of `page`; iterating gives them one after the other, each a local table."""
+
+    def __init__(self, df: DataFrame, key: str | Sequence[str], rows: int = PAGE_ROWS):
+        self.df, self.keys, self.size = df, as_list(key), rows
+        check_columns(df, self.keys, "Key column")
+
+    @cached_property
+    def numbered(self) -> DataFrame:
+        """`row`, its `place` from 1 and its `page` from 0: two sorts by range, however many pages there are.
+
+        Copies of a row are told apart by their place in a table that is written once, so no task holds them all.
+        """
+        df = self.df
+        keys = [(F.isnull(c(k)).alias(f"gone{i}"), c(k).alias(f"key{i}")) for i, k in enumerate(self.keys)]
+        marked = df.select(
+            F.struct(*[c(n) for n in df.columns]).alias("row"), *[x for pair in keys for x in pair],
+            whole_row_hash(df).alias("digest"), F.lit(0).alias("all"))
+        marked = cut_lineage(marked).withColumn("copy", F.monotonically_increasing_id())
+        order = [x for x in marked.columns if x not in ("row", "all")]
+        placed = running_count(marked, "all", order, F.lit(True), "place")
+        return cut_lineage(placed.select("row", "place", F.expr(f"(place - 1) div {int(self.size)}").alias("page")))
+
+    def together(self) -> DataFrame:
+        """The rows of all pages."""
+        return self.numbered.select(*[F.col("row").getField(n).alias(n) for n in self.df.columns])
+
+    def __iter__(self) -> Iterator[DataFrame]:
+        """One pass over the numbered rows; the driver holds those of one range of pages."""
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                pages, rows = batch.column("page").to_pylist(), batch.select(["row"])
+                starts = [i for i, p in enumerate(pages) if i == 0 or p != pages[i - 1]]
+                bodies = []
+                for i, j in zip(starts, [*starts[1:], len(pages)]):
+                    sink = pa.BufferOutputStream()
+                    with pa.ipc.new_stream(sink, rows.schema) as out:
+                        out.write_batch(rows.slice(i, j - i))
+                    bodies.append(sink.getvalue().to_pybytes())
+                yield pa.RecordBatch.from_pydict({"page": pa.array([pages[i] for i in starts], pa.int64()), "body": bodies})
+
+        spark, schema = self.df.sparkSession, self.df.schema
+        pieces = self.numbered.orderBy("place").select("row", "page").mapInArrow(cut, "page bigint, body binary")
+        shown = False
+        for _, same in groupby(pieces.toLocalIterator(), key=lambda r: r["page"]):
+            rows = pa.concat_tables([pa.ipc.open_stream(bytes(r["body"])).read_all() for r in same]).combine_chunks()
+            fields = pa.concat_arrays(rows["row"].chunks).flatten()
+            yield spark.createDataFrame(pa.table(fields, names=self.df.columns), schema)
+            shown = True
+        if not shown:
+            yield spark.createDataFrame([], schema)
+
+
+def pages(df: DataFrame, key: str | Sequence[str], rows: int = PAGE_ROWS) -> Pages:
+    """All pages of a table, one after the other; `together` has them all in one table."""
+    return Pages(df, key, rows)
 
 
 def _rows_and_gaps(df: DataFrame, column: str) -> DataFrame:

@@ -196,3 +196,21 @@ def test_pages_show_every_row_once(spark):
         assert [o[0] for o in order] == sorted(o[0] for o in order)
         assert [o[1] for o in order if not o[0]] == sorted(o[1] for o in order if not o[0])
     assert profile.page(df.where("false"), "k").cursor is None
+
+
+def test_pages_take_the_same_jobs_however_many_there_are(spark):
+    """Each page was a pass over the table of its own."""
+    df = spark.range(400).select((F.col("id") % 7).alias("k"), F.col("id").cast("timestamp").alias("at"))
+    context, jobs = spark.sparkContext, {}
+    try:
+        for size in (200, 4):
+            context.setJobGroup(f"pages of {size}", "")
+            assert profile.pages(df, "k", size).together().exceptAll(df).count() == 0
+            jobs[size] = len(context.statusTracker().getJobIdsForGroup(f"pages of {size}"))
+    finally:
+        context.setJobGroup("", "")
+    assert jobs[4] == jobs[200]
+    found = [p.collect() for p in profile.pages(df.repartition(3), "k", 4)]
+    assert [len(p) for p in found] == [4] * 100
+    assert sorted(r for p in found for r in p) == sorted(df.collect())
+    assert [p.columns for p in profile.pages(df.where("false"), "k")] == [df.columns]
