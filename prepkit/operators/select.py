@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import Bucketizer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -184,16 +185,11 @@ def binned_information(
     probs = [float(p) for p in np.linspace(0, 1, bins + 1)]
     cuts = {x: sorted(set(q)) for x, q in quantiles(df, numbers, probs, exact).items() if q[0] is not None}
 
-    def binned(name: str) -> Column:
-        edges = cuts.get(name)
-        if edges is None:
-            return F.lit(None).cast("int")
-        x = as_double(df, name)
-        return F.when(x.isNotNull(), 1) if len(edges) < 2 else bin_number(x, edges, True, True)
-
-    y = binned(target) if binned_target else clean(df, target)
     narrow = across_cores(df.select(*[c(n) for n in dict.fromkeys([*features, target])]))
-    coded = narrow.select(y.alias("y"), *[binned(x).alias(f"x{i}") for i, x in enumerate(features)])
+    narrow = narrow.select(
+        *([] if binned_target else [clean(df, target).alias("y")]),
+        *[as_double(df, x).alias("y" if i == len(features) else f"x{i}") for i, x in enumerate(numbers)])
+    coded = _bins(narrow, {"y" if i == len(features) else f"x{i}": cuts.get(x) for i, x in enumerate(numbers)})
     each = [F.struct(F.lit(i).alias("f"), F.col(f"x{i}").alias("x"), F.col("y")) for i in range(len(features))]
     cells = (
         coded.where(F.col("y").isNotNull()).select(F.inline(F.array(*each)))
@@ -211,6 +207,30 @@ def binned_information(
     return _by_feature(found.collect(), len(features), "mi")
 
 
+def _bins(df: DataFrame, edges: dict[str, list[float] | None]) -> DataFrame:
+    """The named DOUBLE columns replaced by a number of the bin they lie in: (a, b], the least value included.
+
+    Bucketizer searches without making the code of a scan so large that it is only interpreted. Its bins are [a, b),
+    so it is given values and edges with the other sign; a difference to 0.0 makes both zeros one.
+    """
+    searched = {n: e for n, e in edges.items() if e is not None and len(e) > 2 and all(map(math.isfinite, e))}
+    exprs = {}
+    for n, e in edges.items():
+        if n in searched:
+            exprs[n] = F.lit(0.0) - F.col(n)
+        elif e is None:
+            exprs[n] = F.lit(None).cast("int")
+        else:
+            exprs[n] = F.when(F.col(n).isNotNull(), 1) if len(e) < 2 else bin_number(F.col(n), e, True, True)
+    df = df.withColumns(exprs)
+    if not searched:
+        return df
+    splits = [[-math.inf, *[0.0 - v for v in reversed(e[1:-1])], math.inf] for e in searched.values()]
+    found = Bucketizer(
+        inputCols=list(searched), outputCols=[f"_{n}" for n in searched], splitsArray=splits, handleInvalid="keep").transform(df)
+    return found.withColumns({n: F.col(f"_{n}").cast("int") for n in searched}).select(*df.columns)
+
+
 def variance_threshold(df: DataFrame, threshold: float = 0.0, keep: Sequence[str] = ()) -> Selection:
     """Numeric features whose population variance exceeds the threshold; other columns go.
 

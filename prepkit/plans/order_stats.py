@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -152,14 +153,15 @@ def select_ranks(
 
     The first pass counts the leading 16 bits, for all groups at once: at most 65536 counts a group, whatever
     its size, already summed in each task. Each later pass counts the next 16 bits of the rows in the cells that
-    hold a wanted rank, or the whole values once these cells are small. Four passes are the most, nothing is
-    estimated, and no step depends on how values are distributed or partitioned.
+    hold a wanted rank, or the whole values once these cells are small; a cell whose rows are all equal is not looked
+    at again. Four passes are the most, nothing is estimated, and no step depends on how values are distributed or
+    partitioned.
     """
     keys = list(keys)
     by_group = Window.partitionBy(*keys)
     digits = max(0, bits - DIGIT)
-    count = F.count(F.lit(1)).alias("cell_n")
-    cells = rows.groupBy(*keys, F.shiftright("v", digits).alias("cell")).agg(count)
+    counts = [F.count(F.lit(1)).alias("cell_n"), F.min("v").alias("lo"), F.max("v").alias("hi")]
+    cells = rows.groupBy(*keys, F.shiftright("v", digits).alias("cell")).agg(*counts)
     slots = F.posexplode(F.array(*[r.cast("bigint") for r in ranks(F.col("n"))])).alias("slot", "rank")
     hits = (F.col("start") <= F.col("rank")) & (F.col("rank") < F.col("start") + F.col("cell_n"))
     found = (
@@ -167,35 +169,43 @@ def select_ranks(
         .withColumn("start", F.sum("cell_n").over(by_group.orderBy("cell")) - F.col("cell_n"))
         .select("*", slots).where(hits)
         .select(*keys, "slot", "rank", "n", F.col("cell").alias("prefix"), F.col("start").alias("below"),
-                F.col("cell_n").alias("same")))
-    cell = [*keys, "prefix"]
+                F.col("cell_n").alias("same"), "lo", "hi"))
+    cell, known = [*keys, "prefix"], []
     while digits:
-        largest, places, found = _open_cells(found, cell)
+        largest, places, found, sure = _open_cells(found, cell)
+        known.append(sure)
+        if not largest:
+            return reduce(DataFrame.unionByName, known)
         last, digits = digits, 0 if largest <= SMALL_CELL else max(0, digits - DIGIT)
         # Null-safe equality also for keys without nulls: plain equality would push null tests, with all of
         # the image's arithmetic in them, below the steps that compute it once.
         inside = attach(rows.withColumn("prefix", F.shiftright("v", last)), places, cell)
-        cells = inside.groupBy(*cell, "before", F.shiftright("v", digits).alias("cell")).agg(count)
+        cells = inside.groupBy(*cell, "before", F.shiftright("v", digits).alias("cell")).agg(*counts)
         run = Window.partitionBy(*cell).orderBy("cell")
         cells = cells.withColumn("start", F.col("before") + F.sum("cell_n").over(run) - F.col("cell_n"))
         found = (
-            attach(cells.drop("before"), found.drop("below", "same"), cell).where(hits)
+            attach(cells.drop("before"), found.drop("below", "same", "lo", "hi"), cell).where(hits)
             .select(*keys, "slot", "rank", "n", F.col("cell").alias("prefix"), F.col("start").alias("below"),
-                    F.col("cell_n").alias("same")))
-    return found.withColumnRenamed("prefix", "v")
+                    F.col("cell_n").alias("same"), "lo", "hi"))
+    return reduce(DataFrame.unionByName, [*known, found.withColumnRenamed("prefix", "v").drop("lo", "hi")])
 
 
-def _open_cells(found: DataFrame, cell: list[str]) -> tuple[int, DataFrame, DataFrame]:
-    """The largest open cell's rows, the distinct open cells with the rows before them, and `found`, computed once."""
+def _open_cells(found: DataFrame, cell: list[str]) -> tuple[int, DataFrame, DataFrame, DataFrame]:
+    """What one pass found, computed once: the largest open cell's rows, the distinct open cells with the rows before
+    them, the ranks in them, and the ranks whose value is known as all rows of their cell are equal."""
+    values = [*cell[:-1], "slot", "rank", "n", F.col("lo").alias("v"), "below", "same"]
     rows = bounds.small_rows(found)
     if rows is None:
         found = bounds.cut_lineage(found)
+        sure, found = found.where("lo = hi").select(*values), found.where("lo < hi")
         places = found.select(*cell, F.col("below").alias("before")).distinct()
-        return found.agg(F.max("same")).first()[0] or 0, places, found
-    spark = found.sparkSession
+        return found.agg(F.max("same")).first()[0] or 0, places, found, sure
+    spark, equal = found.sparkSession, pc.equal(rows["lo"], rows["hi"])
+    sure = spark.createDataFrame(rows.filter(equal), found.schema).select(*values)
+    rows = rows.filter(pc.invert(equal))
     places = rows.select([*cell, "below"]).group_by([*cell, "below"]).aggregate([]).rename_columns([*cell, "before"])
     largest = pc.max(rows["same"]).as_py() or 0
-    return largest, F.broadcast(spark.createDataFrame(places)), F.broadcast(spark.createDataFrame(rows))
+    return largest, F.broadcast(spark.createDataFrame(places)), F.broadcast(spark.createDataFrame(rows)), sure
 
 
 def _spots(probs: Sequence[float]) -> Callable[[Column], list[Column]]:

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from prepkit.functions.numeric import bin_number
 from prepkit.operators import metrics, select
 from prepkit.plans import plane_information, ranges
 
@@ -115,6 +116,35 @@ def test_neighbour_information_equals_brute_force(spark, data, monkeypatch, part
         assert got[name] == pytest.approx(brute_information(values / values.std(), y), abs=1e-6)
 
 
+def test_bins_are_found_by_a_search_and_equal_those_of_the_expression(spark):
+    """The nested expression made a scan's code too large to be compiled."""
+    xs = [-2.0, -1.5, -0.0, 0.0, 0.5, 1.0, 1.5, 3.0, None]
+    edges = {"a": [-2.0, 0.0, 1.0, 3.0], "b": [-2.0, 3.0], "c": [1.0], "d": None, "e": [-2.0, -0.0, 0.5, 3.0]}
+    df = spark.createDataFrame([(v,) * 5 for v in xs], "a double, b double, c double, d double, e double")
+    got = select._bins(df, edges)
+    assert "bucketizer" in got._jdf.queryExecution().optimizedPlan().toString()
+    for n in ("a", "b", "e"):
+        want = [r[0] for r in df.select(bin_number(F.col(n), edges[n], True, True)).collect()]
+        mine = [r[n] for r in got.collect()]
+        assert len(set(zip(want, mine))) == len(set(want)) == len(set(mine)) and mine[-1] is None
+    assert [r["c"] for r in got.collect()] == [1] * 8 + [None] and {r["d"] for r in got.collect()} == {None}
+
+
+@pytest.mark.parametrize("part_rows", [7, 50])
+def test_parts_of_the_neighbour_score_grow_in_number_with_the_rows(spark, data, monkeypatch, part_rows):
+    """Eight parts of any size before; now a part has about PART_ROWS rows, and the score is the same."""
+    df, y, a, b = data
+    monkeypatch.setattr(ranges, "PART_ROWS", part_rows)
+    rows = spark.createDataFrame([(i, int(k), float(v)) for i, (k, v) in enumerate(zip(y, a))], "id int, y int, a double")
+    got = scores(select.select_kbest(rows, "y", 1, "mutual_info_classif", method="knn", key_cols="id"))
+    assert got["a"] == pytest.approx(brute_information(a / a.std(), y), abs=1e-6)
+    order = spark.range(400).select("id", F.lit(0).alias("g"))
+    counted = ranges.running_count(order, "g", ["id"], F.lit(True), "place", 400)
+    assert counted.where("place = id + 1").count() == 400
+    parts = ranges.dealt(order, ["g", "id"], 400).groupBy(ranges.PART).count().agg(F.count("*"), F.max("count")).first()
+    assert parts[0] >= 400 // part_rows and parts[1] <= 4 * part_rows
+
+
 def test_neighbour_information_of_copies_does_not_depend_on_the_partitions(spark):
     rows = [(i % 3, float(i % 4)) for i in range(240)]
     one, two = (spark.createDataFrame(rows, "y int, a double").repartition(n) for n in (1, 7))

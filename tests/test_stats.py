@@ -214,3 +214,17 @@ def test_pages_take_the_same_jobs_however_many_there_are(spark):
     assert [len(p) for p in found] == [4] * 100
     assert sorted(r for p in found for r in p) == sorted(df.collect())
     assert [p.columns for p in profile.pages(df.where("false"), "k")] == [df.columns]
+
+
+def test_cells_of_equal_values_are_not_looked_at_again(spark, monkeypatch):
+    """Few values in large cells took all four passes; every value and its neighbours are still counted right."""
+    monkeypatch.setattr(order_stats, "SMALL_CELL", 1)
+    passes, look = [], order_stats._open_cells
+    monkeypatch.setattr(order_stats, "_open_cells", lambda *a: passes.append(1) or look(*a))
+    df = spark.createDataFrame([(v,) for v in [0.04, 0.05, 0.9, -0.0, 0.0] * 40], "x double")
+    probs = [0.0, 0.19, 0.4, 0.5, 0.75, 1.0]
+    got = order_stats.quantiles(df, ["x"], probs)["x"]
+    assert got == pytest.approx(list(np.quantile(df.toPandas()["x"], probs)))
+    assert len(passes) <= 2
+    monkeypatch.setattr(order_stats.bounds, "small_rows", lambda *a: None)
+    assert order_stats.quantiles(df, ["x"], probs)["x"] == got
