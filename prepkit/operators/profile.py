@@ -119,7 +119,7 @@ class Pages:
             whole_row_hash(df).alias("digest"), F.lit(0).alias("all"))
         marked = cut_lineage(marked).withColumn("copy", F.monotonically_increasing_id())
         order = [x for x in marked.columns if x not in ("row", "all")]
-        placed = running_count(marked, "all", order, F.lit(True), "place")
+        placed = running_count(marked, "all", order, F.lit(True), "place", marked.count())
         return cut_lineage(placed.select("row", "place", F.expr(f"(place - 1) div {int(self.size)}").alias("page")))
 
     def together(self) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from prepkit.functions.numeric import digamma
 from prepkit.functions.schema import as_double, c, clean, present
 from prepkit.plans.cuts import CHUNK, whole_row_hash
-from prepkit.plans.ranges import PART, dealt, running_count, with_halo
+from prepkit.plans.ranges import PART, dealt, gathered, running_count, with_halo
 
 NEIGHBOURS = 3
 JITTER = 1e-10
@@ -62,14 +62,15 @@ def nearest_neighbour_information(
         F.struct(F.lit(i).alias("f"), jittered(as_double(named, n), *scales[i], i, seed).alias("x"))
         for i, n in enumerate(features)]
     points = named.select(clean(named, target).alias("y"), "rid", F.inline(F.array(*each))).where(F.col("x").isNotNull())
-    points = dealt(points, ["f", "y", "x", "rid"]).withColumn("id", F.monotonically_increasing_id())
+    most = df.count() * len(features)
+    points = dealt(points, ["f", "y", "x", "rid"], most).withColumn("id", F.monotonically_increasing_id())
     sizes = points.groupBy("f", "y").agg(F.count(F.lit(1)).alias("n_y"))
     alone = sizes.where(F.col("n_y") == 1).select(F.col("f").alias("f1"), F.col("y").alias("y1"))
     points = points.join(alone, (F.col("f") == F.col("f1")) & (F.col("y") == F.col("y1")), "left_anti")
     n_y = F.col("n_y").cast("double")
     labels = sizes.where(F.col("n_y") > 1).groupBy("f").agg(
         F.sum("n_y").alias("n"), (F.sum(n_y * digamma(n_y)) / F.sum(n_y)).alias("label"))
-    inside = count_inside(points, _reach(points)).groupBy("f").agg(
+    inside = count_inside(points, _reach(points, most), most).groupBy("f").agg(
         F.avg(digamma(F.col("k").cast("double"))).alias("k"),
         F.avg(digamma(F.col("m").cast("double"))).alias("m"))
     total = digamma(F.col("n").cast("double")) + F.col("k") - F.col("label") - F.col("m")
@@ -78,7 +79,7 @@ def nearest_neighbour_information(
     return [found.get(i) for i in range(len(features))]
 
 
-def _reach(points: DataFrame) -> DataFrame:
+def _reach(points: DataFrame, n_points: int) -> DataFrame:
     """Per point the open interval that ends at its third nearest value of the same class."""
     k, x = NEIGHBOURS, F.col("x")
     order = Window.partitionBy("f", "y", PART).orderBy("x", "rid")
@@ -86,7 +87,7 @@ def _reach(points: DataFrame) -> DataFrame:
     others += [F.lead("x", i).over(order) for i in range(1, k + 1)]
     near = F.array(*[F.struct(F.abs(o - x).alias("d"), o.alias("v")) for o in others])
     return (
-        with_halo(points, ["f", "y"], ["x", "rid"], k, "halo").withColumn("near", near).where(~F.col("halo"))
+        with_halo(points, ["f", "y"], ["x", "rid"], k, "halo", n_points).withColumn("near", near).where(~F.col("halo"))
         .withColumn("near", F.slice(F.sort_array(F.filter("near", lambda s: s["v"].isNotNull())), 1, k))
         .withColumn("k", F.size("near")).withColumn("far", F.element_at("near", -1))
         .select(
@@ -97,7 +98,7 @@ def _reach(points: DataFrame) -> DataFrame:
     )
 
 
-def count_inside(points: DataFrame, reach: DataFrame) -> DataFrame:
+def count_inside(points: DataFrame, reach: DataFrame, n_points: int) -> DataFrame:
     """(f, id, k, m): how many points, of any class, lie strictly inside each point's interval.
 
     Points and interval ends are put in one order; a running count gives the points below each end.
@@ -108,5 +109,5 @@ def count_inside(points: DataFrame, reach: DataFrame) -> DataFrame:
     )))
     # kind puts a point after the end of an interval at its own value and before its start.
     both = points.select("f", "x", F.lit(1).alias("kind")).unionByName(ends, allowMissingColumns=True)
-    counted = running_count(both, "f", ["x", "kind"], F.col("kind") == 1, "below").where(F.col("kind") != 1)
-    return counted.groupBy("f", "id").agg(F.max("k").alias("k"), F.sum(F.col("sign") * F.col("below")).alias("m"))
+    counted = running_count(both, "f", ["x", "kind"], F.col("kind") == 1, "below", 3 * n_points).where(F.col("kind") != 1)
+    return gathered(counted.select("f", "id", "k", "sign", "below"), 2 * n_points, "f", "id").groupBy("f", "id").agg(F.max("k").alias("k"), F.sum(F.col("sign") * F.col("below")).alias("m"))

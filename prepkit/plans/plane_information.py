@@ -59,7 +59,7 @@ def plane_information(
             F.when(on_it & (end <= value), end).otherwise(value - F.col("r")).alias("lo"),
             F.when(on_it & (end > value), end).otherwise(value + F.col("r")).alias("hi"))
         line = points.select("f", "id", value.alias("x"))
-        counts.append(count_inside(line, ends).groupBy("f").agg(F.avg(digamma(F.col("m").cast("double"))).alias("m")))
+        counts.append(count_inside(line, ends, sum(sizes.values())).groupBy("f").agg(F.avg(digamma(F.col("m").cast("double"))).alias("m")))
     one, two = ({r["f"]: r["m"] for r in part.collect()} for part in counts)
     row = df.sparkSession.range(1).select(
         digamma(F.lit(float(NEIGHBOURS))).alias("k"), *[digamma(F.lit(float(sizes[f]))).alias(f"n{f}") for f in enough]).first()
@@ -76,7 +76,7 @@ def _cells(points: DataFrame, sizes: dict[int, int]) -> DataFrame:
     for f, size in sizes.items():
         n = F.when(F.col("f") == f, F.lit(size)).otherwise(n)
         slabs = F.when(F.col("f") == f, F.lit(max(1, round(math.sqrt(size / CELL_ROWS))))).otherwise(slabs)
-    placed = running_count(points, "f", ["x", "id"], F.lit(True), "place").withColumns({"n": n, "slabs": slabs})
+    placed = running_count(points, "f", ["x", "id"], F.lit(True), "place", sum(sizes.values())).withColumns({"n": n, "slabs": slabs})
     placed = placed.withColumn("slab", F.expr("(place - 1) * slabs div n")).drop("place", "n", "slabs")
     slab = Window.partitionBy("f", "slab")
     size = F.count(F.lit(1)).over(slab)
