@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from check_oracles import duck, rows_of
-from prepkit.llm import mixing, neighbours, packing, queries, sharding, token_files, url_lists
+from prepkit.llm import mixing, neighbours, packing, queries, sharding, token_files, tokens, url_lists
 from prepkit.llm.order import ranked
 from prepkit.llm.tokens import TextEncoder
 
@@ -89,6 +89,18 @@ def test_added_tokens_in_texts(tokenizer):
     assert ids.tolist() == [i for w in want for i in w]
 
 
+def test_words_in_use_stay_known(tokenizer, monkeypatch):
+    monkeypatch.setattr(tokens, "KNOWN_WORDS", 60)
+    coder, asked = TextEncoder(tokenizer), []
+    library = coder._new
+    coder._new = lambda words: asked.extend(words) or library(words)
+    texts = [" ".join(["a", "met", *(f"w{i}x{k}," for k in range(10))]) for i in range(20)]
+    for text, want in zip(texts, encoded(tokenizer, texts), strict=True):
+        assert coder.encode(pa.array([text]))[0].tolist() == want
+    assert len(coder.known) + len(coder.older) <= 60
+    assert asked.count(" met") == 1
+
+
 @pytest.mark.parametrize("name", TABLES)
 def test_token_files(request, spark, tokenizer, name, monkeypatch):
     df = request.getfixturevalue(name)
