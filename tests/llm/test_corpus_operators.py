@@ -130,6 +130,12 @@ def test_segments_round_trip(n, kind):
         assert len(data) < n
 
 
+def test_segments_come_near_the_entropy():
+    ids = np.minimum(np.random.default_rng(3).zipf(1.3, 100_000), 3000).astype(np.uint32)
+    p = np.bincount(ids)[np.unique(ids)] / len(ids)
+    assert len(token_files.encode_segment(ids, np.array([len(ids)]))) < 1.15 * len(ids) * -(p * np.log2(p)).sum() / 8
+
+
 def test_damage_is_found():
     data = bytearray(token_files.encode_segment(np.arange(5000, dtype=np.uint32) % 700, np.array([5000])))
     data[-100] ^= 255
