@@ -5,13 +5,16 @@ from __future__ import annotations
 import collections
 import hashlib
 import math
+import pathlib
 import re
+import time
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from prepkit.llm import line_dedup, quality, simhash, substring_dedup
+from prepkit.llm import line_dedup, quality, shared, simhash, substring_dedup
 from prepkit.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -378,3 +381,21 @@ def test_columns_named_like_helpers(spark):
 
 
 LINE = " ".join(f"word{i}" for i in range(30))
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders = [pathlib.Path(d.getPath()) for d in manager.localDirs()]
+
+    def shuffled() -> set[pathlib.Path]:
+        return {f for folder in folders for f in folder.rglob("shuffle_*")}
+
+    before, setting = shuffled(), spark.conf.get(shared.DROP_SHUFFLES)
+    table = shared.written(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "dropped")
+    for _ in range(50):
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before
+    assert spark.conf.get(shared.DROP_SHUFFLES) == setting
+    assert sum(r["count"] for r in table.collect()) == 1000
