@@ -101,6 +101,34 @@ def test_words_in_use_stay_known(tokenizer, monkeypatch):
     assert asked.count(" met") == 1
 
 
+def test_marks_around_a_word_need_no_new_ids(tokenizer):
+    coder, asked = TextEncoder(tokenizer), []
+    library = coder._new
+    coder._new = lambda words: asked.extend(words) or library(words)
+    text = "we zorbled, zorbled. zorbled!) zorbled zorbled?!\nzorbled;\nzorbled zorblé, zorblé."
+    assert coder.encode(pa.array([text]))[0].tolist() == encoded(tokenizer, [text])[0]
+    assert len(asked) == len(set(asked))
+    assert sorted(w for w in asked if "zorbl" in w) == [" zorbled", " zorblé", "zorbled"]
+
+
+def test_ids_of_odd_words(tokenizer):
+    rng = np.random.default_rng(5)
+    signs = [*"ab'sZ09,.!-_$(  \n\t\r", "é", "漢", "—", "\u0301", "\xa0", "\u3000", "\U0001f600", "²", "ª", "'re", "'ll", "\x00"]
+    texts = ["".join(rng.choice(signs, n)) for n in rng.integers(0, 14, 5000)]
+    ids, counts = TextEncoder(tokenizer).encode(pa.array(texts))
+    want = encoded(tokenizer, texts)
+    assert counts.tolist() == [len(w) for w in want]
+    assert ids.tolist() == [i for w in want for i in w]
+
+
+def test_predictions_are_looked_up_once(monkeypatch):
+    ids = np.minimum(np.random.default_rng(3).zipf(1.3, 50_000), 3000).astype(np.uint32)
+    looked, guess = [], token_files.Model.guess
+    monkeypatch.setattr(token_files.Model, "guess", lambda self, two, one: looked.append(one.size) or guess(self, two, one))
+    token_files.encode_segment(ids, np.array([len(ids)]))
+    assert sum(looked) < 1.1 * len(ids)
+
+
 @pytest.mark.parametrize("name", TABLES)
 def test_token_files(request, spark, tokenizer, name, monkeypatch):
     df = request.getfixturevalue(name)
