@@ -171,6 +171,60 @@ def test_damage_is_found():
         token_files.decode_segment(bytes(data))
 
 
+def coded_bits(ids):
+    return 8 * len(token_files.encode_segment(ids.astype(np.uint32), np.array([len(ids)]))) / len(ids)
+
+
+def test_a_block_learns_what_follows_in_it():
+    rng = np.random.default_rng(1)
+    ids = np.concatenate([np.resize(rng.permutation(200), token_files.BLOCK) for _ in range(40)])
+    assert coded_bits(ids) < 2.5
+
+
+def test_a_block_counts_its_own_ids():
+    rng = np.random.default_rng(2)
+    ids = np.concatenate([rng.choice(rng.permutation(3000)[:16], token_files.BLOCK) for _ in range(40)])
+    assert coded_bits(ids) < 7
+
+
+def test_weights_adapt_to_the_block():
+    ids = np.minimum(np.random.default_rng(3).zipf(1.3, 20_000), 3000).astype(np.uint32)
+    mixture = token_files.Mixture(token_files.Model.fit(ids)[0], 2)
+    at, marks = mixture.places(np.array([5, 5, 7, 7]))
+    spent = []
+    for _ in range(300):
+        mixture.look(at, marks, np.array([8, 8, 16, 16], np.uint32))
+        came = np.tile(mixture.ids[:2] + np.array([0, 1], np.uint32), 2)  # order 2 is right in the first block only
+        before = mixture.shares(mixture.weight, 0)[:2]
+        mixture.learn(came, came << 3 | 1)
+        spent.append([before[0][0], before[1][1]])
+    assert spent[-1][0] > 0.95 * token_files.TOTAL
+    assert spent[-1][1] < 0.05 * token_files.TOTAL
+
+
+def test_ids_met_once_are_coded():
+    assert coded_bits(np.random.default_rng(4).permutation(1 << 14)[:9000]) < 16
+    ids = (2**32 - 1 - np.arange(9000)).astype(np.uint32)
+    assert (token_files.decode_segment(token_files.encode_segment(ids, np.array([9000])))[0] == ids).all()
+
+
+def test_blocks_are_coded_on_their_own():
+    ids = np.minimum(np.random.default_rng(5).zipf(1.4, 3 * token_files.BLOCK + 77), 5000).astype(np.uint32)
+    model, at, guesses = token_files.Model.fit(ids)
+    n = token_files.BLOCK
+    rare = [ids[i * n:(i + 1) * n][at[i * n:(i + 1) * n] == len(model.table)] for i in range(3)]
+    assert all(map(len, rare))
+    together = token_files.encode_blocks(
+        at[:3 * n].reshape(3, n), guesses[:, :3 * n].reshape(2, 3, n), np.concatenate(rare), n, model)
+    for i in range(3):
+        cut = slice(i * n, (i + 1) * n)
+        assert token_files.encode_blocks(at[cut][None], guesses[:, None, cut], rare[i], n, model) == [together[i]]
+        assert (token_files.decode_blocks([together[i]], n, n, model)[0] == ids[cut]).all()
+    broken = [together[0], bytes(b ^ 255 for b in together[1]), together[2]]
+    back = token_files.decode_blocks(broken, n, n, model)
+    assert (back[0] == ids[:n]).all() and (back[2] == ids[2 * n:3 * n]).all() and (back[1] != ids[n:2 * n]).any()
+
+
 def plain_jump(key: int, shards: int) -> int:
     b, j = -1, 0
     while j < shards:
